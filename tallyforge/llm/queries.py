@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language, media, mixture, pieces, quality, shards, token_count, url_filter
+from . import language, media, mixture, pieces, quality, repeats, shards, token_count, url_filter
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_url_filters": url_filter.op3_url_filters,
     "op4_language_id": language.op4_language_id,
     "op5_quality_rules": quality.op5_quality_rules,
+    "op6_suffix_dedup": repeats.op6_suffix_dedup,
     "op7_sharding": shards.op7_sharding,
     "op8_mixing": mixture.op8_mixing,
     "op9_token_counts": token_count.op9_token_counts,
