@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import language, media, mixture, pieces, quality, repeats, shards, token_count, url_filter
+from . import jaccard, language, media, mixture, pieces, quality, repeats, shards, token_count, url_filter
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
+    "op10_jaccard_join": jaccard.op10_jaccard_join,
     "op2_media_columns": media.op2_media_columns,
     "op3_url_filters": url_filter.op3_url_filters,
     "op4_language_id": language.op4_language_id,
