@@ -286,5 +286,17 @@ def link_classes(docs: DataFrame, words: int = WORDS, near: int = NEAR, text: st
     return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, words: int = WORDS, near: int = NEAR, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The documents without those that link to one of smaller key, with all their columns. Of
+    repeated rows of one key, one stays; rows without a key all stay."""
+    found = cut(link_classes(docs, words, near, text, key), "groups")
+    away = found.where(F.col("component_id") < F.col(key)).select(key).distinct()
+    kept = docs.join(away, key, "left_anti")
+    again = found.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key)
+    if again.limit(1).count():
+        kept = kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates([key]))
+    return kept.select(*docs.columns)
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_classes(table(spark, sf_dir, "documents"))

@@ -235,5 +235,22 @@ def digests(docs: DataFrame, model: str | None = None, text: str = "text", key:
     return docs.select(key, text).mapInArrow(run, f"{key} long, n_bytes long, n_pieces long, ids_sha256 string, decoded_sha256 string, round_trip boolean, parity boolean")
 
 
+def tokenised(docs: DataFrame, model: str | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row per document: key, n_bytes, n_pieces, ids, round_trip (the ids decode to the text), parity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(model)
+        for batch in batches:
+            for a, b in pieces(batch.column(1), 2 << 20):
+                raw = texts_of(batch.column(1).slice(a, b - a))
+                made = own.encode([x.decode("utf-8", "replace") for x in raw])
+                sizes = [len(ids) for ids, _ in made]
+                ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(np.concatenate([x for x, _ in made]) if made else [], pa.int32()))
+                back = [own.decode(x).encode() == r.replace(MARK.encode(), b" ") for (x, _), r in zip(made, raw, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(map(len, raw), pa.int64()), pa.array(sizes, pa.int64()), ids, pa.array(back, pa.bool_()), pa.array([ok for _, ok in made], pa.bool_())], [key, "n_bytes", "n_pieces", "ids", "round_trip", "parity"])
+
+    return docs.select(key, text).mapInArrow(run, f"{key} long, n_bytes long, n_pieces long, ids array<int>, round_trip boolean, parity boolean")
+
+
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"))

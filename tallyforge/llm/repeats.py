@@ -31,8 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import U64, cut, mix, pieces, random_table, release, table, texts_of
+from .common import U64, WORD, cut, mix, pieces, random_table, release, table, texts_of
 from .suffix import ragged, suffix_arrays
 
 #: Bytes of a repeated string, and of an anchor.
@@ -318,16 +319,18 @@ def applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows.append((len(raw), kept, start.tolist(), end.tolist()))
             columns = list(zip(*rows, strict=True)) or [()] * 4
             kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["key", "n_bytes", "kept", "starts", "ends"])
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), *part.columns[4:]], ["key", "n_bytes", "kept", "starts", "ends", *(["rest"] if part.num_columns > 4 else [])])
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per document: key, n_bytes, kept (the bytes left), starts and ends of removed runs."""
+def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", rest: bool = False) -> DataFrame:
+    """One row per document: key, n_bytes, kept (the bytes left), starts and ends of removed runs,
+    and, if asked for, `rest`, a struct of its other columns."""
     spark = docs.sparkSession
     size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     ranges, homes = min(1 << 15, max(16, size // RANGE_BYTES)), max(24, size * 4 // RANGE_BYTES)
     raw = F.coalesce(F.col(text), F.lit(""))
-    own = docs.select(F.col(key).alias("doc"), raw.alias("body"), F.unhex(F.substring(F.md5(raw), 1, 24)).alias("tid"))
+    others = [F.struct(*(docs[c] for c in docs.columns if c != text)).alias("rest")] if rest else []
+    own = docs.select(*others, F.col(key).alias("doc"), raw.alias("body"), F.unhex(F.substring(F.md5(raw), 1, 24)).alias("tid"))
 
     packed = own.select("body").mapInArrow(sketches(ranges), "range int, ids binary, counts binary, hashes binary")
     found = cut(packed.groupBy("range").applyInArrow(shared, "tid binary, cold binary, hot binary"), "shared")
@@ -344,8 +347,31 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     by_doc = masks.groupBy("doc").agg(F.collect_list(F.struct("at", "mask")).alias("found"))
     copies = own.select("doc", "tid").join(first, "tid").where("doc > first").select("doc", F.lit(True).alias("whole")).distinct()
     marks = by_doc.join(copies, "doc", "full")
-    out = own.select("doc", "body").join(marks, "doc", "left").select("doc", "body", "whole", "found")
-    return out.mapInArrow(applied, "key long, n_bytes long, kept binary, starts array<long>, ends array<long>").withColumnRenamed("key", key)
+    also = ["rest"] if rest else []
+    out = own.select("doc", "body", *also).join(marks, "doc", "left").select("doc", "body", "whole", "found", *also)
+    schema = T.StructType.fromDDL("key long, n_bytes long, kept binary, starts array<long>, ends array<long>")
+    for c in also:
+        schema = schema.add(out.schema[c])
+    return out.mapInArrow(applied, schema).withColumnRenamed("key", key)
+
+
+def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", chars: str = "n_chars") -> DataFrame:
+    """The documents with their texts cut, and their columns as they were but for text and chars
+    (the text's length, if there is such a column). Characters of which a part was removed go
+    whole, as do U+FFFD in cut texts; documents that lose their last word go."""
+    found = remove_repeats(docs, text, key, rest=True)
+    touched = F.size("starts") > 0
+    body = F.when(touched, F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"), F.lit(""))).otherwise(F.col("kept").cast("string"))
+    rows = found.select("rest", body.alias("body"), touched.alias("touched")).where(~F.col("touched") | F.rlike("body", F.lit(WORD)))
+
+    def column(c: str):
+        if c == text:
+            return F.col("body").alias(c)
+        if c == chars:
+            return F.when(F.col("touched"), F.length("body")).otherwise(F.col("rest")[c]).cast(docs.schema[c].dataType).alias(c)
+        return F.col("rest")[c].alias(c)
+
+    return rows.select(*map(column, docs.columns))
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
