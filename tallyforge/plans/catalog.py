@@ -1,6 +1,6 @@
 """The engine's queries over the driver's tables: name -> (spark, sf_dir) -> DataFrame.
 
-Ratios are rounded to six digits and sums of money to two, as in the SQL they are held against."""
+Ratios are rounded to six digits and sums of money to four, as in the SQL they are held against."""
 
 from __future__ import annotations
 
@@ -105,7 +105,7 @@ def balance_sheet(spark, d):
 
 @query
 def cash_flow(spark, d):
-    return rounded(Tables(spark, d).cash, 2)
+    return rounded(Tables(spark, d).cash, 4)
 
 
 @query
@@ -122,17 +122,17 @@ def key_metrics_calendar_safe(spark, d):
 
 @query
 def fcf_bridge(spark, d):
-    return rounded(statements.fcf_bridge(Tables(spark, d).canonical), 2)
+    return rounded(statements.fcf_bridge(Tables(spark, d).canonical), 4)
 
 
 @query
 def fcf_waterfall(spark, d):
-    return rounded(statements.waterfall(statements.fcf_bridge(Tables(spark, d).canonical)), 2)
+    return rounded(statements.waterfall(statements.fcf_bridge(Tables(spark, d).canonical)), 4)
 
 
 @query
 def restatement_details(spark, d):
-    return rounded(quality.restatements(Tables(spark, d).facts), 2, rel_diff=6)
+    return rounded(quality.restatements(Tables(spark, d).facts), 4, rel_diff=6)
 
 
 @query
@@ -169,7 +169,7 @@ def variance_facts_no_forecast(spark, d):
 
 @query
 def export_fact_financials(spark, d):
-    return rounded(Tables(spark, d).financials, 2)
+    return rounded(Tables(spark, d).financials, 4)
 
 
 @query
@@ -179,19 +179,19 @@ def collapsed_facts(spark, d):
 
 @query
 def q4_income_derivation(spark, d):
-    return rounded(Tables(spark, d).financials.where(F.col("fact_id").contains(":Q4derived:")), 2)
+    return rounded(Tables(spark, d).financials.where(F.col("fact_id").contains(":Q4derived:")), 4)
 
 
 @query
 def derived_fcf(spark, d):
-    return rounded(Tables(spark, d).financials.where("line_item = 'FreeCashFlow'"), 2)
+    return rounded(Tables(spark, d).financials.where("line_item = 'FreeCashFlow'"), 4)
 
 
 @query
 def ytd_to_standalone(spark, d):
     t = Tables(spark, d)
     rows = star.relabel(dedupe.collapsed(t.canonical), t.companies)
-    return rounded(star.standalone_cash_flow(rows).where(F.col("line_item").isin("OperatingCashFlow", "CapEx")), 2)
+    return rounded(star.standalone_cash_flow(rows).where(F.col("line_item").isin("OperatingCashFlow", "CapEx")), 4)
 
 
 @query
@@ -203,7 +203,7 @@ def unbased_cash_flow(spark, d):
 @query
 def fact_fcf_bridge(spark, d):
     t = Tables(spark, d)
-    return rounded(star.fact_bridge(statements.fcf_bridge(t.canonical), t.companies), 2)
+    return rounded(star.fact_bridge(statements.fcf_bridge(t.canonical), t.companies), 4)
 
 
 @query
@@ -236,12 +236,12 @@ def dim_filing(spark, d):
 @query
 def star_join_tooltip(spark, d):
     t = Tables(spark, d)
-    return rounded(star.star_join(t.financials, star.dim_date(t.financials, t.snapped, t.companies), star.dim_metric(spark), star.dim_filing(t.facts)), 2)
+    return rounded(star.star_join(t.financials, star.dim_date(t.financials, t.snapped, t.companies), star.dim_metric(spark), star.dim_filing(t.facts)), 4)
 
 
 @query
 def hist_financials_wide(spark, d):
-    return rounded(statements.historical_wide(Tables(spark, d).financials.where("period_type = 'Q'")), 2)
+    return rounded(statements.historical_wide(Tables(spark, d).financials.where("period_type = 'Q'")), 4)
 
 
 @query
@@ -257,7 +257,7 @@ def latest_12_quarters(spark, d):
 
 @query
 def ttm_kpis(spark, d):
-    return rounded(metrics.ttm_kpis(Tables(spark, d).financials), 2, ttm_operating_margin=6, ttm_fcf_margin=6)
+    return rounded(metrics.ttm_kpis(Tables(spark, d).financials), 4, ttm_operating_margin=6, ttm_fcf_margin=6)
 
 
 @query
@@ -267,7 +267,7 @@ def dso_rolling(spark, d):
 
 @query
 def billings(spark, d):
-    return rounded(metrics.billings(Tables(spark, d).financials), 2, cover_ratio=6)
+    return rounded(metrics.billings(Tables(spark, d).financials), 4, cover_ratio=6)
 
 
 @query
@@ -283,24 +283,24 @@ def rule_of_40(spark, d):
 @query
 def forecast_scorecard(spark, d):
     t = Tables(spark, d)
-    return rounded(metrics.scorecard(t.financials, t.snapped), 2, variance_pct=6)
+    return rounded(metrics.scorecard(t.financials, t.snapped), 4, variance_pct=6)
 
 
 @query
 def forecast_overlay(spark, d):
     t = Tables(spark, d)
-    return rounded(metrics.forecast_overlay(t.financials, t.snapped), 2)
+    return rounded(metrics.forecast_overlay(t.financials, t.snapped), 4)
 
 
 @query
 def cv_error_summary(spark, d):
     t = Tables(spark, d)
-    return rounded(metrics.model_errors(metrics.scorecard(t.financials, t.snapped)), 2, mape=6)
+    return rounded(metrics.model_errors(metrics.scorecard(t.financials, t.snapped)), 4, mape=6)
 
 
 @query
 def history_frame(spark, d):
-    return rounded(Tables(spark, d).history, 2)
+    return rounded(Tables(spark, d).history, 4)
 
 
 @query
@@ -311,18 +311,18 @@ def base_assumptions(spark, d):
 @query
 def scenario_forecast(spark, d):
     columns = ["ticker", "scenario", "step", "Revenue", "GrossProfit", "NetIncome", "OCF", "Cash", "TotalAssets", "TotalLiabilities", "TotalEquity", "BalanceCheck"]
-    return rounded(scenario.project(scenario.scenarios(scenario.assumptions(Tables(spark, d).history))).select(*columns), 2)
+    return rounded(scenario.project(scenario.scenarios(scenario.assumptions(Tables(spark, d).history))).select(*columns), 4)
 
 
 @query
 def balance_check(spark, d):
     rows = scenario.balance_checks(scenario.project(scenario.scenarios(scenario.assumptions(Tables(spark, d).history))))
-    return rounded(rows, 2)
+    return rounded(rows, 4)
 
 
 @query
 def ocf_residual(spark, d):
-    return rounded(scenario.ocf_residual(Tables(spark, d).history), 2)
+    return rounded(scenario.ocf_residual(Tables(spark, d).history), 4)
 
 
 @query
@@ -370,12 +370,12 @@ def recursive_forecast(spark, d):
 @query
 def bootstrap_percentiles(spark, d):
     rows = Tables(spark, d).read("orders").select("o_orderpriority", "o_totalprice")
-    return rounded(modelling.percentiles(rows, ["o_orderpriority"], "o_totalprice"), 2)
+    return rounded(modelling.percentiles(rows, ["o_orderpriority"], "o_totalprice"), 4)
 
 
 def _periods(spark: SparkSession) -> DataFrame:
-    ends = F.explode(F.expr("sequence(date'1995-03-31', date'1998-12-31', interval 3 month)"))
-    ends = spark.range(1).select(F.last_day(ends).alias("end"))
+    ends = spark.range(1).select(F.explode(F.expr("sequence(date'1995-03-31', date'1998-12-31', interval 3 month)")).alias("day"))
+    ends = ends.select(F.last_day("day").alias("end"))
     return ends.select(F.add_months("end", -3).alias("start"), "end")
 
 
@@ -392,7 +392,7 @@ def quarterly_range_avg(spark, d):
     t = Tables(spark, d)
     series = t.read("orders").select((F.col("o_custkey") % 5).alias("symbol"), F.col("o_orderdate").cast("date").alias("date"), F.col("o_totalprice").alias("value"))
     periods = _periods(spark).join(spark.range(5).select(F.col("id").alias("symbol")))
-    return rounded(timeseries.range_average(periods, series, ["symbol"]), 2)
+    return rounded(timeseries.range_average(periods, series, ["symbol"]), 4)
 
 
 @query
@@ -452,7 +452,7 @@ def driver_classification(spark, d):
 def amount_formats(spark, d):
     o = Tables(spark, d).read("customer")
     amount = F.col("c_acctbal") * 1000
-    return o.select("c_custkey", text.dollars(amount).alias("dollars"), F.round(text.parse_dollars(text.dollars(amount)), 2).alias("parsed"), text.percent(F.col("c_acctbal") / 1e4).alias("percent"), text.truthy(F.col("c_mktsegment")).alias("truthy"))
+    return o.select("c_custkey", text.dollars(amount).alias("dollars"), F.round(text.parse_dollars(text.dollars(amount)), 4).alias("parsed"), text.percent(F.col("c_acctbal") / 1e4).alias("percent"), text.truthy(F.col("c_mktsegment")).alias("truthy"))
 
 
 @query
@@ -504,7 +504,7 @@ def event_windows(spark, d):
     from ..streaming import facts as streaming
 
     rows = streaming.windowed(Tables(spark, d).read("events"), "1 day")
-    return rounded(rows.select(F.col("window.start").cast("date").alias("day"), "event_type", "n", "total"), 2)
+    return rounded(rows.select(F.col("window.start").cast("date").alias("day"), "event_type", "n", "total"), 4)
 
 
 @query

@@ -1 +1,411 @@
-SQL: dict = {}
+"""The queries' SQL in DuckDB's dialect, written apart from the plans they are held against."""
+
+from __future__ import annotations
+
+from ..functions import vocab
+from ..sources.adapter import FORMS, ITEMS
+
+
+def _list(items) -> str:
+    return ", ".join("'" + str(x).replace("'", "''") + "'" for x in items)
+
+
+_FE = "((k % 4) * 3 + 3)"
+_FP = "'Q' || (4 - (((({fe} - month({d})) % 12) + 12) % 12) // 3)"
+_FY = "(year({d}) + CASE WHEN month({d}) > {fe} THEN 1 ELSE 0 END)::INT"
+_PRIORITY = "CASE form_type WHEN '10-K/A' THEN 4 WHEN '10-Q/A' THEN 3 WHEN '10-K' THEN 2 WHEN '10-Q' THEN 1 ELSE 0 END"
+
+_LINES = f"""
+SELECT l_suppkey % 8 AS k, ([{_list(ITEMS)}])[l_partkey % 24 + 1] AS line_item, ([{_list(FORMS)}])[l_linenumber % 4 + 1] AS form_type, l_linenumber AS ln,
+  last_day(date_trunc('quarter', l_shipdate) + INTERVAL 2 MONTH)::DATE AS pe, (l_partkey // 24) % 2 = 0 AS framed, sum(l_extendedprice::DECIMAL(18,2)) AS v
+FROM lineitem GROUP BY ALL"""
+
+_RAW = f"""
+SELECT k, line_item, line_item || CASE WHEN fy % 5 = 0 AND fp = 'Q2' THEN 'Alt' ELSE 'Concept' END AS concept_used, pe, 'Q' AS period_type, fy AS fiscal_year, fp AS fiscal_period,
+  v::DOUBLE AS value, quarter(pe) * 1000 + ln AS num, form_type, (pe + (30 + ln)::INT)::DATE AS filed, CASE WHEN framed THEN 'CY' || year(pe) || 'Q' || quarter(pe) ELSE '' END AS frame
+FROM labelled WHERE NOT (fp = 'Q4' AND fy % 2 = 0 AND line_item IN ({_list(vocab.Q4_DERIVABLE)}))
+UNION ALL
+SELECT k, line_item, line_item || 'Concept', last_day(make_date(fy, {_FE}::INT, 1)), 'FY', fy, 'FY', v * scale, num, form, (last_day(make_date(fy, {_FE}::INT, 1)) + late)::DATE, 'CY' || fy
+FROM (SELECT k, line_item, fy, sum(v)::DOUBLE AS v FROM labelled GROUP BY ALL) y
+CROSS JOIN (VALUES ('10-K', 1.0::DOUBLE, 9001, 60), ('10-K/A', 1.05::DOUBLE, 9002, 120)) f(form, scale, num, late)
+WHERE form = '10-K' OR (k + fy) % 3 = 0"""
+
+_FACTS = """
+SELECT 'S' || k AS ticker, line_item, concept_used, pe::VARCHAR AS period_end, period_type, fiscal_year, fiscal_period, value,
+  CASE WHEN line_item IN ('DilutedShares', 'SharesOutstanding') THEN 'shares' ELSE 'USD' END AS unit, accn AS accession_no,
+  left(sha256(concat_ws('|', 'S' || k, concept_used, pe::VARCHAR, fiscal_period, accn)), 16) AS fact_id,
+  'https://filings.example/data/' || (k + 1) || '/' || replace(accn, '-', '') || '/' AS filing_url, form_type, filed::VARCHAR AS filed_date, frame
+FROM (SELECT *, lpad((k + 1)::VARCHAR, 10, '0') || '-' || substr(pe::VARCHAR, 3, 2) || '-' || lpad(num::VARCHAR, 6, '0') AS accn FROM raw)"""
+
+
+def _wide(items: dict[str, str], more: str = "") -> str:
+    made = []
+    for item, p in items.items():
+        for c, n in (("value", item), ("fact_id", f"{p}_fact_id"), ("accession_no", f"{p}_accession"), ("filing_url", f"{p}_filing_url")):
+            made.append(f"max({c}) FILTER (WHERE line_item = '{item}') AS {n}")
+    return f"SELECT *{more} FROM (SELECT ticker, period_end, fiscal_year, fiscal_period, period_type, {', '.join(made)} FROM canonical GROUP BY ALL)"
+
+
+
+
+def _div(a: str, b: str) -> str:
+    return f"(({a}) / nullif({b}, 0))"
+
+
+_KEY = f"""
+SELECT q.ticker, q.period_end, q.period_type, q.fiscal_year, q.fiscal_period, q.Revenue, q.GrossProfit, q.OperatingIncome, q.NetIncome, c.OperatingCashFlow, c.CapEx, c.FreeCashFlow,
+  {_div("q.GrossProfit", "q.Revenue")} AS gross_margin_pct, {_div("q.OperatingIncome", "q.Revenue")} AS operating_margin_pct, {_div("q.NetIncome", "q.Revenue")} AS net_margin_pct,
+  {_div("c.FreeCashFlow", "q.Revenue")} AS fcf_margin_pct,
+  (q.Revenue - lag(q.Revenue) OVER w) / nullif(lag(q.Revenue) OVER w, 0) AS revenue_qoq_growth, (q.Revenue - lag(q.Revenue, 4) OVER w) / nullif(lag(q.Revenue, 4) OVER w, 0) AS revenue_yoy_growth,
+  q.fiscal_year * 4 + substr(q.fiscal_period, 2, 1)::INT - lag(q.fiscal_year * 4 + substr(q.fiscal_period, 2, 1)::INT) OVER w AS d1,
+  q.fiscal_year * 4 + substr(q.fiscal_period, 2, 1)::INT - lag(q.fiscal_year * 4 + substr(q.fiscal_period, 2, 1)::INT, 4) OVER w AS d4
+FROM inc q LEFT JOIN cf c ON c.ticker = q.ticker AND c.period_end = q.period_end AND c.fiscal_year = q.fiscal_year AND c.fiscal_period = q.fiscal_period AND c.period_type = 'Q'
+WHERE q.period_type = 'Q' WINDOW w AS (PARTITION BY q.ticker ORDER BY q.fiscal_year, q.fiscal_period, q.period_end)"""
+
+_BRIDGE = """
+SELECT ticker, period_end, fiscal_year, fiscal_period, period_type, component, component_order, component_role, value, accession_no, fact_id, filing_url FROM (
+  SELECT *, 'NetIncome' AS component, 1 AS component_order, 'start' AS component_role, NetIncome AS value, net_income_accession AS accession_no, net_income_fact_id AS fact_id, net_income_filing_url AS filing_url FROM five
+  UNION ALL SELECT *, 'Depreciation', 2, 'add', Depreciation, depreciation_accession, depreciation_fact_id, depreciation_filing_url FROM five
+  UNION ALL SELECT *, 'StockBasedCompensation', 3, 'add', StockBasedCompensation, sbc_accession, sbc_fact_id, sbc_filing_url FROM five
+  UNION ALL SELECT *, 'WorkingCapitalAndOther', 4, 'add', OperatingCashFlow - NetIncome - Depreciation - StockBasedCompensation, NULL, NULL, NULL FROM five
+  UNION ALL SELECT *, 'OperatingCashFlow', 5, 'subtotal', OperatingCashFlow, ocf_accession, ocf_fact_id, ocf_filing_url FROM five
+  UNION ALL SELECT *, 'CapEx', 6, 'subtract', -CapEx, capex_accession, capex_fact_id, capex_filing_url FROM five
+  UNION ALL SELECT *, 'FreeCashFlow', 7, 'end', OperatingCashFlow - CapEx, ocf_accession, ocf_fact_id, ocf_filing_url FROM five)"""
+
+_COLS = ", ".join(vocab.FACT_COLUMNS)
+
+_RESTATED = """
+SELECT ticker, line_item, period_end, period_type, frame, fiscal_year, fiscal_period, amended_value, amending_accession_no, amendment_date, original_value, original_accession_no, original_date, abs_diff, rel_diff FROM (
+  SELECT a.ticker, a.line_item, a.period_end, a.period_type, a.frame, a.fiscal_year, a.fiscal_period, a.value AS amended_value, a.accession_no AS amending_accession_no, a.filed_date AS amendment_date,
+    o.value AS original_value, o.accession_no AS original_accession_no, o.filed_date AS original_date, abs(a.value - o.value) AS abs_diff, abs(a.value - o.value) / nullif(abs(o.value), 0) AS rel_diff,
+    row_number() OVER (PARTITION BY a.ticker, a.line_item, a.period_end, a.period_type, a.frame, a.accession_no ORDER BY o.filed_date DESC, o.accession_no DESC, a.fact_id DESC) AS rn
+  FROM facts a JOIN facts o ON a.ticker = o.ticker AND a.line_item = o.line_item AND a.period_end = o.period_end AND a.period_type = o.period_type AND a.frame = o.frame
+    AND replace(a.form_type, '/A', '') = o.form_type AND o.filed_date < a.filed_date
+  WHERE a.form_type LIKE '%/A' AND (abs(a.value - o.value) > 10000 OR abs(a.value - o.value) / nullif(abs(o.value), 0) > 0.001)) WHERE rn = 1"""
+
+_MISSING = """
+SELECT q.ticker, li.line_item, q.fiscal_year, q.fiscal_period, q.period_end
+FROM (SELECT DISTINCT ticker, fiscal_year, fiscal_period, period_end FROM facts WHERE period_type = 'Q') q JOIN (SELECT DISTINCT ticker, line_item FROM facts) li ON q.ticker = li.ticker
+WHERE NOT EXISTS (SELECT 1 FROM facts f WHERE f.period_type = 'Q' AND f.ticker = q.ticker AND f.line_item = li.line_item AND f.fiscal_year = q.fiscal_year AND f.fiscal_period = q.fiscal_period AND f.period_end = q.period_end)"""
+
+_QUALITY = f"""
+SELECT f.ticker, count(*) AS total_facts, count(DISTINCT line_item) AS distinct_line_items, count(DISTINCT fiscal_year) AS distinct_fiscal_years, min(fiscal_year) AS min_fiscal_year, max(fiscal_year) AS max_fiscal_year,
+  count(*) FILTER (WHERE line_item = 'Inventory' AND value IS NOT NULL) > 0 AS has_physical_inventory, f.ticker IN (SELECT ticker FROM restated) AS has_restatement,
+  count(*) FILTER (WHERE line_item = 'GoingConcernDoubt') > 0 AS has_going_concern_doubt, count(*) FILTER (WHERE line_item = 'MaterialWeakness') > 0 AS has_material_weakness,
+  (SELECT string_agg(DISTINCT 'FY' || m.fiscal_year || m.fiscal_period, ',' ORDER BY 'FY' || m.fiscal_year || m.fiscal_period) FROM missing m WHERE m.ticker = f.ticker AND m.line_item IN ({_list(vocab.LOAD_BEARING)})) AS missing_quarters
+FROM facts f GROUP BY f.ticker"""
+
+_FORECASTS = """
+SELECT ticker, model, date_trunc('quarter', period_end::DATE + INTERVAL 10 MONTH)::DATE::VARCHAR AS period_end, r * kk AS yhat, r * 0.9::DOUBLE AS yhat_lower_80, r * 1.2::DOUBLE AS yhat_upper_80, r * 0.8::DOUBLE AS yhat_lower_95, r * 1.3::DOUBLE AS yhat_upper_95, period_end AS forecast_run_date
+FROM (SELECT ticker, period_end, max(Revenue) AS r FROM inc WHERE period_type = 'Q' AND Revenue IS NOT NULL GROUP BY ALL) CROSS JOIN (VALUES ('arima', 1.02::DOUBLE), ('lasso', 0.97::DOUBLE), ('prophet', 1.1::DOUBLE)) m(model, kk)"""
+
+_TFE = "((substr(ticker, 2)::INT % 4) * 3 + 3)"
+_SNAPPED = f"""
+SELECT ticker, model, last_day(date_trunc('month', period_end::DATE) + to_months((({_TFE} - month(period_end::DATE)) % 3 + 3) % 3))::DATE::VARCHAR AS period_end, yhat, yhat_lower_80, yhat_upper_80, yhat_lower_95, yhat_upper_95, forecast_run_date, 'Revenue' AS line_item FROM forecasts"""
+
+_VROWS = f"""
+SELECT i.ticker, i.period_end, i.fiscal_year, i.fiscal_period, i.Revenue AS rev, {_div("i.GrossProfit", "i.Revenue")} AS gm, {_div("i.OperatingIncome", "i.Revenue")} AS om, c.FreeCashFlow AS fcf,
+  i.Revenue + (b.dr - (SELECT p.dr FROM drs p WHERE p.ticker = i.ticker AND p.period_end < i.period_end ORDER BY p.period_end DESC LIMIT 1)) AS bill,
+  i.revenue_fact_id, i.revenue_accession, i.revenue_filing_url, i.gross_profit_fact_id, i.operating_income_fact_id
+FROM inc i LEFT JOIN cf c ON c.ticker = i.ticker AND c.period_end = i.period_end AND c.period_type = 'Q' LEFT JOIN drs b ON b.ticker = i.ticker AND b.period_end = i.period_end WHERE i.period_type = 'Q'"""
+
+_VARIANCE = f"""
+SELECT n.ticker, n.period_end AS latest_period_end, n.fiscal_year, n.fiscal_period, n.rev AS revenue_actual, f.med AS revenue_prior_forecast, y.rev AS revenue_yoy, n.rev - f.med AS revenue_variance_vs_forecast,
+  {_div("n.rev - f.med", "f.med")} AS revenue_variance_pct_vs_forecast, {_div("n.rev - y.rev", "y.rev")} AS revenue_yoy_growth_pct,
+  n.gm AS gross_margin_pct_actual, y.gm AS gross_margin_pct_yoy, n.gm - y.gm AS gross_margin_pct_yoy_delta, n.om AS operating_margin_pct_actual, y.om AS operating_margin_pct_yoy, n.om - y.om AS operating_margin_pct_yoy_delta,
+  n.fcf AS fcf_actual, y.fcf AS fcf_yoy, n.fcf - y.fcf AS fcf_yoy_delta, {_div("n.fcf - y.fcf", "abs(y.fcf)")} AS fcf_yoy_growth_pct, n.bill AS billings_actual, y.bill AS billings_yoy, {_div("n.bill - y.bill", "abs(y.bill)")} AS billings_yoy_growth_pct,
+  n.revenue_fact_id AS revenue_actual_fact_id, n.revenue_accession AS revenue_actual_accession, n.revenue_filing_url AS revenue_actual_filing_url, f.models AS revenue_prior_forecast_model, n.gross_profit_fact_id, n.operating_income_fact_id AS op_income_fact_id
+FROM (SELECT * FROM vrows WHERE rev IS NOT NULL QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY fiscal_year DESC, fiscal_period DESC, period_end DESC) = 1) n
+LEFT JOIN (SELECT * FROM vrows QUALIFY row_number() OVER (PARTITION BY ticker, fiscal_year, fiscal_period ORDER BY period_end DESC) = 1) y ON y.ticker = n.ticker AND y.fiscal_year = n.fiscal_year - 1 AND y.fiscal_period = n.fiscal_period
+LEFT JOIN (SELECT ticker, period_end, median(yhat) AS med, string_agg(DISTINCT model, '|' ORDER BY model) AS models FROM {{source}} GROUP BY ALL) f ON f.ticker = n.ticker AND f.period_end = n.period_end"""
+
+_COLLAPSED = f"""
+SELECT {_COLS} FROM canonical WHERE period_type = 'Q' OR (period_type = 'FY' AND line_item IN ({_list(vocab.BALANCE_SHEET)}))
+QUALIFY row_number() OVER (PARTITION BY ticker, line_item, period_end ORDER BY {_PRIORITY} DESC, filed_date DESC, CASE WHEN frame LIKE 'CY%Q%' THEN 0 ELSE 1 END, abs(value), accession_no DESC, fact_id DESC) = 1"""
+
+
+def _relabel(source: str, columns: str = _COLS) -> str:
+    d = "period_end::DATE"
+    return f"SELECT {columns} FROM (SELECT * REPLACE ({_FY.format(d=d, fe=_TFE)} AS fiscal_year, {_FP.format(d=d, fe=_TFE)} AS fiscal_period) FROM {source})"
+
+
+_PROMOTED = "SELECT * REPLACE (CASE WHEN period_type = 'FY' THEN 'Q' ELSE period_type END AS period_type) FROM collapsed"
+
+_Q4 = f"""
+SELECT t.ticker, t.line_item, t.concept_used || '{vocab.DERIVED_Q4}' AS concept_used, t.period_end, 'Q' AS period_type, t.fiscal_year, 'Q4' AS fiscal_period, t.value - s.v::DOUBLE AS value, t.unit, t.accession_no,
+  t.accession_no || ':' || t.line_item || ':Q4derived:' || t.period_end AS fact_id, t.filing_url, t.form_type, t.filed_date, '' AS frame
+FROM (SELECT * FROM totals QUALIFY row_number() OVER (PARTITION BY ticker, line_item, fiscal_year ORDER BY period_end DESC, fact_id DESC) = 1) t
+JOIN (SELECT ticker, line_item, fiscal_year, sum(value::DECIMAL(28,4)) AS v, count(DISTINCT fiscal_period) AS n, list_sort(list(DISTINCT concept_used)) AS concepts
+  FROM base WHERE fiscal_period IN ('Q1', 'Q2', 'Q3') AND line_item IN ({_list(vocab.Q4_DERIVABLE)}) GROUP BY ALL) s ON s.ticker = t.ticker AND s.line_item = t.line_item AND s.fiscal_year = t.fiscal_year
+WHERE s.n = 3 AND s.concepts = [t.concept_used]
+  AND NOT EXISTS (SELECT 1 FROM base b WHERE b.ticker = t.ticker AND b.line_item = t.line_item AND b.fiscal_year = t.fiscal_year AND b.fiscal_period = 'Q4')"""
+
+
+def _standalone(source: str) -> str:
+    flow = f"line_item IN ({_list(vocab.CUMULATIVE_CASH_FLOW)}) AND period_type = 'Q'"
+    columns = ", ".join(f"x.{c}" for c in vocab.FACT_COLUMNS if c != "value")
+    return f"""SELECT {columns}, CASE WHEN x.due AND p.v IS NOT NULL THEN x.value - p.v ELSE x.value END AS value, x.due AND p.v IS NULL AS unbased
+FROM (SELECT *, {flow} AND fiscal_period > 'Q1' AND NOT regexp_full_match(frame, 'CY[0-9]{{4}}Q[1-4]') AS due FROM {source}) x
+LEFT JOIN (SELECT ticker, line_item, fiscal_year, fiscal_period, max(value) AS v FROM {source} WHERE {flow} GROUP BY ALL) p
+  ON p.ticker = x.ticker AND p.line_item = x.line_item AND p.fiscal_year = x.fiscal_year AND p.fiscal_period = 'Q' || (substr(x.fiscal_period, 2, 1)::INT - 1)"""
+
+
+_FIN = f"""
+SELECT {_COLS} FROM alone UNION ALL
+SELECT {_COLS} FROM (SELECT o.* REPLACE ('FreeCashFlow' AS line_item, o.value - c.value AS value, '{vocab.DERIVED_FCF}' AS concept_used, o.accession_no || ':FreeCashFlow:' || o.period_end AS fact_id)
+  FROM alone o JOIN alone c ON o.ticker = c.ticker AND o.period_end = c.period_end AND o.line_item = 'OperatingCashFlow' AND c.line_item = 'CapEx')"""
+
+_DATES = f"""
+SELECT ticker, period_end AS date_key, period_end, fiscal_year, fiscal_period AS fiscal_quarter, year(period_end::DATE)::INT AS calendar_year, quarter(period_end::DATE)::INT AS calendar_quarter FROM (
+  SELECT ticker, period_end, fiscal_year, fiscal_period, 0 AS r FROM fin WHERE fiscal_period LIKE 'Q%' UNION ALL
+  SELECT ticker, period_end, fiscal_year, fiscal_period, 1 FROM (SELECT ticker, period_end, {_FY.format(d="period_end::DATE", fe=_TFE)} AS fiscal_year, {_FP.format(d="period_end::DATE", fe=_TFE)} AS fiscal_period FROM snapped))
+QUALIFY row_number() OVER (PARTITION BY ticker, period_end ORDER BY r, fiscal_year DESC, fiscal_period DESC) = 1"""
+
+_METRICS = ", ".join("(" + _list(m) + ")" for m in vocab.METRICS)
+_FILINGS = "SELECT accession_no, filing_url, filed_date, form_type FROM facts QUALIFY row_number() OVER (PARTITION BY accession_no ORDER BY filing_url, filed_date, form_type, fact_id) = 1"
+
+
+def _quarterly(*items: str) -> str:
+    return "SELECT ticker, period_end, " + ", ".join(f"(sum(value::DECIMAL(28,4)) FILTER (WHERE line_item = '{i}'))::DOUBLE AS {i}" for i in items) + f" FROM fin WHERE period_type = 'Q' AND line_item IN ({_list(items)}) GROUP BY ALL"
+
+
+def _ttm(c: str) -> str:
+    return f"CASE WHEN count(*) OVER t = 4 THEN (sum({c}::DECIMAL(28,4)) OVER t)::DOUBLE END"
+
+
+_TTM = f"""
+SELECT *, ttm_ocf - ttm_capex AS ttm_fcf, {_div("ttm_operating_income", "ttm_revenue")} AS ttm_operating_margin, {_div("ttm_ocf - ttm_capex", "ttm_revenue")} AS ttm_fcf_margin FROM (
+SELECT *, {_ttm("Revenue")} AS ttm_revenue, {_ttm("OperatingIncome")} AS ttm_operating_income, {_ttm("OperatingCashFlow")} AS ttm_ocf, {_ttm("CapEx")} AS ttm_capex
+FROM ({_quarterly("Revenue", "OperatingIncome", "OperatingCashFlow", "CapEx")}) WINDOW t AS (PARTITION BY ticker ORDER BY period_end ROWS BETWEEN 3 PRECEDING AND CURRENT ROW))"""
+
+_SCORE = f"""
+SELECT s.ticker, model, s.period_end, forecast_run_date, Revenue, yhat, Revenue - yhat AS variance, {_div("Revenue - yhat", "yhat")} AS variance_pct,
+  CASE WHEN abs({_div("Revenue - yhat", "yhat")}) < 0.05 THEN '<5%' WHEN abs({_div("Revenue - yhat", "yhat")}) <= 0.1 THEN '5-10%' WHEN abs({_div("Revenue - yhat", "yhat")}) > 0.1 THEN '>10%' END AS band
+FROM snapped s JOIN ({_quarterly("Revenue")}) a ON a.ticker = s.ticker AND a.period_end = s.period_end"""
+
+_HIST = """
+SELECT *, (row_number() OVER (PARTITION BY ticker ORDER BY fiscal_year, fiscal_period, period_end))::INT AS slot FROM (
+SELECT i.ticker, i.period_end, i.fiscal_year, i.fiscal_period, i.Revenue, i.CostOfRevenue, i.GrossProfit, i.OperatingExpenses, i.NetIncome, b.Cash, b.AccountsReceivable, b.Inventory, b.AccountsPayable, b.DeferredRevenue, b.TotalAssets, b.TotalLiabilities, b.TotalEquity,
+  c.OperatingCashFlow, c.Depreciation, c.StockBasedCompensation, c.TreasuryStockRepurchases, c.CapEx
+FROM inc i JOIN bs b ON b.ticker = i.ticker AND b.period_end = i.period_end AND b.fiscal_year = i.fiscal_year AND b.fiscal_period = i.fiscal_period AND b.period_type = 'Q'
+JOIN cf c ON c.ticker = i.ticker AND c.period_end = i.period_end AND c.fiscal_year = i.fiscal_year AND c.fiscal_period = i.fiscal_period AND c.period_type = 'Q'
+WHERE i.period_type = 'Q' AND b.TotalAssets IS NOT NULL AND b.TotalLiabilities IS NOT NULL AND b.TotalEquity IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY i.ticker ORDER BY i.fiscal_year DESC, i.fiscal_period DESC, i.period_end DESC) <= 12)"""
+
+_LAST = """
+SELECT ticker, max(n) AS n, avg(q) AS g, avg(qo) AS og, max(CASE WHEN back = 4 THEN rev END) AS rev5, avg(capex) FILTER (WHERE back < 4) AS capex4, avg(rev) FILTER (WHERE back < 4) AS rev4, bool_or(inv != 0) AS has_inventory,
+  max(CASE WHEN back = 0 THEN rev END) AS revenue_last, max(CASE WHEN back = 0 THEN gp END) AS gp, max(CASE WHEN back = 0 THEN cogs END) AS cogs, max(CASE WHEN back = 0 THEN opex END) AS opex, max(CASE WHEN back = 0 THEN ar END) AS ar, max(CASE WHEN back = 0 THEN ap END) AS ap,
+  max(CASE WHEN back = 0 THEN inv END) AS inv, max(CASE WHEN back = 0 THEN sbc END) AS sbc, max(CASE WHEN back = 0 THEN buy END) AS buy, max(CASE WHEN back = 0 THEN dep END) AS dep, max(CASE WHEN back = 0 THEN cash END) AS cash, max(CASE WHEN back = 0 THEN dr END) AS dr,
+  max(CASE WHEN back = 0 THEN ta END) AS ta, max(CASE WHEN back = 0 THEN tl END) AS tl, max(CASE WHEN back = 0 THEN eq END) AS eq FROM (
+SELECT *, CASE WHEN back < 4 AND n >= 5 AND lag(rev) OVER w > 0 THEN rev / nullif(lag(rev) OVER w, 0) - 1 END AS q, CASE WHEN back < 4 AND n >= 5 AND lag(opex) OVER w > 0 THEN opex / nullif(lag(opex) OVER w, 0) - 1 END AS qo FROM (
+SELECT ticker, slot, max(slot) OVER (PARTITION BY ticker) AS n, max(slot) OVER (PARTITION BY ticker) - slot AS back, coalesce(Revenue, 0) AS rev, coalesce(GrossProfit, 0) AS gp, coalesce(CostOfRevenue, 0) AS cogs, coalesce(OperatingExpenses, 0) AS opex, coalesce(CapEx, 0) AS capex,
+  coalesce(AccountsReceivable, 0) AS ar, coalesce(AccountsPayable, 0) AS ap, coalesce(Inventory, 0) AS inv, coalesce(StockBasedCompensation, 0) AS sbc, coalesce(TreasuryStockRepurchases, 0) AS buy, coalesce(Depreciation, 0) AS dep, coalesce(Cash, 0) AS cash, coalesce(DeferredRevenue, 0) AS dr,
+  coalesce(TotalAssets, 0) AS ta, coalesce(TotalLiabilities, 0) AS tl, coalesce(TotalEquity, 0) AS eq FROM hist) WINDOW w AS (PARTITION BY ticker ORDER BY slot)) GROUP BY ticker"""
+
+_ASSUME = """
+SELECT ticker, has_inventory, greatest(-0.2, least(0.5, CASE WHEN n >= 5 AND rev5 > 0 THEN coalesce(g, 0.04) ELSE 0.04 END))::DOUBLE AS revenue_growth_qoq, greatest(0.3, least(0.99, CASE WHEN revenue_last > 0 THEN gp / revenue_last ELSE 0.68 END))::DOUBLE AS gross_margin_pct,
+  greatest(-0.2, least(0.5, coalesce(og, 0.02)))::DOUBLE AS opex_growth_qoq,
+  greatest(0.001, least(0.2, CASE WHEN (CASE WHEN n >= 4 THEN rev4 ELSE greatest(revenue_last, 1) END) > 0 THEN (CASE WHEN n >= 4 THEN capex4 ELSE 0 END) / (CASE WHEN n >= 4 THEN rev4 ELSE greatest(revenue_last, 1) END) ELSE 0.02 END))::DOUBLE AS capex_pct_of_revenue,
+  greatest(1, least(180, CASE WHEN revenue_last > 0 THEN ar / revenue_last * 90 ELSE 60 END))::DOUBLE AS dso_days, greatest(1, least(180, CASE WHEN cogs > 0 THEN ap / cogs * 90 ELSE 45 END))::DOUBLE AS dpo_days,
+  greatest(0, least(180, CASE WHEN has_inventory AND cogs > 0 THEN inv / cogs * 90 ELSE 0 END))::DOUBLE AS dio_days, 0.15::DOUBLE AS tax_rate, 0.0::DOUBLE AS debt_amortization_qoq, sbc AS sbc_qtrly, buy AS buybacks_qtrly, opex AS opex_trailing, revenue_last, dep AS depreciation,
+  cash, ar, CASE WHEN has_inventory THEN inv ELSE 0 END::DOUBLE AS inventory, ap, dr AS deferred, ta AS total_assets, tl AS total_liabilities, eq AS equity FROM lastq"""
+
+_SCEN = """
+SELECT a.* REPLACE (revenue_growth_qoq * mg AS revenue_growth_qoq, CASE WHEN scenario = 'Bull' THEN least(0.99, gross_margin_pct * mm) ELSE gross_margin_pct * mm END AS gross_margin_pct, opex_growth_qoq * mo AS opex_growth_qoq, dso_days * md AS dso_days), scenario
+FROM assume a CROSS JOIN (VALUES ('Base', 1.0::DOUBLE, 1.0::DOUBLE, 1.0::DOUBLE, 1.0::DOUBLE), ('Bull', 1.5, 1.02, 0.8, 0.95), ('Bear', 0.4, 0.98, 1.3, 1.1)) s(scenario, mg, mm, mo, md)"""
+
+_PROJ = """
+SELECT ticker, scenario, 0 AS step, revenue_last AS rev, 0.0::DOUBLE AS gp, opex_trailing AS opex, 0.0::DOUBLE AS ni, 0.0::DOUBLE AS ocf, cash, ar, inventory AS inv, ap, equity AS eq, total_assets - cash - ar - inventory AS oa, 0.0::DOUBLE AS ta, 0.0::DOUBLE AS tl, 0.0::DOUBLE AS bc FROM scen
+UNION ALL
+SELECT ticker, scenario, step, rev, gp, opex, ni, ocf, cash, ar2, inv2, ap2, eq, oa, cash + ar2 + inv2 + oa, ap2 + deferred + (total_liabilities - ap0 - deferred), cash + ar2 + inv2 + oa - (ap2 + deferred + 0 + (total_liabilities - ap0 - deferred)) - eq FROM (
+SELECT *, cash1 + (ocf - rev * capex_pct_of_revenue - buybacks_qtrly) AS cash, eq1 + ni + sbc_qtrly - buybacks_qtrly AS eq, oa1 + rev * capex_pct_of_revenue - depreciation AS oa FROM (
+SELECT *, ni + depreciation + sbc_qtrly - (ar2 - ar1) - (inv2 - inv1) + (ap2 - ap1) AS ocf FROM (
+SELECT *, (gp - opex) - greatest(0, gp - opex) * tax_rate AS ni, rev * dso_days / 90 AS ar2, CASE WHEN has_inventory THEN cogs * dio_days / 90 ELSE 0 END AS inv2, cogs * dpo_days / 90 AS ap2 FROM (
+SELECT *, rev - cogs AS gp FROM (
+SELECT s.*, s.ap AS ap0, p.step + 1 AS step, p.rev * (1 + s.revenue_growth_qoq) AS rev, p.rev * (1 + s.revenue_growth_qoq) * (1 - s.gross_margin_pct) AS cogs, p.opex * (1 + s.opex_growth_qoq) AS opex, p.cash AS cash1, p.ar AS ar1, p.inv AS inv1, p.ap AS ap1, p.eq AS eq1, p.oa AS oa1
+FROM proj p JOIN (SELECT * EXCLUDE (cash), cash AS cash0 FROM scen) s ON s.ticker = p.ticker AND s.scenario = p.scenario WHERE p.step < 4)))))"""
+
+CTES = {
+    "lines": _LINES,
+    "labelled": f"SELECT *, {_FY.format(d='pe', fe=_FE)} AS fy, {_FP.format(d='pe', fe=_FE)} AS fp FROM lines",
+    "raw": _RAW,
+    "facts": _FACTS,
+    "canonical": f"SELECT {_COLS} FROM facts QUALIFY row_number() OVER (PARTITION BY ticker, line_item, period_end, period_type, frame ORDER BY {_PRIORITY} DESC, filed_date DESC, accession_no DESC, fact_id DESC) = 1",
+    "inc": _wide(vocab.INCOME),
+    "bs": _wide(vocab.BALANCE),
+    "cf": _wide(vocab.CASH_FLOW, ", OperatingCashFlow - CapEx AS FreeCashFlow"),
+    "km": _KEY,
+    "five": _wide({k: v for k, v in (vocab.INCOME | vocab.CASH_FLOW).items() if k in ("NetIncome", "Depreciation", "StockBasedCompensation", "OperatingCashFlow", "CapEx")})
+    + " WHERE period_type = 'Q' AND NetIncome IS NOT NULL AND Depreciation IS NOT NULL AND StockBasedCompensation IS NOT NULL AND OperatingCashFlow IS NOT NULL AND CapEx IS NOT NULL",
+    "bridge": _BRIDGE,
+    "restated": _RESTATED,
+    "missing": _MISSING,
+    "quality": _QUALITY,
+    "forecasts": _FORECASTS,
+    "snapped": _SNAPPED,
+    "drs": "SELECT ticker, period_end, max(DeferredRevenue) AS dr FROM bs WHERE DeferredRevenue IS NOT NULL GROUP BY ALL",
+    "vrows": _VROWS,
+    "variance": _VARIANCE.format(source="snapped"),
+    "collapsed": _COLLAPSED,
+    "promoted": _PROMOTED,
+    "base": _relabel(
+        "(SELECT * FROM promoted QUALIFY row_number() OVER (PARTITION BY ticker, line_item, period_end, fiscal_year, fiscal_period ORDER BY CASE WHEN regexp_full_match(frame, 'CY[0-9]+Q[0-9]+') THEN 0 ELSE 1 END, abs(value), fact_id DESC) = 1)"
+    ),
+    "totals": _relabel(
+        f"(SELECT * FROM canonical WHERE period_type = 'FY' AND line_item IN ({_list(vocab.Q4_DERIVABLE)}) QUALIFY row_number() OVER (PARTITION BY ticker, line_item, period_end ORDER BY {_PRIORITY} DESC, filed_date DESC, accession_no DESC, fact_id DESC) = 1)"
+    ),
+    "q4": _Q4,
+    "withq4": f"SELECT {_COLS} FROM base UNION ALL SELECT {_COLS} FROM q4",
+    "alone": f"SELECT {_COLS} FROM ({_standalone('withq4')})",
+    "fin": _FIN,
+    "ddate": _DATES,
+    "dmetric": f"SELECT * FROM (VALUES {_METRICS}) m(line_item, label, category, unit)",
+    "dfiling": _FILINGS,
+    "ttm": _TTM,
+    "score": _SCORE,
+    "hist": _HIST,
+    "lastq": _LAST,
+    "assume": _ASSUME,
+    "scen": _SCEN,
+    "proj": _PROJ,
+    "series": "SELECT ticker, period_end, fiscal_year, fiscal_period, value AS y FROM fin WHERE line_item = 'Revenue' AND period_type = 'Q'",
+}
+_PREFIX = "WITH RECURSIVE " + ",\n".join(f"{k} AS ({v})" for k, v in CTES.items()) + "\n"
+
+
+def _r(columns: str, digits: int = 4) -> str:
+    return ", ".join(f"round({c}, {digits}) AS {c}" for c in columns.split())
+
+
+_WIDE_CF = "* REPLACE (" + _r("OperatingCashFlow InvestingCashFlow FinancingCashFlow CapEx Depreciation StockBasedCompensation TreasuryStockRepurchases FreeCashFlow") + ")"
+_KM = "* EXCLUDE (d1, d4) REPLACE (" + _r("Revenue GrossProfit OperatingIncome NetIncome OperatingCashFlow CapEx FreeCashFlow gross_margin_pct operating_margin_pct net_margin_pct fcf_margin_pct revenue_qoq_growth revenue_yoy_growth", 6) + ")"
+_VARC = (
+    "revenue_actual revenue_prior_forecast revenue_yoy revenue_variance_vs_forecast revenue_variance_pct_vs_forecast revenue_yoy_growth_pct gross_margin_pct_actual gross_margin_pct_yoy gross_margin_pct_yoy_delta "
+    "operating_margin_pct_actual operating_margin_pct_yoy operating_margin_pct_yoy_delta fcf_actual fcf_yoy fcf_yoy_delta fcf_yoy_growth_pct billings_actual billings_yoy billings_yoy_growth_pct"
+)
+_VAR = "* REPLACE (" + _r(_VARC, 6) + ")"
+
+
+def _aligned(items: dict[str, str]) -> str:
+    made = []
+    for item, p in items.items():
+        made.append(f"max(value) FILTER (WHERE line_item = '{item}') AS {item}")
+        made += [f"arg_max({c}, (value, fact_id)) FILTER (WHERE line_item = '{item}') AS {p}_{n}" for n, c in (("fact_id", "fact_id"), ("accession", "accession_no"), ("filing_url", "filing_url"))]
+    return f"SELECT ticker, period_end, fiscal_year, fiscal_period, period_type, {', '.join(made)} FROM canonical WHERE line_item IN ({_list(items)}) GROUP BY ALL"
+
+
+def _sources() -> str:
+    out = []
+    for t, items in (("inc", {k: vocab.INCOME[k] for k in ("Revenue", "OperatingIncome", "NetIncome")}), ("bs", {k: vocab.BALANCE[k] for k in ("Cash", "AccountsReceivable")}), ("cf", {"OperatingCashFlow": "ocf"})):
+        out += [f"SELECT ticker, period_end, fiscal_year, fiscal_period, '{i}' AS line_item, {i} AS value, {p}_accession AS accession_no, {p}_filing_url AS filing_url FROM {t} WHERE period_type = 'Q' AND {i} IS NOT NULL" for i, p in items.items()]
+    return " UNION ALL ".join(out)
+
+
+_BY = "PARTITION BY ticker ORDER BY period_end"
+_PERIODS = "SELECT symbol, (e - INTERVAL 3 MONTH)::DATE AS start, e AS \"end\" FROM (SELECT last_day(d)::DATE AS e FROM generate_series(DATE '1995-03-31', DATE '1998-12-31', INTERVAL 3 MONTH) g(d)) CROSS JOIN range(5) r(symbol)"
+_ORDERS = "SELECT o_custkey % 5 AS symbol, o_orderdate::DATE AS date, o_totalprice AS v FROM orders"
+_FMT = "CASE WHEN x IS NULL THEN NULL ELSE CASE WHEN x < 0 THEN '-' ELSE '' END || '$' || CASE WHEN abs(x) >= 1e9 THEN printf('%.1f', abs(x) / 1e9) || 'B' WHEN abs(x) >= 1e6 THEN printf('%.1f', abs(x) / 1e6) || 'M' WHEN abs(x) >= 1e3 THEN printf('%.0f', abs(x) / 1e3) || 'K' ELSE printf('%.0f', abs(x)) END END"
+
+_BODIES = {
+    "facts": "SELECT * FROM facts",
+    "canonical_facts": "SELECT * FROM canonical",
+    "income_statement": "SELECT * FROM inc",
+    "income_statement_aligned": _aligned(vocab.INCOME),
+    "balance_sheet": "SELECT * FROM bs",
+    "cash_flow": f"SELECT {_WIDE_CF} FROM cf",
+    "key_metrics": f"SELECT {_KM} FROM km",
+    "key_metrics_calendar_safe": f"SELECT {_KM} FROM (SELECT * REPLACE (CASE WHEN d1 = 1 THEN revenue_qoq_growth END AS revenue_qoq_growth, CASE WHEN d4 = 4 THEN revenue_yoy_growth END AS revenue_yoy_growth) FROM km)",
+    "fcf_bridge": "SELECT * REPLACE (round(value, 4) AS value) FROM bridge",
+    "fcf_waterfall": """SELECT * REPLACE (round(value, 4) AS value), round(rt, 4) AS running_total, round(CASE WHEN component_role IN ('start', 'subtotal', 'end') THEN 0 WHEN component_role = 'add' THEN rt - value ELSE rt + value END, 4) AS bar_start,
+  round(CASE WHEN component_role = 'subtract' THEN -value ELSE value END, 4) AS bar_size FROM (SELECT *, sum(CASE WHEN component_role IN ('start', 'add') THEN value ELSE 0 END) OVER (PARTITION BY ticker, period_end ORDER BY component_order ROWS UNBOUNDED PRECEDING) AS rt FROM bridge)""".replace(
+        "SELECT * REPLACE (round(value, 4) AS value), round(rt", "SELECT * EXCLUDE (rt) REPLACE (round(value, 4) AS value), round(rt"
+    ),
+    "restatement_details": f"SELECT * REPLACE ({_r('amended_value original_value abs_diff')}, round(rel_diff, 6) AS rel_diff) FROM restated",
+    "missing_coverage": "SELECT * FROM missing",
+    "data_quality": "SELECT * FROM quality",
+    "refusal_gate": "SELECT q.ticker, CASE WHEN has_restatement THEN 'restatement' WHEN has_going_concern_doubt THEN 'going_concern' WHEN has_material_weakness THEN 'material_weakness' WHEN trim(coalesce(missing_quarters, '')) != '' THEN 'missing_quarters' WHEN v.fiscal_year IS NULL OR v.fiscal_period IS NULL THEN 'no_period' END AS refusal_reason FROM quality q LEFT JOIN variance v ON v.ticker = q.ticker",
+    "duplicate_facts": "SELECT ticker, line_item, period_end, period_type, frame, count(*) AS n_facts FROM facts GROUP BY ALL HAVING count(*) > 1",
+    "variance_facts": f"SELECT {_VAR} FROM variance",
+    "variance_facts_no_forecast": f"SELECT {_VAR} FROM ({_VARIANCE.format(source='(SELECT * FROM snapped WHERE false)')})",
+    "export_fact_financials": "SELECT * REPLACE (round(value, 4) AS value) FROM fin",
+    "collapsed_facts": "SELECT * FROM collapsed",
+    "q4_income_derivation": "SELECT * REPLACE (round(value, 4) AS value) FROM q4",
+    "derived_fcf": "SELECT * REPLACE (round(value, 4) AS value) FROM fin WHERE line_item = 'FreeCashFlow'",
+    "ytd_to_standalone": f"SELECT {_COLS} FROM (SELECT * REPLACE (round(value, 4) AS value) FROM ({_standalone('(' + _relabel('collapsed') + ')')})) WHERE line_item IN ('OperatingCashFlow', 'CapEx')",
+    "unbased_cash_flow": f"SELECT ticker, line_item, fiscal_year, substr(fiscal_period, 2, 1)::INT AS quarter FROM ({_standalone('(' + _relabel('collapsed') + ')')}) WHERE unbased",
+    "fact_fcf_bridge": _relabel("bridge", "* REPLACE (round(value, 4) AS value)"),
+    "fact_forecasts_snapped": f"SELECT * REPLACE ({_r('yhat yhat_lower_80 yhat_upper_80 yhat_lower_95 yhat_upper_95', 6)}) FROM snapped",
+    "vintage_merge": f"SELECT * REPLACE ({_r('yhat yhat_lower_80 yhat_upper_80 yhat_lower_95 yhat_upper_95', 6)}) FROM (SELECT * FROM forecasts WHERE model != 'lasso' UNION SELECT * FROM forecasts WHERE model != 'arima')",
+    "dim_date": "SELECT * FROM ddate",
+    "dim_metric": "SELECT * FROM dmetric",
+    "dim_filing": "SELECT * FROM dfiling",
+    "star_join_tooltip": "SELECT f.ticker, f.line_item, f.period_end, round(f.value, 4) AS value, f.accession_no, m.label, m.category, m.unit, d.calendar_year, d.calendar_quarter, g.filing_url, g.filed_date, g.form_type FROM fin f LEFT JOIN dmetric m ON m.line_item = f.line_item LEFT JOIN ddate d ON d.ticker = f.ticker AND d.period_end = f.period_end LEFT JOIN dfiling g ON g.accession_no = f.accession_no",
+    "hist_financials_wide": """SELECT p.*, r.fact_id AS revenue_fact_id, r.accession_no, r.filing_url, CASE WHEN lower(r.concept_used) LIKE '%derived%' THEN 'derived' WHEN r.ticker IS NOT NULL THEN 'reported' END AS revenue_provenance FROM (
+  SELECT * FROM (SELECT ticker, period_end, fiscal_year, fiscal_period, period_type, """
+    + ", ".join(f"round(arg_min(value, fact_id) FILTER (WHERE line_item = '{i}'), 4) AS {i}" for i in ("Revenue", "GrossProfit", "OperatingIncome", "NetIncome"))
+    + """ FROM fin WHERE period_type = 'Q' AND line_item IN ('Revenue', 'GrossProfit', 'OperatingIncome', 'NetIncome') GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY period_end DESC, fiscal_year DESC, fiscal_period DESC) <= 12) p
+  LEFT JOIN (SELECT * FROM fin WHERE period_type = 'Q' AND line_item = 'Revenue' QUALIFY row_number() OVER (PARTITION BY ticker, period_end ORDER BY fact_id) = 1) r ON r.ticker = p.ticker AND r.period_end = p.period_end""",
+    "sources_unpivot": _sources(),
+    "latest_12_quarters": "SELECT ticker, period_end, fiscal_year, fiscal_period, Revenue, (row_number() OVER (PARTITION BY ticker ORDER BY fiscal_year, fiscal_period, period_end))::INT AS slot FROM (SELECT * FROM inc WHERE period_type = 'Q' QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY fiscal_year DESC, fiscal_period DESC, period_end DESC) <= 12)",
+    "ttm_kpis": f"SELECT * REPLACE ({_r('Revenue OperatingIncome OperatingCashFlow CapEx ttm_revenue ttm_operating_income ttm_ocf ttm_capex ttm_fcf')}, {_r('ttm_operating_margin ttm_fcf_margin', 6)}) FROM ttm",
+    "dso_rolling": f"SELECT ticker, period_end, {_r('Revenue AccountsReceivable dso', 6)}, round(avg(dso) OVER ({_BY} ROWS BETWEEN 7 PRECEDING AND CURRENT ROW), 6) AS dso_rolling FROM (SELECT *, {_div('AccountsReceivable', 'Revenue')} * 91 AS dso FROM ({_quarterly('Revenue', 'AccountsReceivable')}))",
+    "billings": f"SELECT ticker, period_end, round(Revenue, 4) AS Revenue, round(DeferredRevenue, 4) AS DeferredRevenue, round(dc, 4) AS deferred_change, round(Revenue + dc, 4) AS billings, round({_div('DeferredRevenue', 'Revenue')}, 6) AS cover_ratio FROM (SELECT *, DeferredRevenue - lag(DeferredRevenue) OVER ({_BY}) AS dc FROM ({_quarterly('Revenue', 'DeferredRevenue', 'RPO')}))",
+    "margins": f"SELECT ticker, period_end, round(Revenue, 6) AS Revenue, round({_div('GrossProfit', 'Revenue')}, 6) AS gross_margin, round({_div('OperatingIncome', 'Revenue')}, 6) AS operating_margin, round({_div('NetIncome', 'Revenue')}, 6) AS net_margin, round((Revenue - lag(Revenue, 4) OVER w) / nullif(lag(Revenue, 4) OVER w, 0), 6) AS yoy_growth FROM ({_quarterly('Revenue', 'GrossProfit', 'OperatingIncome', 'NetIncome')}) WINDOW w AS ({_BY})",
+    "rule_of_40": f"SELECT ticker, period_end, round(g, 6) AS growth, round(m, 6) AS fcf_margin, round(g + m, 6) AS score, g + m >= 0.4 AS passes, CASE WHEN g >= 0.2 THEN 'fast' ELSE 'slow' END || '-' || CASE WHEN m >= 0.2 THEN 'profitable' ELSE 'investing' END AS quadrant FROM (SELECT ticker, period_end, (ttm_revenue - lag(ttm_revenue, 4) OVER w) / nullif(lag(ttm_revenue, 4) OVER w, 0) AS g, ttm_fcf_margin AS m FROM ttm WINDOW w AS ({_BY})) WHERE g + m IS NOT NULL",
+    "forecast_scorecard": f"SELECT * REPLACE ({_r('Revenue yhat variance')}, round(variance_pct, 6) AS variance_pct) FROM score",
+    "forecast_overlay": f"WITH_a AS ({_quarterly('Revenue')})",
+    "cv_error_summary": "SELECT model, round(avg(abs(variance)), 4) AS mae, round(avg(abs(variance) / CASE WHEN Revenue > 0 THEN Revenue END), 6) AS mape, count(*) AS n FROM score GROUP BY model",
+    "history_frame": f"SELECT * REPLACE ({_r('Revenue CostOfRevenue GrossProfit OperatingExpenses NetIncome Cash AccountsReceivable Inventory AccountsPayable DeferredRevenue TotalAssets TotalLiabilities TotalEquity OperatingCashFlow Depreciation StockBasedCompensation TreasuryStockRepurchases CapEx')}) FROM hist",
+    "base_assumptions": f"SELECT * REPLACE ({_r('revenue_growth_qoq gross_margin_pct opex_growth_qoq capex_pct_of_revenue dso_days dpo_days dio_days tax_rate debt_amortization_qoq sbc_qtrly buybacks_qtrly opex_trailing revenue_last depreciation cash ar inventory ap deferred total_assets total_liabilities equity', 6)}) FROM assume",
+    "scenario_forecast": "SELECT ticker, scenario, step, round(rev, 4) AS Revenue, round(gp, 4) AS GrossProfit, round(ni, 4) AS NetIncome, round(ocf, 4) AS OCF, round(cash, 4) AS Cash, round(ta, 4) AS TotalAssets, round(tl, 4) AS TotalLiabilities, round(eq, 4) AS TotalEquity, round(bc, 4) AS BalanceCheck FROM proj WHERE step > 0",
+    "balance_check": "SELECT ticker, scenario, round(max(abs(bc)), 4) AS max_abs_check, max(abs(bc)) <= 1e6 AS balanced FROM proj WHERE step > 0 GROUP BY ALL",
+    "ocf_residual": """SELECT ticker, round(coalesce(max(gap), 0), 4) AS max_residual, coalesce(max(gap), 0) > 5e6 AS warn FROM (SELECT ticker, slot, max(slot) OVER (PARTITION BY ticker) AS n, CASE WHEN coalesce(OperatingCashFlow, 0) != 0 THEN abs(
+  coalesce(NetIncome, 0) + coalesce(Depreciation, 0) + coalesce(StockBasedCompensation, 0) - (coalesce(AccountsReceivable, 0) - lag(coalesce(AccountsReceivable, 0)) OVER w) - (coalesce(Inventory, 0) - lag(coalesce(Inventory, 0)) OVER w)
+  + (coalesce(AccountsPayable, 0) - lag(coalesce(AccountsPayable, 0)) OVER w) + (coalesce(DeferredRevenue, 0) - lag(coalesce(DeferredRevenue, 0)) OVER w) - OperatingCashFlow) END AS gap FROM hist WINDOW w AS (PARTITION BY ticker ORDER BY slot)) WHERE n - slot < 4 AND slot > 1 GROUP BY ticker""",
+    "debt_schedule": "SELECT ticker, step::INT AS step, 0.0::DOUBLE AS opening, debt_amortization_qoq AS amortization, greatest(0.0, 0 - debt_amortization_qoq)::DOUBLE AS closing FROM assume CROSS JOIN range(1, 5) r(step)",
+    "summary_kpis": """SELECT ticker, slot, kind, u.item AS item, round(u.value, 4) AS value FROM (SELECT ticker, slot::INT AS slot, 'historical' AS kind, Revenue AS r, GrossProfit AS g, NetIncome AS i FROM hist UNION ALL SELECT ticker, step::INT, 'forecast', rev, gp, ni FROM proj WHERE step > 0 AND scenario = 'Base'),
+  unnest([{'item': 'Revenue', 'value': r}, {'item': 'GrossMarginPct', 'value': g / nullif(r, 0)}, {'item': 'NetIncome', 'value': i}, {'item': 'NetMarginPct', 'value': i / nullif(r, 0)}]) t(u)""",
+    "feature_matrix": f"""SELECT ticker, period_end, fiscal_year, fiscal_period, round(y, 6) AS y, round(lag1, 6) AS lag1, round(lag4, 6) AS lag4, round((lag1 - lag5) / nullif(lag5, 0), 6) AS growth4, trend, (fiscal_period = 'Q2')::INT::DOUBLE AS is_q2, (fiscal_period = 'Q3')::INT::DOUBLE AS is_q3, (fiscal_period = 'Q4')::INT::DOUBLE AS is_q4
+  FROM (SELECT *, lag(y) OVER w AS lag1, lag(y, 4) OVER w AS lag4, lag(y, 5) OVER w AS lag5, (row_number() OVER w - 1)::DOUBLE AS trend FROM series WINDOW w AS ({_BY})) WHERE y IS NOT NULL AND lag4 IS NOT NULL AND lag5 IS NOT NULL AND lag5 != 0""",
+    "cv_folds": "SELECT DISTINCT ticker, (low + (high - low) * k // 2)::INT AS cut FROM (SELECT ticker, greatest(8, count(*) * 2 // 3) AS low, count(*) - 4 AS high FROM series WHERE y IS NOT NULL GROUP BY ticker) CROSS JOIN range(3) r(k) WHERE high >= low",
+    "bootstrap_percentiles": "SELECT o_orderpriority, " + ", ".join(f"round(quantile_cont(o_totalprice, {p}), 4) AS {n}" for p, n in ((0.025, "p025"), (0.1, "p100"), (0.9, "p900"), (0.975, "p975"))) + " FROM orders GROUP BY o_orderpriority",
+    "asof_price_return": f"""SELECT symbol, start, "end", round(ce, 6) AS close_end, round(cs, 6) AS close_start, round(ce / nullif(cs, 0) - 1, 6) AS "return" FROM (
+  SELECT p.*, (SELECT max(v) FROM px WHERE px.symbol = p.symbol AND px.date = (SELECT max(date) FROM px x WHERE x.symbol = p.symbol AND x.date <= p."end")) AS ce, (SELECT max(v) FROM px WHERE px.symbol = p.symbol AND px.date = (SELECT max(date) FROM px x WHERE x.symbol = p.symbol AND x.date <= p.start)) AS cs
+  FROM ({_PERIODS}) p)""",
+    "quarterly_range_avg": f'SELECT p.symbol, p.start, p."end", round(avg(o.v), 4) AS mean FROM ({_PERIODS}) p LEFT JOIN ({_ORDERS}) o ON o.symbol = p.symbol AND o.date BETWEEN p.start AND p."end" GROUP BY ALL',
+    "fill_gaps": "SELECT event_id, user_id, coalesce(last_value(v IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), first_value(v IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS value FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN value END AS v FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)",
+    "concept_selection": "SELECT * FROM choice WHERE choice = 1",
+    "concept_switch_audit": "SELECT * FROM choice WHERE choice > 1 AND n_facts > 2",
+    "fact_id_hash": "SELECT o_orderkey, left(sha256(concat_ws('|', o_custkey, o_orderpriority, o_orderdate::DATE::VARCHAR, o_orderstatus, o_orderkey)), 16) AS fact_id, lpad(o_custkey::VARCHAR, 10, '0') AS cik FROM orders",
+    "years_filter": "SELECT ticker, fiscal_year, fact_id FROM (SELECT *, max(fiscal_year) OVER (PARTITION BY ticker) AS m FROM facts) WHERE fiscal_year >= m - 1",
+    "fiscal_calendar_map": f"""SELECT day, fe, last_day(date_trunc('month', day) + to_months(((fe - month(day)) % 3 + 3) % 3))::DATE AS snapped, fy AS fiscal_year, fp AS fiscal_period, year(qe)::INT AS calendar_year, quarter(qe)::INT AS calendar_quarter FROM (
+  SELECT *, {_FY.format(d="day", fe="fe")} AS fy, {_FP.format(d="day", fe="fe")} AS fp, last_day(date_trunc('month', day) + to_months(((fe - month(day)) % 3 + 3) % 3)) AS qe FROM (SELECT DISTINCT o_orderdate::DATE AS day FROM orders) CROSS JOIN (SELECT fe::INT AS fe FROM range(1, 13) r(fe)))""",
+    "driver_classification": """SELECT ticker, round(rev, 4) AS rev, round(rp, 4) AS rev_prior, round(md, 4) AS margin_delta, round(mp, 4) AS margin_prior, round(vol, 4) AS volume_effect, round(mar, 4) AS margin_effect,
+  CASE WHEN ticker = 'S1' AND 1e4 > 0.3 * greatest(abs(rev - rp), 1) THEN 'one-time' WHEN vol > 0 AND mar > 0 AND greatest(vol, mar) / nullif(least(vol, mar), 0) < 2 THEN 'mix' WHEN vol >= mar THEN 'volume' ELSE 'margin' END AS driver FROM (
+  SELECT ticker, revenue_actual AS rev, revenue_yoy AS rp, gross_margin_pct_yoy_delta AS md, gross_margin_pct_yoy AS mp, abs((revenue_actual - revenue_yoy) * gross_margin_pct_yoy) AS vol, abs(gross_margin_pct_yoy_delta * revenue_actual) AS mar FROM variance)""",
+    "numeric_token_audit": r"""SELECT doc_id, len(regexp_extract_all(t, '-?\$\d+(?:\.\d+)?(?:[KMB])?'))::INT AS n_dollars, len(regexp_extract_all(t, '-?\d+(?:\.\d+)?%'))::INT AS n_percents,
+  len(regexp_extract_all(t, '\b\d{1,3}(?:,\d{3})+(?:\.\d+)?\b|\b\d+\.\d+\b|\b[1-9]\d{3,}\b'))::INT AS n_bare, ("""
+    + " + ".join(f"contains(lower(t), '{w}')::INT" for w in ("billion", "million", "thousand", "bps", "basis point", "percentage point", "pct point", "pp "))
+    + ")::INT AS n_forbidden FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)",
+    "json_props": "SELECT event_id, key, number FROM (SELECT event_id, unnest(json_keys(props)) AS key, unnest(json_extract(props, '$.*'))::BIGINT AS number FROM events)",
+    "companyfacts_ingest": """SELECT ticker, 'Revenue' AS line_item, concept_used, period_end, fiscal_year, fiscal_period, value, accession_no, left(sha256(concat_ws('|', ticker, concept_used, period_end, fiscal_period, accession_no)), 16) AS fact_id FROM (
+  SELECT *, max(fiscal_year) OVER (PARTITION BY ticker) AS latest FROM (
+  SELECT 'C' || o_custkey AS ticker, CASE WHEN o_orderkey % 3 = 0 THEN 'Revenues' ELSE 'SalesRevenueNet' END AS concept_used, last_day(o_orderdate)::DATE::VARCHAR AS period_end, year(o_orderdate)::INT AS fiscal_year, 'Q' || quarter(o_orderdate) AS fiscal_period, o_totalprice AS value,
+    lpad(o_custkey::VARCHAR, 10, '0') || '-' || strftime(o_orderdate, '%y') || '-' || lpad((o_orderkey % 1000000)::VARCHAR, 6, '0') AS accession_no,
+    sum(CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey) AS first_n, sum(CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE 1 END) OVER (PARTITION BY o_custkey) AS second_n FROM orders)
+  WHERE concept_used = CASE WHEN first_n >= second_n THEN 'Revenues' ELSE 'SalesRevenueNet' END) WHERE fiscal_year >= latest - 2""",
+    "facts_per_item": "SELECT line_item, count(*) AS n FROM facts GROUP BY ALL",
+    "event_windows": "SELECT ts::DATE AS day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
+    "amount_formats": f"SELECT c_custkey, d AS dollars, round(CASE WHEN d LIKE '-%' THEN -1 ELSE 1 END * regexp_extract(d, '[0-9.]+')::DOUBLE * CASE right(d, 1) WHEN 'K' THEN 1e3 WHEN 'M' THEN 1e6 WHEN 'B' THEN 1e9 ELSE 1 END, 4) AS parsed, printf('%.1f', c_acctbal / 1e4 * 100) || '%' AS percent, lower(trim(c_mktsegment)) IN ('true', '1', 'yes', 'y', 't') AS truthy FROM (SELECT *, {_FMT} AS d FROM (SELECT *, c_acctbal * 1000 AS x FROM customer))",
+}
+_BODIES["forecast_overlay"] = f"""SELECT ticker, period_end, 'actual' AS series, round(Revenue, 4) AS value FROM ({_quarterly('Revenue')}) WHERE Revenue IS NOT NULL
+UNION ALL SELECT ticker, period_end, model, round(yhat, 4) FROM (SELECT s.*, dense_rank() OVER (PARTITION BY s.ticker, model ORDER BY s.period_end) AS kk FROM snapped s
+  JOIN (SELECT ticker, max(period_end) AS last FROM ({_quarterly('Revenue')}) WHERE Revenue IS NOT NULL GROUP BY ticker) l ON l.ticker = s.ticker WHERE s.period_end > l.last) WHERE kk <= 4"""
+CTES_MORE = {
+    "px": "SELECT o_custkey % 5 AS symbol, o_orderdate::DATE AS date, max(o_totalprice) AS v FROM orders WHERE day(o_orderdate) <= 20 GROUP BY ALL",
+    "choice": "SELECT *, (row_number() OVER (PARTITION BY ticker, line_item ORDER BY n_facts DESC, synonym_rank))::INT AS choice FROM (SELECT ticker, line_item, concept_used, CASE WHEN concept_used LIKE '%Alt' THEN 1 ELSE 0 END AS synonym_rank, count(*) FILTER (WHERE fiscal_period != 'FY') AS n_facts FROM facts GROUP BY ALL) WHERE n_facts > 0",
+}
+_PREFIX = _PREFIX.rstrip() + ",\n" + ",\n".join(f"{k} AS ({v})" for k, v in CTES_MORE.items()) + "\n"
+
+SQL = {name: _PREFIX + body for name, body in _BODIES.items()}
