@@ -22,12 +22,13 @@ def top(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> Data
     return df.withColumn("rank_", F.row_number().over(window)).where(F.col("rank_") <= n).drop("rank_")
 
 
-LATEST = [F.desc("filed_date"), F.desc("accession_no"), F.desc("fact_id")]
+def latest() -> list[Column]:
+    return [F.desc("filed_date"), F.desc("accession_no"), F.desc("fact_id")]
 
 
 def canonical(facts: DataFrame) -> DataFrame:
     """One fact for each item, period and frame: the best form, then the latest filing."""
-    return top(facts, ["ticker", "line_item", "period_end", "period_type", "frame"], [form_priority().desc(), *LATEST])
+    return top(facts, ["ticker", "line_item", "period_end", "period_type", "frame"], [form_priority().desc(), *latest()])
 
 
 def collapsed(facts: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def collapsed(facts: DataFrame) -> DataFrame:
 def year_totals(facts: DataFrame) -> DataFrame:
     """Canonical annual totals of the items whose fourth quarter may be derived."""
     rows = facts.where((F.col("period_type") == "FY") & F.col("line_item").isin(*Q4_DERIVABLE))
-    return top(rows, ["ticker", "line_item", "period_end"], [form_priority().desc(), *LATEST])
+    return top(rows, ["ticker", "line_item", "period_end"], [form_priority().desc(), *latest()])
 
 
 def standalone_first(facts: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import growth, safe_ratio
 
-BY = Window.partitionBy("ticker").orderBy("period_end")
+def by():
+    return Window.partitionBy("ticker").orderBy("period_end")
 
 
 def quarterly(facts: DataFrame, items: tuple[str, ...]) -> DataFrame:
@@ -19,7 +20,7 @@ def quarterly(facts: DataFrame, items: tuple[str, ...]) -> DataFrame:
 
 def trailing(column: str, n: int = 4) -> F.Column:
     """Sum of the last n rows, or null where there are fewer."""
-    window = BY.rowsBetween(-(n - 1), 0)
+    window = by().rowsBetween(-(n - 1), 0)
     return F.when(F.count("*").over(window) == n, F.sum(F.col(column).cast("decimal(28,4)")).over(window).cast("double"))
 
 
@@ -35,12 +36,12 @@ def ttm_kpis(facts: DataFrame) -> DataFrame:
 def dso(facts: DataFrame, days: float = 91, over: int = 8) -> DataFrame:
     """Days of sales outstanding and its rolling mean."""
     rows = quarterly(facts, ("Revenue", "AccountsReceivable")).withColumn("dso", safe_ratio("AccountsReceivable", "Revenue") * days)
-    return rows.withColumn("dso_rolling", F.avg("dso").over(BY.rowsBetween(-(over - 1), 0)))
+    return rows.withColumn("dso_rolling", F.avg("dso").over(by().rowsBetween(-(over - 1), 0)))
 
 
 def billings(facts: DataFrame) -> DataFrame:
     rows = quarterly(facts, ("Revenue", "DeferredRevenue", "RPO"))
-    rows = rows.withColumn("deferred_change", F.col("DeferredRevenue") - F.lag("DeferredRevenue").over(BY))
+    rows = rows.withColumn("deferred_change", F.col("DeferredRevenue") - F.lag("DeferredRevenue").over(by()))
     rows = rows.withColumn("billings", F.col("Revenue") + F.col("deferred_change"))
     return rows.withColumn("cover_ratio", safe_ratio("DeferredRevenue", "Revenue")).drop("RPO")
 
@@ -48,7 +49,7 @@ def billings(facts: DataFrame) -> DataFrame:
 def rule_of_40(facts: DataFrame, bar: float = 0.4) -> DataFrame:
     """Yearly growth plus free-cash-flow margin, both of trailing years."""
     rows = ttm_kpis(facts)
-    rows = rows.withColumn("growth", growth("ttm_revenue", F.lag("ttm_revenue", 4).over(BY)))
+    rows = rows.withColumn("growth", growth("ttm_revenue", F.lag("ttm_revenue", 4).over(by())))
     rows = rows.withColumn("score", F.col("growth") + F.col("ttm_fcf_margin"))
     quadrant = F.concat(F.when(F.col("growth") >= 0.2, "fast").otherwise("slow"), F.lit("-"), F.when(F.col("ttm_fcf_margin") >= 0.2, "profitable").otherwise("investing"))
     return rows.where(F.col("score").isNotNull()).select("ticker", "period_end", "growth", F.col("ttm_fcf_margin").alias("fcf_margin"), "score", (F.col("score") >= bar).alias("passes"), quadrant.alias("quadrant"))
@@ -56,7 +57,7 @@ def rule_of_40(facts: DataFrame, bar: float = 0.4) -> DataFrame:
 
 def margins(facts: DataFrame) -> DataFrame:
     rows = quarterly(facts, ("Revenue", "GrossProfit", "OperatingIncome", "NetIncome"))
-    return rows.select("ticker", "period_end", "Revenue", *(safe_ratio(c, "Revenue").alias(n) for c, n in (("GrossProfit", "gross_margin"), ("OperatingIncome", "operating_margin"), ("NetIncome", "net_margin"))), growth("Revenue", F.lag("Revenue", 4).over(BY)).alias("yoy_growth"))
+    return rows.select("ticker", "period_end", "Revenue", *(safe_ratio(c, "Revenue").alias(n) for c, n in (("GrossProfit", "gross_margin"), ("OperatingIncome", "operating_margin"), ("NetIncome", "net_margin"))), growth("Revenue", F.lag("Revenue", 4).over(by())).alias("yoy_growth"))
 
 
 def scorecard(facts: DataFrame, forecasts: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.text import growth, safe_ratio
 from .dedupe import top
 
-NEWEST = [F.desc("fiscal_year"), F.desc("fiscal_period"), F.desc("period_end")]
+def newest() -> list:
+    return [F.desc("fiscal_year"), F.desc("fiscal_period"), F.desc("period_end")]
 
 
 def forecast_medians(forecasts: DataFrame) -> DataFrame:
@@ -21,7 +22,7 @@ def forecast_medians(forecasts: DataFrame) -> DataFrame:
 def variance_facts(income: DataFrame, balance: DataFrame, cash: DataFrame, forecasts: DataFrame) -> DataFrame:
     """One row a ticker. Without forecasts of the latest date the forecast columns are null."""
     quarters = income.where(F.col("period_type") == "Q")
-    flows = top(cash.where(F.col("period_type") == "Q"), ["ticker", "period_end"], NEWEST).select("ticker", "period_end", "FreeCashFlow")
+    flows = top(cash.where(F.col("period_type") == "Q"), ["ticker", "period_end"], newest()).select("ticker", "period_end", "FreeCashFlow")
     dates = balance.where(F.col("DeferredRevenue").isNotNull()).groupBy("ticker", "period_end").agg(F.max("DeferredRevenue").alias("dr"))
     steps = dates.withColumn("dr_before", F.lag("dr").over(Window.partitionBy("ticker").orderBy("period_end")))
     rows = quarters.join(flows, ["ticker", "period_end"], "left").join(steps, ["ticker", "period_end"], "left").select(
@@ -29,7 +30,7 @@ def variance_facts(income: DataFrame, balance: DataFrame, cash: DataFrame, forec
         safe_ratio("OperatingIncome", "Revenue").alias("om"), F.col("FreeCashFlow").alias("fcf"), (F.col("Revenue") + F.col("dr") - F.col("dr_before")).alias("bill"),
         "revenue_fact_id", "revenue_accession", "revenue_filing_url", "gross_profit_fact_id", "operating_income_fact_id",
     )
-    now = top(rows.where(F.col("rev").isNotNull()), ["ticker"], NEWEST).withColumnRenamed("period_end", "latest_period_end")
+    now = top(rows.where(F.col("rev").isNotNull()), ["ticker"], newest()).withColumnRenamed("period_end", "latest_period_end")
     before = top(rows, ["ticker", "fiscal_year", "fiscal_period"], [F.desc("period_end")])
     before = before.select("ticker", (F.col("fiscal_year") + 1).alias("fiscal_year"), "fiscal_period", *(F.col(c).alias(f"{c}_yoy") for c in ("rev", "gm", "om", "fcf", "bill")))
     out = now.join(before, ["ticker", "fiscal_year", "fiscal_period"], "left").join(forecast_medians(forecasts), ["ticker", "latest_period_end"], "left")
