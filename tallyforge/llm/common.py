@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -41,10 +42,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back, so that no later step recomputes it."""
-    spark = df.sparkSession
+    spark, schema = df.sparkSession, df.schema
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    del df
+    gc.collect()
+    spark._jvm.System.gc()  # what nothing refers to any more lets its shuffle files go
+    out = spark.read.schema(schema).parquet(path)
     out._cut_at = path
     return out
 

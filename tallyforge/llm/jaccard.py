@@ -10,13 +10,13 @@ Equal sets are one class, named by its least doc_id. Links between classes are f
    over all rows, come last by count; the rest by hash). Linked sets share an n-gram among the
    first n - ceil(0.75 n) + 1 of each, so only this prefix is posted. Postings go packed to hash
    ranges, which keep the n-grams of two or more classes.
-2. In a first round each posted class is compared with the least class of each of its n-grams.
-   Components of these links are formed. In a second round all other pairs that share a posted
-   n-gram across components are compared; inside a component a further link changes nothing.
-   So neither round writes out all pairs of a group of near copies.
-3. Pairs whose sizes, or whose places of the shared n-gram, rule a link out are dropped. The rest
-   meet in blocks: the rows of a block, restricted to the columns of their common partner, give
-   the overlap counts, which the exact test follows.
+2. In a first round each posted class is compared with the least class of each of its n-grams, in
+   a second with two members of the n-gram's largest component. In the last, all other pairs that
+   share a posted n-gram across components are compared; inside a component a further link changes
+   nothing. So no round writes out all pairs of a group of near copies.
+3. Pairs whose sizes, whose places of the shared n-gram or whose bit signatures rule a link out are
+   dropped. The rest meet in blocks: the rows of a block, restricted to the columns of their common
+   partner, give the overlap counts, which the exact test follows.
 
 N-grams are compared by 64-bit hashes. Null and empty texts get 0 shingles and their own doc_id.
 Texts are whole. Repeated rows are one document and each get a row. An empty table gives no rows.
@@ -24,7 +24,6 @@ Texts are whole. Repeated rows are one document and each get a row. An empty tab
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -202,6 +201,74 @@ def may_link(n: str, i: str, m: str, j: str, near: int) -> str:
     return f"100 * least({n}, {m}) >= {near} * greatest({n}, {m}) AND {100 + near} * least({n} - {i}, {m} - {j}) >= {near} * ({n} + {m})"
 
 
+def against(rows: DataFrame, near: int) -> DataFrame:
+    """Pairs (a < b) of each row's document with its pivot p, as far as a link is possible."""
+    rows = rows.where("doc != p.doc").where(may_link("n", "place", "p.n", "p.place", near))
+    first = F.col("doc") < F.col("p.doc")
+    rows = rows.select(
+        F.least("doc", "p.doc").alias("a"), F.greatest("doc", "p.doc").alias("b"),
+        F.when(first, F.col("n")).otherwise(F.col("p.n")).alias("m"), F.when(first, F.col("p.n")).otherwise(F.col("n")).alias("n"),
+    )
+    return rows.groupBy("a", "b").agg(F.max("m").alias("m"), F.max("n").alias("n"))
+
+
+def unsettled(posted: DataFrame, label: DataFrame) -> DataFrame:
+    """Postings, with labels, of n-grams whose documents are not yet in one component."""
+    rows = posted.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+    mixed = rows.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("token")
+    return rows.join(mixed, "token", "left_semi")
+
+
+def merged(rows: DataFrame) -> DataFrame:
+    """N-grams posted by the same documents, told by sums of hashes, become one, with the least place
+    of each document: the same pairs meet once, and no bound on their overlap gets tighter."""
+    same = rows.groupBy("token").agg(F.count("*").alias("size"), F.sum(F.xxhash64("doc").cast("decimal(20)")).alias("sum"), F.sum(F.xxhash64(F.lit(1), "doc").cast("decimal(20)")).alias("more"))
+    same = same.withColumn("group", F.xxhash64("size", "sum", "more")).select("token", "group")
+    return rows.join(same, "token").groupBy(F.col("group").alias("token"), "doc").agg(F.min("place").alias("place"), F.max("n").alias("n"), F.max("label").alias("label"))
+
+
+def width(n: int) -> int:
+    """Bits of the signature of a set of n."""
+    return min(1 << 16, max(256, 1 << (4 * n - 1).bit_length()))
+
+
+def signatures(words: int):
+    """Of each text, a set bit for each of its n-grams' hashes modulo the width."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in pieces(batch.column(1)):
+                out = []
+                for raw in texts_of(batch.column(1).slice(a, b - a)):
+                    own = shingles(raw, words)
+                    bits = np.zeros(width(len(own)), dtype=bool)
+                    bits[(own & U64(len(bits) - 1)).astype(np.int64)] = True
+                    out.append(np.packbits(bits).tobytes())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(out, pa.binary())], ["doc", "bits"])
+
+    return run
+
+
+def possible(pairs: DataFrame, marks: DataFrame, near: int) -> DataFrame:
+    """Pairs whose signatures leave a link possible: an n-gram whose bit the other lacks is not shared."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(len(batch), dtype=bool)
+            m, n = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            for i, (x, y) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
+                p, q = np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)
+                size = min(len(p), len(q))
+                p, q = (np.bitwise_or.reduce(z.reshape(-1, size), axis=0).view(U64) for z in (p, q))
+                most = min(m[i] - int(np.bitwise_count(p & ~q).sum()), n[i] - int(np.bitwise_count(q & ~p).sum()))
+                keep[i] = 100 * most >= near * (m[i] + n[i] - most)
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:4]], ["a", "b", "m", "n"])
+
+    rows = pairs.join(marks.select(F.col("doc").alias("a"), F.col("bits").alias("p")), "a")
+    rows = rows.join(marks.select(F.col("doc").alias("b"), F.col("bits").alias("q")), "b")
+    return rows.select("a", "b", "m", "n", "p", "q").mapInArrow(run, "a long, b long, m long, n long")
+
+
 def products(words: int, near: int):
     """One part: overlap of each row with its block's partner; the pairs that link."""
 
@@ -259,29 +326,42 @@ def link_classes(docs: DataFrame, words: int = WORDS, near: int = NEAR, text: st
     posted = packed.groupBy("range").applyInArrow(shared(ranges), "token long, class long, n long, place long")
     posted = cut(posted.join(classes.select(class_of("key").alias("class"), "least"), "class").select("token", F.col("least").alias("doc"), "n", "place"), "posted")
     texts = cut(own.join(posted.select("doc").distinct(), "doc").dropDuplicates(["doc"]), "texts")
-    gc.collect()
-
-    pivot = posted.groupBy("token").agg(F.min(F.struct("doc", F.col("n").alias("m"), F.col("place").alias("i"))).alias("p")).select("token", "p.*").withColumnRenamed("doc", "a")
-    star = posted.join(pivot, "token").where("doc != a").where(may_link("n", "place", "m", "i", near))
-    star = cut(star.groupBy("a", F.col("doc").alias("b")).agg(F.max("m").alias("m"), F.max("n").alias("n")), "star")
-    found = cut(verified(star, texts, words, near), "links")
-    near_by = components(found)
-
-    labelled = posted.join(near_by.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    mixed = labelled.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("token")
-    labelled = cut(labelled.join(mixed, "token", "left_semi"), "labelled")
-    left = labelled.select("token", *(F.col(c).alias(d) for c, d in (("doc", "a"), ("n", "m"), ("place", "i"), ("label", "x"))))
-    right = labelled.select("token", *(F.col(c).alias(d) for c, d in (("doc", "b"), ("n", "n"), ("place", "j"), ("label", "y"))))
-    cross = left.join(right, "token").where("x < y").where(may_link("m", "i", "n", "j", near))
+    marks = cut(texts.mapInArrow(signatures(words), "doc long, bits binary"), "marks")
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        pairs = cut(possible(pairs, marks, near), "pairs")
+        found = cut(verified(pairs, texts, words, near), "links")
+        release(pairs)
+        return found
+
+    pivot = posted.groupBy("token").agg(F.min(F.struct("doc", "n", "place")).alias("p"))
+    tried = cut(against(posted.join(pivot, "token"), near), "tried")
+    links = [compared(tried)]
+    label = components(links[0])
+
+    mixed = cut(unsettled(posted, label), "mixed")
+    members = mixed.groupBy("token", "label").agg(F.count("*").alias("size"), F.min(F.struct("doc", "n", "place")).alias("p"), F.max(F.struct("doc", "n", "place")).alias("q"))
+    main = members.groupBy("token").agg(F.max_by(F.struct("label", "p", "q"), F.struct("size", "label")).alias("main"))
+    second = mixed.join(main, "token").where("label != main.label").withColumn("p", F.explode(F.array("main.p", "main.q")))
+    again = cut(against(second, near).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "again")
+    links.append(compared(again))
+    release(label)
+    label = components(links[0].unionByName(links[1]))
+
+    rest = cut(merged(unsettled(mixed.drop("label"), label)), "rest")
+    left = rest.select("token", *(F.col(c).alias(d) for c, d in (("doc", "a"), ("n", "m"), ("place", "i"), ("label", "x"))))
+    right = rest.select("token", *(F.col(c).alias(d) for c, d in (("doc", "b"), ("n", "n"), ("place", "j"), ("label", "y"))))
+    cross = left.join(right, "token").where("a < b AND x != y").where(may_link("m", "i", "n", "j", near))
     cross = cross.groupBy("a", "b").agg(F.max("m").alias("m"), F.max("n").alias("n"))
-    tried = star.select("a", "b").unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    cross = cut(cross.join(tried, ["a", "b"], "left_anti"), "cross")
-    more = cut(verified(cross, texts, words, near), "more")
-    label = components(found.unionByName(more))
+    for done in (tried, again):
+        cross = cross.join(done.select("a", "b"), ["a", "b"], "left_anti")
+    links.append(compared(cross))
+    release(label)
+    label = components(links[0].unionByName(links[1]).unionByName(links[2]))
 
     named = classes.join(label, F.col("least") == F.col("node"), "left").select("key", F.coalesce("label", "least").alias("component_id"))
     named = cut(named, "named")
-    release(texts, posted, star, labelled, cross)
+    release(texts, marks, posted, tried, mixed, again, rest, *links, label, classes)
     out = sets.withColumn("key", F.when(F.col("n") > 0, F.col("key"))).join(named, "key", "left")
     return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"))
 
