@@ -23,7 +23,6 @@ document. Rows without a doc_id lose nothing and take nothing away. Other column
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -33,16 +32,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, WORD, cut, mix, pieces, random_table, release, table, texts_of
+from .common import U64, WORD, cut, input_bytes, mix, pieces, random_table, release, table, texts_of
 from .suffix import ragged, suffix_arrays
 
 #: Bytes of a repeated string, and of an anchor.
 WIDTH, SEED = 50, 24
 SIDE = WIDTH - SEED
 #: Texts an anchor may be in to be handled in one task.
-HOT = 64
+HOT = 1024
 #: Bytes of input for each hash range, anchors a task holds at once, symbols in a batch of suffix arrays.
-RANGE_BYTES, HELD, BATCH = 16 << 20, 1 << 20, 1 << 19
+RANGE_BYTES, HELD, BATCH = 16 << 20, 1 << 20, 1 << 20
 _BYTES = random_table(256, 11)
 LOW48 = U64((1 << 48) - 1)
 
@@ -255,14 +254,15 @@ def sort_units(rows, unit, flat, at, size, before, fits, least, out) -> None:
     owner[middle[which] - back] = np.arange(len(which))
     found = owner[order]
     found = found[found >= 0]
-    begin = (middle[which] - back)[found]
-    text = codes[begin[:, None] + np.arange(SIDE + 1)]
-    own = unit[which[found]]
-    new = np.append(True, (text[1:] != text[:-1]).any(axis=1) | (own[1:] != own[:-1])) if len(found) else np.zeros(0, dtype=bool)
-    if len(found):
-        runs = np.flatnonzero(new)
-        low = np.minimum.reduceat(least[rows[which[found]]], runs)
-        out[rows[which[found]], back[found]] = np.repeat(low, np.diff(np.append(runs, len(found))))
+    if not len(found):
+        return
+    begin, own = (middle[which] - back)[found], unit[which[found]]
+    new = own[1:] != own[:-1]
+    for k in range(SIDE + 1):
+        new |= codes[begin[1:] + k] != codes[begin[:-1] + k]
+    runs = np.flatnonzero(np.append(True, new))
+    low = np.minimum.reduceat(least[rows[which[found]]], runs)
+    out[rows[which[found]], back[found]] = np.repeat(low, np.diff(np.append(runs, len(found))))
 
 
 def covered(part: pa.Table) -> pa.Table:
@@ -326,7 +326,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", res
     """One row per document: key, n_bytes, kept (the bytes left), starts and ends of removed runs,
     and, if asked for, `rest`, a struct of its other columns."""
     spark = docs.sparkSession
-    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    size = input_bytes(docs, text)
     ranges, homes = min(1 << 15, max(16, size // RANGE_BYTES)), max(24, size * 4 // RANGE_BYTES)
     raw = F.coalesce(F.col(text), F.lit(""))
     others = [F.struct(*(docs[c] for c in docs.columns if c != text)).alias("rest")] if rest else []
@@ -342,7 +342,6 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", res
     cold = sent.where("home >= 0").groupBy("home").applyInArrow(covered, "doc long, at int, mask long")
     masks = cut(cold.unionByName(covered_hot(sent.where("home < 0").select("h", "doc", "at", "context"))), "masks")
     release(found, sent)
-    gc.collect()
 
     by_doc = masks.groupBy("doc").agg(F.collect_list(F.struct("at", "mask")).alias("found"))
     copies = own.select("doc", "tid").join(first, "tid").where("doc > first").select("doc", F.lit(True).alias("whole")).distinct()
