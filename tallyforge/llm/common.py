@@ -21,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def input_bytes(docs: DataFrame, text: str) -> int:
+    """About the bytes of the input: of its files as Catalyst knows them, else of its texts."""
+    known = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if known < 1 << 56:  # frames that are no files have no size of their own but a very large one
+        return known
+    return int(docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0) // 2
+
+
 def n_words(text: str | Column) -> Column:
     """Number of words of a text, 0 for null, with built-in functions only."""
     text = F.col(text) if isinstance(text, str) else text
