@@ -11,7 +11,7 @@ Equal sets are one class, named by its least doc_id. Links between classes are f
    first n - ceil(0.75 n) + 1 of each, so only this prefix is posted. Postings go packed to hash
    ranges, which keep the n-grams of two or more classes.
 2. In a first round each posted class is compared with the least class of each of its n-grams, in
-   a second with two members of the n-gram's largest component. In the last, all other pairs that
+   two more with two members of the n-gram's largest component. In the last, all other pairs that
    share a posted n-gram across components are compared; inside a component a further link changes
    nothing. So no round writes out all pairs of a group of near copies.
 3. Pairs whose sizes, whose places of the shared n-gram or whose bit signatures rule a link out are
@@ -26,20 +26,21 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, WHITE, cut, mix, pieces, random_table, release, table, texts_of
+from .common import U64, WHITE, cut, input_bytes, mix, pieces, random_table, release, table, texts_of
 from .components import components
 
 WORDS, NEAR = 5, 75
 #: N-grams that a task meets this often at least are counted for the order; the most frequent
 #: ORDERED of them come last. This moves work only; results do not depend on it.
-OFTEN, ORDERED = 4, 1 << 16
-RANGE_BYTES, HELD, BLOCK, BLOCK_SIZE = 8 << 20, 1 << 20, 128, 1_500_000
+OFTEN, ORDERED = 2, 1 << 18
+RANGE_BYTES, HELD, COUNTED, BLOCK, BLOCK_SIZE = 8 << 20, 1 << 20, 6 << 20, 128, 1_500_000
 _BYTES, _PLACE = random_table(256, 21), random_table(WORDS, 22) | U64(1)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[list(WHITE)] = True
@@ -107,7 +108,7 @@ def read_sets(words: int):
                         held.append(own)
                         size += len(own)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, kinds[1]), pa.array(keys, kinds[2]), pa.nulls(b - a, kinds[3]), pa.nulls(b - a, kinds[4])], names)
-                if size >= 2 * HELD:
+                if size >= COUNTED:
                     yield often(held)
                     seen, held, size = set(), [], 0
         if held:
@@ -219,6 +220,16 @@ def unsettled(posted: DataFrame, label: DataFrame) -> DataFrame:
     return rows.join(mixed, "token", "left_semi")
 
 
+def without(pairs: DataFrame, done: list[DataFrame]) -> DataFrame:
+    for other in done:
+        pairs = pairs.join(other.select("a", "b"), ["a", "b"], "left_anti")
+    return pairs
+
+
+def union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
 def merged(rows: DataFrame) -> DataFrame:
     """N-grams posted by the same documents, told by sums of hashes, become one, with the least place
     of each document: the same pairs meet once, and no bound on their overlap gets tighter."""
@@ -310,7 +321,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, near: int) -> DataF
 
 def link_classes(docs: DataFrame, words: int = WORDS, near: int = NEAR, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: key, n_shingles, component_id."""
-    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    size = input_bytes(docs, text)
     ranges = min(1 << 14, max(16, size // RANGE_BYTES))
     own = docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     read = cut(own.mapInArrow(read_sets(words), "doc long, n long, key binary, token long, times long"), "sets")
@@ -339,29 +350,29 @@ def link_classes(docs: DataFrame, words: int = WORDS, near: int = NEAR, text: st
     links = [compared(tried)]
     label = components(links[0])
 
-    mixed = cut(unsettled(posted, label), "mixed")
-    members = mixed.groupBy("token", "label").agg(F.count("*").alias("size"), F.min(F.struct("doc", "n", "place")).alias("p"), F.max(F.struct("doc", "n", "place")).alias("q"))
-    main = members.groupBy("token").agg(F.max_by(F.struct("label", "p", "q"), F.struct("size", "label")).alias("main"))
-    second = mixed.join(main, "token").where("label != main.label").withColumn("p", F.explode(F.array("main.p", "main.q")))
-    again = cut(against(second, near).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "again")
-    links.append(compared(again))
-    release(label)
-    label = components(links[0].unionByName(links[1]))
+    mixed, done = posted, [tried]
+    for _ in range(2):
+        mixed = cut(unsettled(mixed.drop("label"), label), "mixed")
+        members = mixed.groupBy("token", "label").agg(F.count("*").alias("size"), F.min(F.struct("doc", "n", "place")).alias("p"), F.max(F.struct("doc", "n", "place")).alias("q"))
+        main = members.groupBy("token").agg(F.max_by(F.struct("label", "p", "q"), F.struct("size", "label")).alias("main"))
+        more = against(mixed.join(main, "token").where("label != main.label").withColumn("p", F.explode(F.array("main.p", "main.q"))), near)
+        done.append(cut(without(more, done), "tried"))
+        links.append(compared(done[-1]))
+        release(label)
+        label = components(union(links))
 
     rest = cut(merged(unsettled(mixed.drop("label"), label)), "rest")
     left = rest.select("token", *(F.col(c).alias(d) for c, d in (("doc", "a"), ("n", "m"), ("place", "i"), ("label", "x"))))
     right = rest.select("token", *(F.col(c).alias(d) for c, d in (("doc", "b"), ("n", "n"), ("place", "j"), ("label", "y"))))
     cross = left.join(right, "token").where("a < b AND x != y").where(may_link("m", "i", "n", "j", near))
     cross = cross.groupBy("a", "b").agg(F.max("m").alias("m"), F.max("n").alias("n"))
-    for done in (tried, again):
-        cross = cross.join(done.select("a", "b"), ["a", "b"], "left_anti")
-    links.append(compared(cross))
+    links.append(compared(without(cross, done)))
     release(label)
-    label = components(links[0].unionByName(links[1]).unionByName(links[2]))
+    label = components(union(links))
 
     named = classes.join(label, F.col("least") == F.col("node"), "left").select("key", F.coalesce("label", "least").alias("component_id"))
     named = cut(named, "named")
-    release(texts, marks, posted, tried, mixed, again, rest, *links, label, classes)
+    release(texts, marks, posted, mixed, rest, *done, *links, label, classes)
     out = sets.withColumn("key", F.when(F.col("n") > 0, F.col("key"))).join(named, "key", "left")
     return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"))
 
