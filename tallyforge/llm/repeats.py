@@ -39,9 +39,10 @@ from .suffix import ragged, suffix_arrays
 WIDTH, SEED = 50, 24
 SIDE = WIDTH - SEED
 #: Texts an anchor may be in to be handled in one task.
-HOT = 1024
-#: Bytes of input for each hash range, anchors a task holds at once, symbols in a batch of suffix arrays.
-RANGE_BYTES, HELD, BATCH = 16 << 20, 1 << 20, 1 << 20
+HOT = 16384
+#: Bytes of input for each hash range and each part of the anchors, least number of them, anchors a
+#: task holds at once, symbols in a batch of suffix arrays.
+RANGE_BYTES, PART_BYTES, RANGES, PARTS, HELD, BATCH = 6 << 20, 3 << 20, 96, 48, 1 << 19, 1 << 19
 _BYTES = random_table(256, 11)
 LOW48 = U64((1 << 48) - 1)
 
@@ -190,7 +191,7 @@ def contexts(ranges: int, homes: int):
                     own = int(h[k])
                     rows.append((-1 if is_hot[k] else own % homes, own - (1 << 64) if own >> 63 else own, doc, a, bytes((len(left), len(right))) + left + right))
                 held += len(raw)
-                if held > 2 << 20:
+                if held > 1 << 19:
                     yield packed(rows)
                     rows, held = [], 0
             if rows:
@@ -204,65 +205,135 @@ def contexts(ranges: int, homes: int):
     return run
 
 
+def shared_length(unit: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Of each row, the longest beginning that another row of its unit has too; zeros pad rows."""
+    wide = np.zeros((len(side), 32), dtype=np.uint8)
+    wide[:, : side.shape[1]] = side
+    by = np.lexsort((*wide.view(">u8").T[::-1], unit))
+    side, unit = side[by], unit[by]
+    same = np.zeros((len(side) + 1, side.shape[1] + 1), dtype=bool)
+    same[1:-1, :-1] = (side[1:] == side[:-1]) & (side[1:] > 0) & (unit[1:] == unit[:-1])[:, None]
+    length = np.argmin(same, axis=1)
+    out = np.empty(len(side), dtype=np.int64)
+    out[by] = np.maximum(length[:-1], length[1:])
+    return out
+
+
+def distinct_rows(unit: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order that brings equal rows of a unit together, where each run starts, and the run of each row."""
+    wide = np.zeros((len(m), -(-m.shape[1] // 8) * 8), dtype=np.uint8)
+    wide[:, : m.shape[1]] = m
+    words = wide.view(">u8")
+    by = np.lexsort((*words.T[::-1], unit))
+    head = np.flatnonzero(np.append(True, (unit[by][1:] != unit[by][:-1]) | (words[by][1:] != words[by][:-1]).any(axis=1)))
+    number = np.empty(len(m), dtype=np.int64)
+    number[by] = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(by))))
+    return by, head, number
+
+
 def least_documents(anchor: np.ndarray, least: np.ndarray, contexts_: list[bytes]) -> np.ndarray:
     """For distinct contexts sorted by anchor: the least document that holds the string which
-    begins 0 .. SIDE bytes before the anchor, or a great number where there is no such string."""
+    begins 0 .. SIDE bytes before the anchor, or a great number where there is no such string.
+
+    Contexts are rows of symbols with the anchor in column SIDE: 1 ends a context, 2 stands for the
+    anchor, bytes (of UTF-8, so at most 244) follow from 3, 0 is nothing. Ends of a row that no
+    other context of the anchor shares belong to strings of one context, and are left out of the
+    texts of the suffix arrays; rows then equal are one."""
     n, none = len(contexts_), np.iinfo(np.int64).max
     size = np.fromiter(map(len, contexts_), dtype=np.int64, count=n) - 2
     flat = np.frombuffer(b"".join(contexts_), dtype=np.uint8)
     at = np.cumsum(np.append(0, size[:-1] + 2))
     before, after = flat[at].astype(np.int64), flat[at + 1].astype(np.int64)
     back = np.arange(SIDE + 1)
-    fits = (back <= before[:, None]) & (SIDE - back <= after[:, None])
-    out = np.where(fits, least[:, None], none)
+    out = np.where((back <= before[:, None]) & (SIDE - back <= after[:, None]), least[:, None], none)
     first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
     many = np.diff(np.append(first, n))
     unit = np.repeat(np.arange(len(first)), many)
     # a single context shares nothing with another: its strings all begin in its own documents
+    rows = np.flatnonzero(many[unit] > 1)
+    if not len(rows):
+        return out
+    unit, before, size = unit[rows], before[rows], size[rows]
+    m = np.zeros((len(rows), 2 * SIDE + 2), dtype=np.uint8)
+    m[:, SIDE], m[:, -1] = 2, 1
+    row, k = np.repeat(np.arange(len(rows)), size), ragged(np.zeros(len(rows), dtype=np.int64), size)
+    m[row, SIDE - before[row] + k + (k >= before[row])] = flat[ragged(at[rows] + 2, size)] + 3
+    left, right = shared_length(unit, m[:, SIDE - 1 :: -1]), shared_length(unit, m[:, SIDE + 1 : -1])
+    keep = np.flatnonzero(left + right >= SIDE)
+    if not len(keep):
+        return out
+    rows, unit, m, left, right = rows[keep], unit[keep], m[keep], left[keep], right[keep]
+    m[:, :SIDE][np.arange(SIDE) < SIDE - left[:, None]] = 0
+    m[:, SIDE + 1 : -1][np.arange(SIDE) >= right[:, None]] = 0
+    by, head, number = distinct_rows(unit, m)
+    low = np.minimum.reduceat(least[rows][by], head)
+    pick = by[head]
+    found = trimmed_least(unit[pick], m[pick], left[pick], right[pick], low)
+    out[rows] = np.minimum(out[rows], found[number])
+    return out
+
+
+def trimmed_least(unit: np.ndarray, m: np.ndarray, left: np.ndarray, right: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """least_documents() of distinct rows, by suffix arrays of about BATCH symbols at a time.
+
+    Where all rows of a unit agree on one side, as at the edge of a passage, that side and the
+    anchor are one symbol; rows that agree on the left are read backwards for it."""
+    back = np.arange(SIDE + 1)
+    first = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
+    many = np.diff(np.append(first, len(unit)))
+    unit = np.repeat(np.arange(len(first)), many)
+    origin = first[unit]
+    same_left = np.logical_and.reduceat((m[:, :SIDE] == m[origin, :SIDE]).all(axis=1), first)[unit]
+    same_right = np.logical_and.reduceat((m[:, SIDE + 1 : -1] == m[origin, SIDE + 1 : -1]).all(axis=1), first)[unit]
+    turned = same_left & ~same_right
+    m[turned, :-1] = m[turned, -2::-1]
+    left, right = np.where(turned, right, left), np.where(turned, left, right)
+    fits = (back <= left[:, None]) & (SIDE - back <= right[:, None])
+    out = np.where(fits, low[:, None], np.iinfo(np.int64).max)
+    one = same_left | same_right
+    m[one, SIDE + 1 : -1] = 0
+    reach = np.where(one, 0, SIDE)  # symbols of a string, with those `back` bytes: the anchor, and what follows
+    cost = np.add.reduceat((m > 0).sum(axis=1), first)
     multi = np.flatnonzero(many > 1)
-    cost = np.add.reduceat(size + 2, first)[multi] if len(multi) else np.zeros(0)
-    order = multi[np.argsort(cost, kind="stable")]
-    done, total = 0, np.cumsum(np.sort(cost, kind="stable"))
+    order = multi[np.argsort(cost[multi], kind="stable")]
+    done, total = 0, np.cumsum(cost[order])
     while done < len(order):
         stop = max(done + 1, int(np.searchsorted(total, (total[done - 1] if done else 0) + BATCH, side="right")))
         units = order[done:stop]
         rows = ragged(first[units], many[units])
-        sort_units(rows, unit[rows], flat, at, size, before, fits, least, out)
+        out[rows] = sorted_least(unit[rows], m[rows], left[rows], reach[rows], fits[rows], low[rows], out[rows])
         done = stop
+    out[turned] = out[turned, ::-1]
     return out
 
 
-def sort_units(rows, unit, flat, at, size, before, fits, least, out) -> None:
-    """Build one text a unit, sort the suffixes of all, and set out[] of these contexts.
-
-    Symbols: 0 ends a unit, 1 a context, 2 stands for the anchor, bytes follow from 3."""
-    length = size[rows] + 2  # with the anchor and the end
+def sorted_least(unit, m, left, reach, fits, low, out) -> np.ndarray:
+    """Build one text a unit, a symbol 0 at its end, sort the suffixes of all, and fill in out."""
+    present = m > 0
+    length = present.sum(axis=1)
     start = np.cumsum(length) - length
-    codes = np.empty(int(length.sum()), dtype=np.int64)
-    body = np.ones(len(codes), dtype=bool)
-    middle, end = start + before[rows], start + length - 1
-    body[middle] = body[end] = False
-    codes[body] = flat[ragged(at[rows] + 2, size[rows])].astype(np.int64) + 3
-    codes[middle], codes[end] = 2, 1
+    codes = m[present].astype(np.int64)
+    middle, end = start + left, start + length - 1
     last = np.append(unit[1:] != unit[:-1], True)
     codes[end[last]] = 0
     base = np.append(start[np.append(True, last[:-1])], len(codes))
     order = suffix_arrays(codes, base)
     # where strings begin: `back` bytes before the anchor
-    which, back = np.nonzero(fits[rows])
+    which, back = np.nonzero(fits)
     owner = np.full(len(codes), -1, dtype=np.int64)
     owner[middle[which] - back] = np.arange(len(which))
     found = owner[order]
     found = found[found >= 0]
-    if not len(found):
-        return
-    begin, own = (middle[which] - back)[found], unit[which[found]]
-    new = own[1:] != own[:-1]
+    begin, own, back, which = (middle[which] - back)[found], unit[which[found]], back[found], which[found]
+    new = (own[1:] != own[:-1]) | (back[1:] != back[:-1])
+    need = np.maximum(back, reach[which])[1:]
     for k in range(SIDE + 1):
-        new |= codes[begin[1:] + k] != codes[begin[:-1] + k]
+        go = np.flatnonzero(~new & (k <= need))
+        new[go] = codes[begin[1:][go] + k] != codes[begin[:-1][go] + k]
     runs = np.flatnonzero(np.append(True, new))
-    low = np.minimum.reduceat(least[rows[which[found]]], runs)
-    out[rows[which[found]], back[found]] = np.repeat(low, np.diff(np.append(runs, len(found))))
+    least = np.minimum.reduceat(low[which], runs)
+    out[which, back] = np.repeat(least, np.diff(np.append(runs, len(which))))
+    return out
 
 
 def covered(part: pa.Table) -> pa.Table:
@@ -276,9 +347,12 @@ def covered(part: pa.Table) -> pa.Table:
     first = by[head]
     least = least_documents(h[first], doc[first], [words[i] for i in number[first].tolist()])
     row = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(by))))
-    mask = ((least[row] < doc[by][:, None]).astype(np.int64) << np.arange(SIDE + 1)).sum(axis=1)
+    doc, at = doc[by], at[by]
+    mask = np.zeros(len(by), dtype=np.int64)
+    for back in range(SIDE + 1):
+        mask |= (least[row, back] < doc).astype(np.int64) << back
     keep = np.flatnonzero(mask)
-    return pa.table([pa.array(doc[by][keep], pa.int64()), pa.array(at[by][keep], pa.int32()), pa.array(mask[keep], pa.int64())], names=["doc", "at", "mask"])
+    return pa.table([pa.array(doc[keep], pa.int64()), pa.array(at[keep], pa.int32()), pa.array(mask[keep], pa.int64())], names=["doc", "at", "mask"])
 
 
 def covered_hot(rows: DataFrame) -> DataFrame:
@@ -327,7 +401,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", res
     and, if asked for, `rest`, a struct of its other columns."""
     spark = docs.sparkSession
     size = input_bytes(docs, text)
-    ranges, homes = min(1 << 15, max(16, size // RANGE_BYTES)), max(24, size * 4 // RANGE_BYTES)
+    ranges, homes = min(1 << 15, max(RANGES, size // RANGE_BYTES)), max(PARTS, size // PART_BYTES)
     raw = F.coalesce(F.col(text), F.lit(""))
     others = [F.struct(*(docs[c] for c in docs.columns if c != text)).alias("rest")] if rest else []
     own = docs.select(*others, F.col(key).alias("doc"), raw.alias("body"), F.unhex(F.substring(F.md5(raw), 1, 24)).alias("tid"))
