@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import uuid
 
@@ -87,6 +89,39 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return column.cast(pa.large_binary()).fill_null(b"").to_pylist()
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers outlive their tasks, and several share an executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def freed(run, forget=None):
+    """run, a function of batches, with memory given back at the end of a task, and forget() called."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            if forget:
+                forget()
+            give_back()
+
+    return whole
+
+
+def freed_group(run):
+    """run, a function of a group's table, with memory given back after it."""
+
+    def whole(part):
+        try:
+            return run(part)
+        finally:
+            give_back()
+
+    return whole
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit (the public splitmix64 constants)."""
     x = x ^ (x >> U64(30))

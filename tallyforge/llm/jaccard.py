@@ -33,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, WHITE, cut, input_bytes, mix, pieces, random_table, release, table, texts_of
+from .common import U64, WHITE, cut, freed, freed_group, input_bytes, mix, pieces, random_table, release, table, texts_of
 from .components import components
 
 WORDS, NEAR = 5, 75
 #: N-grams that a task meets this often at least are counted for the order; the most frequent
 #: ORDERED of them come last. This moves work only; results do not depend on it.
 OFTEN, ORDERED = 2, 1 << 18
-RANGE_BYTES, HELD, COUNTED, BLOCK, BLOCK_SIZE = 8 << 20, 1 << 20, 6 << 20, 128, 1_500_000
+RANGE_BYTES, HELD, COUNTED, BLOCK, BLOCK_SIZE = 8 << 20, 1 << 19, 6 << 20, 128, 1_500_000
 _BYTES, _PLACE = random_table(256, 21), random_table(WORDS, 22) | U64(1)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[list(WHITE)] = True
@@ -277,7 +277,7 @@ def possible(pairs: DataFrame, marks: DataFrame, near: int) -> DataFrame:
 
     rows = pairs.join(marks.select(F.col("doc").alias("a"), F.col("bits").alias("p")), "a")
     rows = rows.join(marks.select(F.col("doc").alias("b"), F.col("bits").alias("q")), "b")
-    return rows.select("a", "b", "m", "n", "p", "q").mapInArrow(run, "a long, b long, m long, n long")
+    return rows.select("a", "b", "m", "n", "p", "q").mapInArrow(freed(run), "a long, b long, m long, n long")
 
 
 def products(words: int, near: int):
@@ -316,7 +316,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, near: int) -> DataF
     home = F.pmod(F.xxhash64("a", "salt"), F.lit(homes)).cast("int").alias("home")
     asked = blocked.select(home, "a", F.col("b").alias("doc")).unionByName(blocked.select(home, "a", F.col("a").alias("doc")).distinct())
     rows = asked.join(texts, "doc").select("home", "a", "doc", "body")
-    return rows.groupBy("home").applyInArrow(products(words, near), "a long, b long").distinct()
+    return rows.groupBy("home").applyInArrow(freed_group(products(words, near)), "a long, b long").distinct()
 
 
 def link_classes(docs: DataFrame, words: int = WORDS, near: int = NEAR, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -324,7 +324,7 @@ def link_classes(docs: DataFrame, words: int = WORDS, near: int = NEAR, text: st
     size = input_bytes(docs, text)
     ranges = min(1 << 14, max(16, size // RANGE_BYTES))
     own = docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    read = cut(own.mapInArrow(read_sets(words), "doc long, n long, key binary, token long, times long"), "sets")
+    read = cut(own.mapInArrow(freed(read_sets(words)), "doc long, n long, key binary, token long, times long"), "sets")
     often = read.where("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times"))
     often = often.orderBy(F.desc("times"), "token").limit(ORDERED).toArrow()
     hot, count = often.column("token").to_numpy().view(U64), often.column("times").to_numpy()
@@ -333,11 +333,11 @@ def link_classes(docs: DataFrame, words: int = WORDS, near: int = NEAR, text: st
     sets = read.where("key IS NOT NULL").select("doc", "n", "key")
     classes = cut(sets.where("n > 0").groupBy("key").agg(F.min("doc").alias("least")), "classes")
 
-    packed = own.select("body").mapInArrow(postings(words, near, ranges, hot, count), "range int, classes binary, sizes binary, counts binary, tokens binary, places binary")
-    posted = packed.groupBy("range").applyInArrow(shared(ranges), "token long, class long, n long, place long")
+    packed = own.select("body").mapInArrow(freed(postings(words, near, ranges, hot, count)), "range int, classes binary, sizes binary, counts binary, tokens binary, places binary")
+    posted = packed.groupBy("range").applyInArrow(freed_group(shared(ranges)), "token long, class long, n long, place long")
     posted = cut(posted.join(classes.select(class_of("key").alias("class"), "least"), "class").select("token", F.col("least").alias("doc"), "n", "place"), "posted")
     texts = cut(own.join(posted.select("doc").distinct(), "doc").dropDuplicates(["doc"]), "texts")
-    marks = cut(texts.mapInArrow(signatures(words), "doc long, bits binary"), "marks")
+    marks = cut(texts.mapInArrow(freed(signatures(words)), "doc long, bits binary"), "marks")
 
     def compared(pairs: DataFrame) -> DataFrame:
         pairs = cut(possible(pairs, marks, near), "pairs")

@@ -27,13 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import pieces, table, texts_of
+from .common import freed, pieces, table, texts_of
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values of the format
 UNIGRAM, BPE = 1, 2
 #: Distinct segments that a worker remembers; threads of one worker.
-REMEMBERED = 1_000_000
+REMEMBERED = 250_000
 THREADS = 2
 _CACHE: dict[str, Codec] = {}
 
@@ -186,6 +186,11 @@ def codec(path: str | None) -> Codec:
     return _CACHE[path]
 
 
+def forget() -> None:
+    """Drop the codecs that a task has built."""
+    _CACHE.clear()
+
+
 def encode_pieces(docs: DataFrame, model: str | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: key, n_bytes, ids (array of int), parity. model: a path every executor has."""
 
@@ -198,7 +203,7 @@ def encode_pieces(docs: DataFrame, model: str | None = None, text: str = "text",
                 ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(x) for x, _ in made)]), pa.int32()), pa.array(np.concatenate([x for x, _ in made]) if made else [], pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(map(len, raw), pa.int64()), ids, pa.array([ok for _, ok in made])], [key, "n_bytes", "ids", "parity"])
 
-    return docs.select(key, text).mapInArrow(run, f"{key} long, n_bytes long, ids array<int>, parity boolean")
+    return docs.select(key, text).mapInArrow(freed(run, forget), f"{key} long, n_bytes long, ids array<int>, parity boolean")
 
 
 def decode_pieces(encoded: DataFrame, model: str | None = None, key: str = "doc_id") -> DataFrame:
@@ -213,7 +218,7 @@ def decode_pieces(encoded: DataFrame, model: str | None = None, key: str = "doc_
                 decoded = [own.decode(np.asarray(x.values)) for x in part]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 256), batch.column(1).slice(i, 256), part, parity.slice(i, 256), pa.array(decoded, pa.string())], [key, "n_bytes", "ids", "parity", "decoded"])
 
-    return encoded.select(key, "n_bytes", "ids", "parity").mapInArrow(run, f"{key} long, n_bytes long, ids array<int>, parity boolean, decoded string")
+    return encoded.select(key, "n_bytes", "ids", "parity").mapInArrow(freed(run, forget), f"{key} long, n_bytes long, ids array<int>, parity boolean, decoded string")
 
 
 def digests(docs: DataFrame, model: str | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -232,7 +237,7 @@ def digests(docs: DataFrame, model: str | None = None, text: str = "text", key:
                 kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], [key, "n_bytes", "n_pieces", "ids_sha256", "decoded_sha256", "round_trip", "parity"])
 
-    return docs.select(key, text).mapInArrow(run, f"{key} long, n_bytes long, n_pieces long, ids_sha256 string, decoded_sha256 string, round_trip boolean, parity boolean")
+    return docs.select(key, text).mapInArrow(freed(run, forget), f"{key} long, n_bytes long, n_pieces long, ids_sha256 string, decoded_sha256 string, round_trip boolean, parity boolean")
 
 
 def tokenised(docs: DataFrame, model: str | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -249,7 +254,7 @@ def tokenised(docs: DataFrame, model: str | None = None, text: str = "text", key
                 back = [own.decode(x).encode() == r.replace(MARK.encode(), b" ") for (x, _), r in zip(made, raw, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(map(len, raw), pa.int64()), pa.array(sizes, pa.int64()), ids, pa.array(back, pa.bool_()), pa.array([ok for _, ok in made], pa.bool_())], [key, "n_bytes", "n_pieces", "ids", "round_trip", "parity"])
 
-    return docs.select(key, text).mapInArrow(run, f"{key} long, n_bytes long, n_pieces long, ids array<int>, round_trip boolean, parity boolean")
+    return docs.select(key, text).mapInArrow(freed(run, forget), f"{key} long, n_bytes long, n_pieces long, ids array<int>, round_trip boolean, parity boolean")
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

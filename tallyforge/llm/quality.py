@@ -23,7 +23,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import WHITE, pieces, table, texts_of
+from .common import WHITE, freed, pieces, table, texts_of
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MOST_REPEATED = 50, 50
@@ -108,7 +108,7 @@ def judge(docs: DataFrame, bands: Bands | None = None, text: str = "text", key:
                 columns = list(zip(*own.rows(texts_of(batch.column(1).slice(a, b - a))), strict=True)) or [()] * 9
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], [key, *(x.split()[0] for x in COLUMNS.split(", "))])
 
-    return docs.select(key, text).mapInArrow(run, f"{key} long, {COLUMNS}")
+    return docs.select(key, text).mapInArrow(freed(run), f"{key} long, {COLUMNS}")
 
 
 def passing(docs: DataFrame, bands: Bands | None = None, text: str = "text") -> DataFrame:
@@ -123,7 +123,7 @@ def passing(docs: DataFrame, bands: Bands | None = None, text: str = "text") ->
                 part = batch.slice(a, b - a)
                 yield part.filter(pa.array([r[6] for r in own.rows(texts_of(part.column(at)))], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(freed(run), docs.schema)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, WORD, cut, input_bytes, mix, pieces, random_table, release, table, texts_of
+from .common import U64, WORD, cut, freed, freed_group, input_bytes, mix, pieces, random_table, release, table, texts_of
 from .suffix import ragged, suffix_arrays
 
 #: Bytes of a repeated string, and of an anchor.
@@ -406,14 +406,14 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", res
     others = [F.struct(*(docs[c] for c in docs.columns if c != text)).alias("rest")] if rest else []
     own = docs.select(*others, F.col(key).alias("doc"), raw.alias("body"), F.unhex(F.substring(F.md5(raw), 1, 24)).alias("tid"))
 
-    packed = own.select("body").mapInArrow(sketches(ranges), "range int, ids binary, counts binary, hashes binary")
-    found = cut(packed.groupBy("range").applyInArrow(shared, "tid binary, cold binary, hot binary"), "shared")
+    packed = own.select("body").mapInArrow(freed(sketches(ranges)), "range int, ids binary, counts binary, hashes binary")
+    found = cut(packed.groupBy("range").applyInArrow(freed_group(shared), "tid binary, cold binary, hot binary"), "shared")
     first = own.groupBy("tid").agg(F.min("doc").alias("first"))
     wanted = found.groupBy("tid").agg(F.collect_list("cold").alias("cold"), F.collect_list("hot").alias("hot")).join(first, "tid")
     wanted = wanted.select(F.col("first").alias("doc"), "tid", "cold", "hot")
-    sent = own.join(wanted, ["doc", "tid"]).select("doc", "body", "cold", "hot").mapInArrow(contexts(ranges, homes), "home int, h long, doc long, at int, context binary")
+    sent = own.join(wanted, ["doc", "tid"]).select("doc", "body", "cold", "hot").mapInArrow(freed(contexts(ranges, homes)), "home int, h long, doc long, at int, context binary")
     sent = cut(sent, "contexts")
-    cold = sent.where("home >= 0").groupBy("home").applyInArrow(covered, "doc long, at int, mask long")
+    cold = sent.where("home >= 0").groupBy("home").applyInArrow(freed_group(covered), "doc long, at int, mask long")
     masks = cut(cold.unionByName(covered_hot(sent.where("home < 0").select("h", "doc", "at", "context"))), "masks")
     release(found, sent)
 
@@ -425,7 +425,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", res
     schema = T.StructType.fromDDL("key long, n_bytes long, kept binary, starts array<long>, ends array<long>")
     for c in also:
         schema = schema.add(out.schema[c])
-    return out.mapInArrow(applied, schema).withColumnRenamed("key", key)
+    return out.mapInArrow(freed(applied), schema).withColumnRenamed("key", key)
 
 
 def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", chars: str = "n_chars") -> DataFrame:
