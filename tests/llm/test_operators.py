@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import zstandard
 from hypothesis import given, settings
@@ -185,6 +186,22 @@ def test_passing_keeps_columns(docs):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {r.doc_id for r in quality.judge(docs).where("kept").collect()}
 
 
+def labelled(sf):
+    """(quality, text, row of the judge) of the labelled texts that pass the base rules."""
+    read = lambda name: pq.read_table(f"/root/testdata/{sf}/{name}.parquet").to_pylist()
+    good = {r["doc_id"]: r["quality"] for r in read("labels")}
+    rows = [(good[r["doc_id"]], raw(r["text"])) for r in read("documents") if r["doc_id"] in good]
+    judged = quality.Judge(quality.Bands()).rows([t for _, t in rows])
+    return [(g, t, j) for (g, t), j in zip(rows, judged, strict=True) if not j[5]]
+
+
+def test_bands_tell_labelled_texts_apart():
+    for sf, least in (("sf0.1", 0.6), ("sf0.01", 0.6)):
+        rows = labelled(sf)
+        good, bad = ([j[6] for g, _, j in rows if g == k] for k in (1, 0))
+        assert all(good) and bad.count(False) >= least * len(bad)
+
+
 # ---- tokens
 
 
