@@ -1,5 +1,6 @@
 """The llm operators against brute force, the libraries and planted cases."""
 
+import base64
 import hashlib
 import zlib
 from collections import Counter, defaultdict
@@ -202,6 +203,31 @@ def test_bands_tell_labelled_texts_apart():
         assert all(good) and bad.count(False) >= least * len(bad)
 
 
+def test_chunks_find_junk_within_prose():
+    rows, random = labelled("sf0.1"), np.random.default_rng(7)
+    good = [t for g, t, _ in rows if g == 1 and len(t) > 4096]
+    assert all(j[6] for g, _, j in rows if g == 1)  # none is lost to the chunks
+    assert not any(j[6] for g, t, j in rows if g == 0 and len(t) >= 4096)
+    prose = b"\n".join(t for t in good if b" the " in t)[:120_000]
+    judge = quality.Judge(quality.Bands())
+
+    def share(junk, part, whole=prose):
+        """The share of bad chunks after each tenth of `whole` ends in `part` of junk."""
+        step = len(whole) // 10
+        cut = [whole[i : i + int(step * (1 - part))] + junk(step - int(step * (1 - part))) for i in range(0, 10 * step, step)]
+        return judge.outside(b"".join(cut))
+
+    base64_ = lambda n: base64.b64encode(random.bytes(n))[:n]
+    hex_ = lambda n: random.bytes(n).hex().encode()[:n]
+    assert judge.outside(prose) <= 0.05
+    for part in (0.45, 0.2):
+        assert share(base64_, part) > 0.05
+    assert share(hex_, 0.45) > 0.05
+    one = next(t for t in good if len(t) > 6000)[:6000]
+    assert judge.outside(one) == 0 and judge.outside(one[:4500] + base64_(1500)) > 0.05  # the tail
+    assert judge.outside(one[:2596] + base64_(1500)) > 0.05  # a single chunk
+
+
 # ---- tokens
 
 
