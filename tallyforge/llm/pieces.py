@@ -8,8 +8,8 @@ marker; texts are cut there first, which changes no result and lets equal words
 (A model with such a piece, or without a space marker, is encoded uncut.) Models whose normaliser
 rewrites characters or squeezes spaces are refused; those of this family store text as it is.
 
-Parity: each segment a worker has not met is encoded by the sentencepiece library too, and where
-the two differ the library's ids are taken, and `parity` tells it. Texts are whole; null and
+Parity: each segment a worker has not met is encoded by the sentencepiece library too, lone markers
+included. The ids are the tokenizer's; where the two differ, `parity` is false. Texts are whole; null and
 empty ones have no pieces. Repeated rows each get a row, an empty table gives an empty result.
 """
 
@@ -116,7 +116,8 @@ class Codec:
         from tokenizers import Tokenizer, decoders, models
 
         with open(path, "rb") as f:
-            self.model = m = Model.parse(f.read())
+            self.raw = f.read()
+        self.model = m = Model.parse(self.raw)
         if m.charsmap or m.squeeze or not m.escape or USER in m.kinds:
             raise ValueError("models that rewrite text or have user-defined pieces are not supported")
         unknown = m.kinds.index(UNKNOWN)
@@ -129,7 +130,8 @@ class Codec:
         self.tokenizer = Tokenizer(core)
         self.tokenizer.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
         self.bytes = [bytes([int(w[1:-1], 16)]) if k == BYTE else b"" if k == CONTROL else w.replace(MARK, " ").encode() for w, k in zip(m.words, m.kinds, strict=True)]
-        self.library = sentencepiece.SentencePieceProcessor(model_file=path, add_bos=False, add_eos=False)
+        # a field that comes last counts: the normaliser's (3) prefix (3) is off, as segments have their markers
+        self.library = sentencepiece.SentencePieceProcessor(model_proto=self.raw + b"\x1a\x02\x18\x00", add_bos=False, add_eos=False)
         crosses = any(re.search(f"[^{MARK}]{MARK}", w) for w in m.words)
         self.segment = re.compile("(?s:.+)" if crosses else f"{MARK}+[^{MARK}]*|[^{MARK}]+")
         self.seen: dict[str, bytes] = {}
@@ -158,17 +160,11 @@ class Codec:
         ours = [x.ids for x in self.tokenizer.encode_batch_fast(segments, add_special_tokens=False)]
         theirs = self.reference(segments)
         odd = {s for s, a, b in zip(segments, ours, theirs, strict=True) if a != b}
-        return {s: array("i", b).tobytes() for s, b in zip(segments, theirs, strict=True)}, odd
+        return {s: array("i", a).tobytes() for s, a in zip(segments, ours, strict=True)}, odd
 
     def reference(self, segments: list[str]) -> list[list[int]]:
-        """The sentencepiece library's ids; it adds the marker itself where the model asks for it."""
-        prefix = self.model.prefix
-        plain = [s[1:] if prefix and len(s) > 1 and s[0] == MARK else s for s in segments]
-        out = self.library.encode(plain, num_threads=1)
-        for i, s in enumerate(segments):
-            if prefix and (s[0] != MARK or len(s) == 1):  # a lone marker, or a text cut inside: no marker may be added
-                out[i] = self.tokenizer.encode(s, add_special_tokens=False).ids
-        return out
+        """The sentencepiece library's ids, which only check the tokenizer's."""
+        return self.library.encode(segments, num_threads=1)
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ids: pieces with spaces for markers, byte pieces as the bytes they stand for.

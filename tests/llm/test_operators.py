@@ -258,6 +258,21 @@ def test_pieces_equal_the_library_and_round_trip(spark):
     assert all(r.decoded == TEXTS[r.doc_id].replace(pieces.MARK, " ") and r.parity for r in rows)
 
 
+def test_pieces_are_the_tokenizers_and_the_library_only_checks():
+    own = pieces.Codec(P.path("piece_bpe_32k.model"))
+    segments = [pieces.MARK, pieces.MARK * 3, "x", f"{pieces.MARK}one", *own.segment.findall(own.normal(" ".join(TEXTS[-9:])))]
+    assert own.reference(segments) == [own.tokenizer.encode(s, add_special_tokens=False).ids for s in segments]
+    expected = own.encode(["one two", "three"])
+    other = pieces.Codec(P.path("piece_bpe_32k.model"))
+    other.reference = lambda segments: [[5] if s.endswith("two") else x.ids for s, x in zip(segments, other.tokenizer.encode_batch_fast(segments, add_special_tokens=False), strict=True)]
+    for (a, parity), (b, _), agree in zip(other.encode(["one two", "three"]), expected, (False, True), strict=True):
+        assert a.tolist() == b.tolist() and parity == agree
+    lone = pieces.Codec(P.path("piece_bpe_32k.model"))
+    asked, library = [], lone.library
+    lone.library = type("Spy", (), {"encode": lambda self, x, **k: asked.extend(x) or library.encode(x, **k)})()
+    assert lone.encode([" "])[0][1] and pieces.MARK * 2 in asked and lone.encode([""])[0][1]
+
+
 # ---- media
 
 
