@@ -5,6 +5,8 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import re
+import tempfile
 import uuid
 
 import numpy as np
@@ -38,26 +40,27 @@ def n_words(text: str | Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is named."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share. Where none is named, a temporary one, but only for
+    a local master: on a cluster each machine would write to its own."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
-        at = spark.sparkContext.getCheckpointDir()
-    if not at:
-        import tempfile
-
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="tallyforge-")
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back, so that no later step recomputes it."""
+def cut(df: DataFrame, name: str, tidy: bool = True) -> DataFrame:
+    """Write df to the shared folder and read it back, so that no later step recomputes it. tidy:
+    after a great step, let the driver drop what nothing refers to, and so its shuffle files go."""
     spark, schema = df.sparkSession, df.schema
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     del df
-    gc.collect()
-    spark._jvm.System.gc()  # what nothing refers to any more lets its shuffle files go
+    if tidy:
+        gc.collect()
+        spark._jvm.System.gc()
     out = spark.read.schema(schema).parquet(path)
     out._cut_at = path
     return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import cut, release
@@ -15,18 +15,18 @@ def components(edges: DataFrame) -> DataFrame:
     label; rounds are written to the shared folder, and the last changes nothing. Stars settle in
     two rounds and chains in about the logarithm of their length. No edges give no rows."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = cut(both.where("a != b").distinct(), "edges")
-    label = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "label")
+    both = cut(both.where("a != b").distinct(), "edges", tidy=False)
+    label = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "label", tidy=False)
     while True:
         near = both.join(label, both["b"] == label["node"]).groupBy("a").agg(F.min("label").alias("near"))
         low = label.join(near, label["node"] == near["a"]).select("node", "label", F.least("label", "near").alias("low"))
         jump = label.select(F.col("node").alias("at"), F.col("label").alias("on"))
         after = low.join(jump, low["low"] == jump["at"]).select("node", F.col("label").alias("old"), F.least("low", "on").alias("label"))
-        after = cut(after, "label")
-        changed = after.where("old != label").limit(1).count()
+        seen = Observation()
+        after = cut(after.observe(seen, F.count_if(F.col("old") != F.col("label")).alias("changed")), "label", tidy=False)
         release(label)
         label = after
-        if not changed:
+        if not seen.get["changed"]:
             release(both)
             return _kept(label)
 

@@ -2,34 +2,46 @@
 
 A document's set holds its distinct WORDS-word shingles (A-Z lower-cased; with fewer words, the
 whole sequence; without words, nothing, and it links with nothing). Documents link when
-100 * intersection >= NEAR * union, and classes are what links connect.
+100 * intersection >= NEAR * union, and components are what links connect.
 
-Equal sets are one class, named by its least doc_id. Links between classes are found exactly:
+Equal sets are one class. Links between classes are found exactly:
 
 1. The n-grams of each set are put in one order for all, rarest first (n-grams met often, counted
-   over all rows, come last by count; the rest by hash). Linked sets share an n-gram among the
-   first n - ceil(0.75 n) + 1 of each, so only this prefix is posted. Postings go packed to hash
-   ranges, which keep the n-grams of two or more classes.
-2. In a first round each posted class is compared with the least class of each of its n-grams, in
-   two more with two members of the n-gram's largest component. In the last, all other pairs that
-   share a posted n-gram across components are compared; inside a component a further link changes
-   nothing. So no round writes out all pairs of a group of near copies.
-3. Pairs whose sizes, whose places of the shared n-gram or whose bit signatures rule a link out are
-   dropped. The rest meet in blocks: the rows of a block, restricted to the columns of their common
-   partner, give the overlap counts, which the exact test follows.
-
-N-grams are compared by 64-bit hashes. Null and empty texts get 0 shingles and their own doc_id.
-Texts are whole. Repeated rows are one document and each get a row. An empty table gives no rows.
+   over all rows, come last by count and are `hot`; the rest, `cold`, by hash). Linked sets share
+   an n-gram among the first n - ceil(0.75 n) + 1 of each, so only this prefix is posted. Postings
+   go packed to hash ranges, which are the column blocks of the incidence.
+2. Each block multiplies its columns: an n-gram posted by at most FEW classes adds one to the
+   overlap of each pair of them. Overlaps are summed over all blocks, and a pair is discarded if
+   even all that was not counted (the longer rest behind the cold prefix, and columns left to
+   step 3 that both may hold) leaves it below the bound that its two sizes set.
+3. Columns of more than FEW classes, and hot ones, are compared with pivots: ROUNDS times, all
+   classes with two members of the n-gram's largest component, one of which has the fewest n-grams
+   of its own. At last all other pairs of
+   fitting sizes that share such an n-gram across components are compared; inside a component a
+   further link changes nothing. So no round writes out all pairs of a group of near copies. Here
+   sizes, places of the shared n-gram, the n-grams that step 2 counted (a pair that shares one of
+   them is decided there) and bit signatures rule pairs out.
+4. What is left meets in blocks: rows restricted to the columns of their common partner give the
+   whole overlap counts, which the exact test follows.
+
+N-grams are compared by 64-bit hashes (48 bits within a block of step 2, which can only make the
+discarding weaker, short of a collision inside one set), sets by 64 bits of an MD5. Null and empty
+texts get 0 shingles and their own doc_id. Texts are whole. Each row is a document of its own:
+repeated rows each get a row, and rows that share a doc_id but not a text are judged apart. Rows
+without a doc_id link like others, but name no component: a component of such rows alone has none.
+An empty table gives no rows. Other columns are ignored (`one_of_each` keeps them all).
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +52,13 @@ WORDS, NEAR = 5, 75
 #: N-grams that a task meets this often at least are counted for the order; the most frequent
 #: ORDERED of them come last. This moves work only; results do not depend on it.
 OFTEN, ORDERED = 2, 1 << 18
-RANGE_BYTES, HELD, COUNTED, BLOCK, BLOCK_SIZE = 8 << 20, 1 << 19, 6 << 20, 128, 1_500_000
+#: Classes of a column that is multiplied in its block; further ones meet by pivots.
+FEW = 8
+#: Rounds of pivots; they move work only.
+ROUNDS = 3
+#: Bytes of input for each hash range, up to MANY of them, and beyond; least number of ranges.
+RANGE_BYTES, MANY, FAR_BYTES, RANGES = 8 << 20, 1 << 14, 256 << 20, 64
+HELD, COUNTED, BLOCK, BLOCK_SIZE = 1 << 19, 6 << 20, 128, 1_500_000
 _BYTES, _PLACE = random_table(256, 21), random_table(WORDS, 22) | U64(1)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[list(WHITE)] = True
@@ -84,30 +102,36 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def class_of(own: np.ndarray) -> int:
+    """The name of a set: 64 bits of an MD5 of its hashes."""
+    return int.from_bytes(hashlib.md5(own.tobytes(), usedforsecurity=False).digest()[:8], "big", signed=True)
+
+
 def read_sets(words: int):
-    """A row for each document (doc, n, key), and one for each n-gram that is often met (token, times)."""
-    names, kinds = ["doc", "n", "key", "token", "times"], [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+    """A row for each document (doc, tid, n, class), and one for each n-gram that is often met (token, times)."""
+    names, kinds = ["doc", "tid", "n", "class", "token", "times"], [pa.int64()] * 6
 
     def often(held: list[np.ndarray]) -> pa.RecordBatch:
         token, times = np.unique(np.concatenate(held), return_counts=True)
         keep = times >= OFTEN
         n = int(keep.sum())
-        return pa.RecordBatch.from_arrays([pa.nulls(n, kinds[0]), pa.nulls(n, kinds[1]), pa.nulls(n, kinds[2]), pa.array(signed(token[keep])), pa.array(times[keep], pa.int64())], names)
+        return pa.RecordBatch.from_arrays([*(pa.nulls(n, k) for k in kinds[:4]), pa.array(signed(token[keep])), pa.array(times[keep], pa.int64())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held, size = set(), [], 0
         for batch in batches:
-            for a, b in pieces(batch.column(1)):
-                n, keys = [], []
-                for raw in texts_of(batch.column(1).slice(a, b - a)):
+            for a, b in pieces(batch.column(2)):
+                n, classes = [], []
+                for raw in texts_of(batch.column(2).slice(a, b - a)):
                     own = shingles(raw, words)
                     n.append(len(own))
-                    keys.append(hashlib.md5(own.tobytes(), usedforsecurity=False).digest())
-                    if len(own) and keys[-1] not in seen:
-                        seen.add(keys[-1])
+                    classes.append(class_of(own))
+                    if len(own) and classes[-1] not in seen:
+                        seen.add(classes[-1])
                         held.append(own)
                         size += len(own)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, kinds[1]), pa.array(keys, kinds[2]), pa.nulls(b - a, kinds[3]), pa.nulls(b - a, kinds[4])], names)
+                made = [pa.array(n, kinds[2]), pa.array(classes, kinds[3]), pa.nulls(b - a, kinds[4]), pa.nulls(b - a, kinds[5])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), *made], names)
                 if size >= COUNTED:
                     yield often(held)
                     seen, held, size = set(), [], 0
@@ -117,29 +141,42 @@ def read_sets(words: int):
     return run
 
 
+PACKED = "range int, classes binary, sizes binary, colds binary, counts binary, tokens binary, places binary"
+
+
 def postings(words: int, near: int, ranges: int, hot: np.ndarray, count: np.ndarray):
-    """Prefixes of the sets, packed by hash range: (range, classes, sizes, counts, tokens, places).
+    """Prefixes of the sets, packed by hash range (PACKED).
 
-    hot: sorted n-grams that come last, by count; these are known to be shared and go, by class,
-    to ranges of their own, from `ranges` on."""
+    hot: sorted n-grams that come last, by count; they go, by class, to ranges of their own, from
+    `ranges` on, with their places. A class's cold n-grams of a range follow each other in order,
+    so the place of the first is enough, and 48 bits tell them apart. colds: how many n-grams of
+    the prefix are cold."""
 
-    def flush(held: list[tuple]) -> pa.RecordBatch:
-        own = np.repeat(np.arange(len(held)), [len(x[2]) for x in held])
-        token, place, is_hot = (np.concatenate([x[k] for x in held]) for k in (2, 3, 4))
-        ids, sizes = np.array([x[0] for x in held], dtype=np.int64), np.array([x[1] for x in held], dtype=np.int32)
-        home = ((token >> U64(48)) * U64(ranges) >> U64(16)).astype(np.int64)
-        home[is_hot] = ranges + (ids[own[is_hot]].view(U64) % U64(ranges)).astype(np.int64)
+    def packed(own: np.ndarray, home: np.ndarray, token: np.ndarray, place: np.ndarray, ids: np.ndarray, sizes: np.ndarray, colds: np.ndarray, whole: bool) -> list[tuple]:
+        if not len(home):
+            return []
         by = np.argsort(home, kind="stable")
         home, token, place, own = home[by], token[by], place[by].astype(np.int32), own[by]
-        cuts = np.searchsorted(home, np.arange(2 * ranges + 1))
+        six = token if whole else np.ascontiguousarray(token.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+        edge = np.flatnonzero(np.append(True, np.diff(home) != 0))
         rows = []
-        for k in np.flatnonzero(np.diff(cuts)):
-            a, b = cuts[k], cuts[k + 1]
+        for a, b in zip(edge, np.append(edge[1:], len(home)), strict=True):
             head = np.flatnonzero(np.append(True, np.diff(own[a:b]) != 0))
             who = own[a:b][head]
-            rows.append((int(k), ids[who].tobytes(), sizes[who].tobytes(), np.diff(np.append(head, b - a)).astype(np.int32).tobytes(), token[a:b].tobytes(), place[a:b].tobytes()))
-        columns = list(zip(*rows, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if not k else pa.binary()) for k, c in enumerate(columns)], ["range", "classes", "sizes", "counts", "tokens", "places"])
+            counts = np.diff(np.append(head, b - a)).astype(np.int32)
+            places = place[a:b] if whole else place[a:b][head]
+            rows.append((int(home[a]), ids[who].tobytes(), sizes[who].tobytes(), colds[who].tobytes(), counts.tobytes(), six[a:b].tobytes(), places.tobytes()))
+        return rows
+
+    def flush(held: list[tuple]) -> pa.RecordBatch:
+        ids, sizes, colds = np.array([x[0] for x in held], dtype=np.int64), *(np.array([x[k] for x in held], dtype=np.int32) for k in (1, 2))
+        own = np.repeat(np.arange(len(held)), [len(x[3]) for x in held])
+        token, place = np.concatenate([x[3] for x in held]), np.concatenate([np.arange(len(x[3])) for x in held])
+        cold = place < colds[own]
+        home = ((token >> U64(32)) * U64(ranges) >> U64(32)).astype(np.int64)
+        home[~cold] = ranges + (ids[own[~cold]].view(U64) % U64(ranges)).astype(np.int64)
+        rows = [r for k in (cold, ~cold) for r in packed(own[k], home[k], token[k], place[k], ids, sizes, colds, k is not cold)]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if not k else pa.binary()) for k, c in enumerate(zip(*rows, strict=True))], [x.split()[0] for x in PACKED.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held, size = set(), [], 0
@@ -147,14 +184,14 @@ def postings(words: int, near: int, ranges: int, hot: np.ndarray, count: np.ndar
             for a, b in pieces(batch.column(0)):
                 for raw in texts_of(batch.column(0).slice(a, b - a)):
                     own = shingles(raw, words)
-                    key = hashlib.md5(own.tobytes(), usedforsecurity=False).digest()
-                    if not len(own) or key in seen:
+                    name = class_of(own)
+                    if not len(own) or name in seen:
                         continue
-                    seen.add(key)
+                    seen.add(name)
                     at = np.minimum(np.searchsorted(hot, own), max(len(hot) - 1, 0))
                     times = np.where(hot[at] == own, count[at], 0) if len(hot) else np.zeros(len(own), dtype=np.int64)
                     by = np.lexsort((own, times))[: len(own) - -(-near * len(own) // 100) + 1]
-                    held.append((int.from_bytes(key[:8], "big", signed=True), len(own), own[by], np.arange(len(by)), times[by] > 0))
+                    held.append((name, len(own), int((times[by] == 0).sum()), own[by]))
                     size += len(by)
                     if size >= HELD:
                         yield flush(held)
@@ -165,46 +202,112 @@ def postings(words: int, near: int, ranges: int, hot: np.ndarray, count: np.ndar
     return run
 
 
-def shared(ranges: int):
-    """One range: a row for each place of an n-gram that two or more classes post."""
+MET = "a long, b long, n int, m int, p int, q int, overlap int, token long, place int"
+
+
+def multiplied(ranges: int, near: int, few: int):
+    """One range (MET). Of a block of cold columns: a row (a, b, overlap) for each pair of classes that share
+    columns of at most `few` classes, with their sizes n, m and cold prefixes p, q; and a row
+    (a, token, place) for each class of a fuller column, with overlap 1. Of hot columns: a row
+    (a, token, place) each, with overlap 0."""
+    names = [x.split()[0] for x in MET.split(", ")]
+    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 5, pa.int64(), pa.int32()]
+
+    def made(k: int, **own: np.ndarray) -> pa.Table:
+        return pa.table([pa.array(own[x], t) if x in own else pa.nulls(k, t) for x, t in zip(names, kinds, strict=True)], names=names)
 
     def run(part: pa.Table) -> pa.Table:
-        whole = part.column("range")[0].as_py() >= ranges
+        home = part.column("range")[0].as_py()
 
         def read(name: str, kind) -> np.ndarray:
             return np.frombuffer(b"".join(part.column(name).to_pylist()), dtype=kind)
 
-        counts = read("counts", np.int32)
-        own, size = np.repeat(read("classes", np.int64), counts), np.repeat(read("sizes", np.int32), counts)
-        token, place = read("tokens", U64), read("places", np.int32)
-        by = np.lexsort((own, token))
-        own, size, token, place = own[by], size[by], token[by], place[by]
-        new = np.append(True, (np.diff(token) != 0) | (np.diff(own) != 0))
-        own, size, token, place = own[new], size[new], token[new], place[new]
-        if not whole:
-            start = np.flatnonzero(np.append(True, np.diff(token) != 0))
-            many = np.diff(np.append(start, len(token)))
-            keep = np.repeat(many > 1, many)
-            own, size, token, place = own[keep], size[keep], token[keep], place[keep]
-        return pa.table([pa.array(signed(np.ascontiguousarray(token))), pa.array(own), pa.array(size, pa.int64()), pa.array(place, pa.int64())], names=["token", "class", "n", "place"])
+        counts, places = read("counts", np.int32), read("places", np.int32)
+        row = np.repeat(np.arange(len(counts)), counts)
+        classes, sizes, colds = read("classes", np.int64), read("sizes", np.int32), read("colds", np.int32)
+        if home >= ranges:
+            token, place = signed(read("tokens", U64)), places
+        else:
+            six = np.zeros((len(row), 8), dtype=np.uint8)
+            six[:, :6] = read("tokens", np.uint8).reshape(-1, 6)
+            token = signed(mix(six.view("<u8").ravel() + U64(home) * _STEP))
+            place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) + places[row]
+        by = np.lexsort((classes[row], token))
+        row, token, place = row[by], token[by], place[by]
+        new = np.append(True, (np.diff(token) != 0) | (np.diff(classes[row]) != 0))
+        row, token, place = row[new], token[new], place[new]
+        if home >= ranges:
+            return made(len(row), a=classes[row], n=sizes[row], p=colds[row], overlap=np.zeros(len(row)), token=token, place=place)
+        start = np.flatnonzero(np.append(True, np.diff(token) != 0))
+        size = np.diff(np.append(start, len(token)))
+        size = np.repeat(size, size)
+        full = np.flatnonzero(size > few)
+        rest = made(len(full), a=classes[row[full]], n=sizes[row[full]], p=colds[row[full]], overlap=np.ones(len(full)), token=token[full], place=place[full])
+        keep = (size > 1) & (size <= few)
+        row, token = row[keep], token[keep]
+        left, right = [], []
+        for step in range(1, few):
+            at = np.flatnonzero(token[step:] == token[:-step])
+            x, y = row[at], row[at + step]
+            fits = 100 * np.minimum(sizes[x], sizes[y]).astype(np.int64) >= near * np.maximum(sizes[x], sizes[y]).astype(np.int64)
+            left.append(x[fits])
+            right.append(y[fits])
+        x, y = np.concatenate(left), np.concatenate(right)
+        by = np.lexsort((classes[y], classes[x]))
+        x, y = x[by], y[by]
+        head = np.flatnonzero(np.append(True, (np.diff(classes[x]) != 0) | (np.diff(classes[y]) != 0))) if len(x) else np.zeros(0, np.int64)
+        overlap = np.diff(np.append(head, len(x)))
+        x, y = x[head], y[head]
+        pairs = made(len(x), a=classes[x], b=classes[y], n=sizes[x], m=sizes[y], p=colds[x], q=colds[y], overlap=overlap)
+        return pa.concat_tables([pairs, rest])
 
     return run
 
 
-def class_of(key: str):
-    """The first 8 bytes of a set's key as a signed number."""
-    part = [F.conv(F.substring(F.hex(key), a, 8), 16, 10).cast("long") for a in (1, 9)]
-    return F.shiftleft(part[0], 32).bitwiseOR(part[1])
+def fuller_columns(met: DataFrame) -> DataFrame:
+    """How many of a class's columns its blocks left to the rounds: (a, left)."""
+    return met.where("overlap = 1 AND token IS NOT NULL").groupBy("a").agg(F.count("*").alias("left"))
+
+
+def within_bounds(met: DataFrame, near: int) -> DataFrame:
+    """Pairs (a, b, n, m) whose summed overlap leaves a link possible.
+
+    A shared n-gram that no block counted lies behind the cold prefix of the set whose prefix ends
+    first, or in a column of more than FEW classes of which both sets hold one."""
+    fuller = fuller_columns(met)
+    pairs = met.where("token IS NULL").groupBy("a", "b").agg(F.sum("overlap").alias("overlap"), *(F.max(c).alias(c) for c in "nmpq"))
+    for side, named in (("a", "x"), ("b", "y")):
+        own = fuller.select(F.col("a").alias(side), F.col("left").alias(named))
+        pairs = pairs.join(own, side, "left").fillna(0, [named])
+    behind = most_behind("n", "p", whole_cold("n", "p", near), "m", "q", whole_cold("m", "q", near))
+    most = f"least(overlap + least(x, y) + {behind}, n, m)"
+    return pairs.where(f"{100 + near} * {most} >= {near} * (n + m)").select("a", "b", F.col("n").cast("long").alias("n"), F.col("m").cast("long").alias("m"))
+
+
+def whole_cold(n: str, k: str, near: int) -> str:
+    """SQL: the cold prefix, of k n-grams, holds all cold n-grams of a set of n, as hot ones follow it."""
+    return f"({k} < {n} - ceil({near} * {n} / 100) + 1)"
+
+
+def most_behind(n: str, k: str, a: str, m: str, l: str, b: str) -> str:
+    """SQL: the most that two sets of n and m can share beyond what step 2 counted. k, l: counted
+    n-grams, a, b: whether these are all cold ones of their set. What is shared and not counted lies
+    behind the prefix that ends first; and behind each whose partner's cold n-grams are all in its own."""
+    return f"least(if({b}, {n} - {k}, {n}), if({a}, {m} - {l}, {m}), greatest({n} - {k}, {m} - {l}))"
 
 
-def may_link(n: str, i: str, m: str, j: str, near: int) -> str:
-    """SQL: sizes, and places of the first shared n-gram, that leave a link possible."""
-    return f"100 * least({n}, {m}) >= {near} * greatest({n}, {m}) AND {100 + near} * least({n} - {i}, {m} - {j}) >= {near} * ({n} + {m})"
+def may_link(n: str, i: str, k: str, a: str, m: str, j: str, l: str, b: str, near: int) -> str:
+    """SQL: sizes, places of the first shared n-gram, and what can be shared by a pair of which step 2
+    counted nothing (else it is decided there), that leave a link possible."""
+    return (
+        f"{100 + near} * {most_behind(n, k, a, m, l, b)} >= {near} * ({n} + {m}) AND 100 * least({n}, {m}) >= {near} * greatest({n}, {m})"
+        f" AND {100 + near} * least({n} - {i}, {m} - {j}) >= {near} * ({n} + {m})"
+    )
 
 
 def against(rows: DataFrame, near: int) -> DataFrame:
     """Pairs (a < b) of each row's document with its pivot p, as far as a link is possible."""
-    rows = rows.where("doc != p.doc").where(may_link("n", "place", "p.n", "p.place", near))
+    rows = rows.where("doc != p.doc").where(may_link("n", "place", "counted", "complete", "p.n", "p.place", "p.counted", "p.complete", near))
     first = F.col("doc") < F.col("p.doc")
     rows = rows.select(
         F.least("doc", "p.doc").alias("a"), F.greatest("doc", "p.doc").alias("b"),
@@ -221,9 +324,7 @@ def unsettled(posted: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def without(pairs: DataFrame, done: list[DataFrame]) -> DataFrame:
-    for other in done:
-        pairs = pairs.join(other.select("a", "b"), ["a", "b"], "left_anti")
-    return pairs
+    return pairs.join(union([x.select("a", "b") for x in done]), ["a", "b"], "left_anti")
 
 
 def union(frames: list[DataFrame]) -> DataFrame:
@@ -235,7 +336,7 @@ def merged(rows: DataFrame) -> DataFrame:
     of each document: the same pairs meet once, and no bound on their overlap gets tighter."""
     same = rows.groupBy("token").agg(F.count("*").alias("size"), F.sum(F.xxhash64("doc").cast("decimal(20)")).alias("sum"), F.sum(F.xxhash64(F.lit(1), "doc").cast("decimal(20)")).alias("more"))
     same = same.withColumn("group", F.xxhash64("size", "sum", "more")).select("token", "group")
-    return rows.join(same, "token").groupBy(F.col("group").alias("token"), "doc").agg(F.min("place").alias("place"), F.max("n").alias("n"), F.max("label").alias("label"))
+    return rows.join(same, "token").groupBy(F.col("group").alias("token"), "doc").agg(F.min("place").alias("place"), F.max("n").alias("n"), F.max("counted").alias("counted"), F.max("complete").alias("complete"), F.max("label").alias("label"))
 
 
 def width(n: int) -> int:
@@ -281,112 +382,164 @@ def possible(pairs: DataFrame, marks: DataFrame, near: int) -> DataFrame:
 
 
 def products(words: int, near: int):
-    """One part: overlap of each row with its block's partner; the pairs that link."""
+    """One part: sets of its texts (doc, body) and pairs asked (a, b); the pairs that link. Rows of a
+    block of partners, restricted to the columns of their common partner, give the overlap counts."""
 
     def run(part: pa.Table) -> pa.Table:
-        a, b, raw = part.column("a").to_numpy(), part.column("doc").to_numpy(), part.column("body")
+        asked = pc.is_null(part.column("doc"))
+        texts, pairs = part.filter(pc.invert(asked)), part.filter(asked)
+        sets = {d: shingles(raw.as_py().encode(), words) for d, raw in zip(texts.column("doc").to_pylist(), texts.column("body"), strict=True)}
+        a, b = pairs.column("a").to_numpy(), pairs.column("b").to_numpy()
         by = np.lexsort((b, a))
-        start = np.flatnonzero(np.append(True, np.diff(a[by]) != 0))
-        out: list[tuple[int, int]] = []
-        for rows in np.split(by, start[1:]):
-            partner = int(a[rows[0]])
-            columns = shingles(raw[int(rows[b[rows] == partner][0])].as_py().encode(), words)
-            others = [int(r) for r in rows if b[r] != partner]
-            for at in range(0, len(others), BLOCK):
-                sets = [shingles(raw[r].as_py().encode(), words) for r in others[at : at + BLOCK]]
-                n = np.array([len(s) for s in sets])
-                token = np.concatenate(sets)
-                row = np.repeat(np.arange(len(sets)), n)
+        start = np.flatnonzero(np.append(True, np.diff(a[by]) != 0)) if len(by) else np.zeros(0, np.int64)
+        keep = np.zeros(len(by), dtype=bool)
+        for rows in np.split(by, start[1:]) if len(by) else []:
+            columns = sets[int(a[rows[0]])]
+            for at in range(0, len(rows), BLOCK):
+                block = rows[at : at + BLOCK]
+                others = [sets[x] for x in b[block].tolist()]
+                n = np.array([len(x) for x in others])
+                token, row = np.concatenate(others), np.repeat(np.arange(len(others)), n)
                 place = np.minimum(np.searchsorted(columns, token), len(columns) - 1)
-                overlap = np.bincount(row[columns[place] == token], minlength=len(sets))
-                linked = 100 * overlap >= near * (n + len(columns) - overlap)
-                out += [(partner, int(b[others[at + k]])) for k in np.flatnonzero(linked)]
-        x, y = zip(*out, strict=True) if out else ((), ())
-        return pa.table([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
+                overlap = np.bincount(row[columns[place] == token], minlength=len(others))
+                keep[block] = 100 * overlap >= near * (n + len(columns) - overlap)
+        return pa.table([pa.array(a[keep], pa.int64()), pa.array(b[keep], pa.int64())], names=["a", "b"])
 
     return run
 
 
-def verified(pairs: DataFrame, texts: DataFrame, words: int, near: int) -> DataFrame:
-    """The pairs (a, b) that link. pairs: a table of its own, with sizes n and m; texts: doc, body."""
-    total = pairs.agg(F.sum(F.col("n") + F.col("m"))).first()[0] or 0
-    homes = max(24, int(total) // BLOCK_SIZE)
-    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("salts"))
-    blocked = pairs.join(salts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"))
-    home = F.pmod(F.xxhash64("a", "salt"), F.lit(homes)).cast("int").alias("home")
-    asked = blocked.select(home, "a", F.col("b").alias("doc")).unionByName(blocked.select(home, "a", F.col("a").alias("doc")).distinct())
-    rows = asked.join(texts, "doc").select("home", "a", "doc", "body")
-    return rows.groupBy("home").applyInArrow(freed_group(products(words, near)), "a long, b long").distinct()
+def dealt(pairs: DataFrame) -> DataFrame:
+    """The pairs with the part that verifies them: (home, a, b). pairs: a table of its own, with sizes n and m.
 
+    Pairs of classes that have their least partner in common go to one part, which gets each text
+    once; the pairs of a great group are dealt over several."""
+    homes = max(64, int(pairs.agg(F.sum(F.col("n") + F.col("m"))).first()[0] or 0) // BLOCK_SIZE)
+    ends = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    grouped = pairs.join(ends.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("group")), "a")
+    salts = grouped.groupBy("group").agg(F.ceil(F.sum(F.col("n") + F.col("m")) / BLOCK_SIZE).alias("salts"))
+    part = F.xxhash64("group", F.pmod(F.xxhash64("a", "b"), F.col("salts")))
+    return cut(grouped.join(salts, "group").select(F.pmod(part, F.lit(homes)).cast("int").alias("home"), "a", "b"), "dealt", tidy=False)
 
-def link_classes(docs: DataFrame, words: int = WORDS, near: int = NEAR, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per document: key, n_shingles, component_id."""
+
+def members(parts: DataFrame) -> DataFrame:
+    """The classes whose texts a part needs: (home, doc)."""
+    return parts.select("home", F.explode(F.array("a", "b")).alias("doc")).distinct()
+
+
+def verified(parts: DataFrame, texts: DataFrame, words: int, near: int) -> DataFrame:
+    """The pairs (a, b) of dealt() that link. texts: home, doc, body of all members."""
+    none = [F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b")]
+    asked = parts.select("home", "a", "b", F.lit(None).cast("long").alias("doc"), F.lit(None).cast("string").alias("body"))
+    rows = texts.select("home", *none, "doc", "body").unionByName(asked)
+    return cut(rows.groupBy("home").applyInArrow(freed_group(products(words, near)), "a long, b long"), "links", tidy=False)
+
+
+def across(rest: DataFrame, near: int) -> DataFrame:
+    """Pairs (a < b) of different components that share a token, as far as a link is possible. Rows
+    meet by token and size class, so sets of unlike sizes do not meet at all."""
+    step = math.log(100 / near)
+    rest = rest.withColumn("level", F.floor(F.log(F.col("n").cast("double")) / step).cast("int"))
+    small = rest.select("token", *(F.col(c).alias(d) for c, d in (("doc", "x"), ("n", "xn"), ("place", "i"), ("counted", "xk"), ("complete", "xc"), ("label", "xl"))), F.explode(F.expr("array(level, level + 1)")).alias("level"))
+    large = rest.select("token", "level", *(F.col(c).alias(d) for c, d in (("doc", "y"), ("n", "yn"), ("place", "j"), ("counted", "yk"), ("complete", "yc"), ("label", "yl"))))
+    rows = small.join(large, ["token", "level"]).where("xl != yl AND (xn < yn OR xn = yn AND x < y)").where(may_link("xn", "i", "xk", "xc", "yn", "j", "yk", "yc", near))
+    first = F.col("x") < F.col("y")
+    rows = rows.select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
+        F.when(first, F.col("xn")).otherwise(F.col("yn")).alias("m"), F.when(first, F.col("yn")).otherwise(F.col("xn")).alias("n"),
+    )
+    return rows.groupBy("a", "b").agg(F.max("m").alias("m"), F.max("n").alias("n"))
+
+
+def linked(docs: DataFrame, words: int, near: int, text: str, key: str) -> DataFrame:
+    """One row per document: doc, tid (a hash of the text), n, and `first`, the struct (nameless,
+    doc, tid) of its component's document of least key. Reads a table that stays."""
     size = input_bytes(docs, text)
-    ranges = min(1 << 14, max(16, size // RANGE_BYTES))
-    own = docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    read = cut(own.mapInArrow(freed(read_sets(words)), "doc long, n long, key binary, token long, times long"), "sets")
+    ranges = max(RANGES, min(MANY, size // RANGE_BYTES), size // FAR_BYTES)
+    body = F.coalesce(F.col(text), F.lit(""))
+    own = docs.select(F.col(key).alias("doc"), F.xxhash64(body).alias("tid"), body.alias("body"))
+    read = cut(own.mapInArrow(freed(read_sets(words)), "doc long, tid long, n long, class long, token long, times long"), "sets")
     often = read.where("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times"))
     often = often.orderBy(F.desc("times"), "token").limit(ORDERED).toArrow()
     hot, count = often.column("token").to_numpy().view(U64), often.column("times").to_numpy()
     by = np.argsort(hot)
     hot, count = hot[by], count[by]
-    sets = read.where("key IS NOT NULL").select("doc", "n", "key")
-    classes = cut(sets.where("n > 0").groupBy("key").agg(F.min("doc").alias("least")), "classes")
-
-    packed = own.select("body").mapInArrow(freed(postings(words, near, ranges, hot, count)), "range int, classes binary, sizes binary, counts binary, tokens binary, places binary")
-    posted = packed.groupBy("range").applyInArrow(freed_group(shared(ranges)), "token long, class long, n long, place long")
-    posted = cut(posted.join(classes.select(class_of("key").alias("class"), "least"), "class").select("token", F.col("least").alias("doc"), "n", "place"), "posted")
-    texts = cut(own.join(posted.select("doc").distinct(), "doc").dropDuplicates(["doc"]), "texts")
-    marks = cut(texts.mapInArrow(freed(signatures(words)), "doc long, bits binary"), "marks")
+    sets = read.where("class IS NOT NULL").select("doc", "tid", "n", "class")
+    nameless = F.struct(F.col("doc").isNull().alias("nameless"), "doc", "tid")
+    classes = cut(sets.where("n > 0").groupBy("class").agg(F.min(nameless).alias("first")), "classes")
+
+    packed = own.select("body").mapInArrow(freed(postings(words, near, ranges, hot, count)), PACKED)
+    met = cut(packed.groupBy("range").applyInArrow(freed_group(multiplied(ranges, near, FEW)), MET), "met")
+    del packed
+    few = cut(within_bounds(met, near), "few", tidy=False)
+    posted = met.where("token IS NOT NULL").join(fuller_columns(met), "a", "left").select("token", F.col("a").alias("doc"), *(F.col(c).cast("long").alias(c) for c in ("n", "place")), F.expr("p - coalesce(left, 0L)").alias("counted"), F.expr(whole_cold("n", "p", near)).alias("complete"))
+    met_by = posted.groupBy("token").count().where("count > 1").select("token")
+    posted = cut(posted.join(met_by, "token", "left_semi"), "posted", tidy=False)
+    parts = dealt(few)
+    # one shuffle of the texts, whatever the number of those wanted; home -1 keeps texts for the rounds
+    wanted = members(parts).unionByName(posted.select(F.lit(-1).alias("home"), "doc").distinct()).join(classes, F.col("doc") == F.col("class"))
+    wanted = wanted.select("home", "class", F.xxhash64("first.doc", "first.tid").alias("row"))
+    texts = own.select(F.xxhash64("doc", "tid").alias("row"), "body").join(wanted.hint("merge"), "row").dropDuplicates(["row", "home"])
+    texts = cut(texts.select("home", F.col("class").alias("doc"), "body"), "texts")
+    links, done = [verified(parts, texts.where("home >= 0"), words, near)], [few]
+    kept = texts.where("home < 0").select("doc", "body")
+    marks = cut(kept.mapInArrow(freed(signatures(words)), "doc long, bits binary"), "marks")
+    release(met, parts)
 
     def compared(pairs: DataFrame) -> DataFrame:
-        pairs = cut(possible(pairs, marks, near), "pairs")
-        found = cut(verified(pairs, texts, words, near), "links")
-        release(pairs)
-        return found
-
-    pivot = posted.groupBy("token").agg(F.min(F.struct("doc", "n", "place")).alias("p"))
-    tried = cut(against(posted.join(pivot, "token"), near), "tried")
-    links = [compared(tried)]
-    label = components(links[0])
-
-    mixed, done = posted, [tried]
-    for _ in range(2):
-        mixed = cut(unsettled(mixed.drop("label"), label), "mixed")
-        members = mixed.groupBy("token", "label").agg(F.count("*").alias("size"), F.min(F.struct("doc", "n", "place")).alias("p"), F.max(F.struct("doc", "n", "place")).alias("q"))
-        main = members.groupBy("token").agg(F.max_by(F.struct("label", "p", "q"), F.struct("size", "label")).alias("main"))
-        more = against(mixed.join(main, "token").where("label != main.label").withColumn("p", F.explode(F.array("main.p", "main.q"))), near)
-        done.append(cut(without(more, done), "tried"))
-        links.append(compared(done[-1]))
-        release(label)
-        label = components(union(links))
-
+        """Links among the pairs join `links`; returns the labels with them."""
+        left = cut(without(pairs, done), "tried", tidy=False)
+        done.append(left)
+        pairs = cut(possible(left, marks, near), "pairs", tidy=False)
+        parts = dealt(pairs)
+        links.append(verified(parts, members(parts).join(kept, "doc"), words, near))
+        release(pairs, parts)
+        return components(union(links))
+
+    label, mixed = components(links[0]), posted
+    for turn in range(ROUNDS):
+        before, mixed = mixed, cut(unsettled(mixed.drop("label"), label), "mixed")
+        release(before, label)
+        # a member of few n-grams of its own is near most others; the second is another one each time
+        draw, own = F.xxhash64("doc", F.lit(turn)).alias("draw"), ("doc", "n", "place", "counted", "complete")
+        central, other = F.struct("counted", draw, *own[:3], own[4]), F.struct(draw, *own)
+        groups = mixed.groupBy("token", "label").agg(F.count("*").alias("size"), F.min(central).alias("p"), F.min(other).alias("q"))
+        groups = groups.select("token", "label", "size", *(F.struct(*(F.col(f"{x}.{c}").alias(c) for c in own)).alias(x) for x in "pq"))
+        main = groups.groupBy("token").agg(F.max_by(F.struct("label", "p", "q"), F.struct("size", "label")).alias("main"))
+        label = compared(against(mixed.join(main, "token").where("label != main.label").withColumn("p", F.explode(F.array("main.p", "main.q"))), near))
     rest = cut(merged(unsettled(mixed.drop("label"), label)), "rest")
-    left = rest.select("token", *(F.col(c).alias(d) for c, d in (("doc", "a"), ("n", "m"), ("place", "i"), ("label", "x"))))
-    right = rest.select("token", *(F.col(c).alias(d) for c, d in (("doc", "b"), ("n", "n"), ("place", "j"), ("label", "y"))))
-    cross = left.join(right, "token").where("a < b AND x != y").where(may_link("m", "i", "n", "j", near))
-    cross = cross.groupBy("a", "b").agg(F.max("m").alias("m"), F.max("n").alias("n"))
-    links.append(compared(without(cross, done)))
-    release(label)
-    label = components(union(links))
+    release(label, mixed)
+    label = compared(across(rest, near))
+    release(rest, texts, marks)
 
-    named = classes.join(label, F.col("least") == F.col("node"), "left").select("key", F.coalesce("label", "least").alias("component_id"))
-    named = cut(named, "named")
-    release(texts, marks, posted, mixed, rest, *done, *links, label, classes)
-    out = sets.withColumn("key", F.when(F.col("n") > 0, F.col("key"))).join(named, "key", "left")
-    return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"))
+    in_group = classes.join(label, F.col("class") == F.col("node"))
+    least = in_group.groupBy("label").agg(F.min("first").alias("least"))
+    named = in_group.join(least, "label").select("class", "least")
+    named = classes.join(named, "class", "left").select("class", F.coalesce("least", "first").alias("first"))
+    out = sets.withColumn("class", F.when(F.col("n") > 0, F.col("class"))).join(named, "class", "left")
+    out = cut(out.select("doc", "tid", "n", F.coalesce("first", nameless).alias("first")), "groups")
+    release(read, classes, label, *done, *links)
+    return out
+
+
+def link_classes(docs: DataFrame, words: int = WORDS, near: int = NEAR, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row per document: key, n_shingles, component_id."""
+    found = linked(docs, words, near, text, key)
+    return found.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.col("first.doc").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, near: int = NEAR, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The documents without those that link to one of smaller key, with all their columns. Of
-    repeated rows of one key, one stays; rows without a key all stay."""
-    found = cut(link_classes(docs, words, near, text, key), "groups")
-    away = found.where(F.col("component_id") < F.col(key)).select(key).distinct()
-    kept = docs.join(away, key, "left_anti")
-    again = found.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key)
+    """Of each component the document of least key (of equal keys, of least hash of the text), with
+    all its columns. Of rows equal in key and text one stays; rows without a key all stay."""
+    names = docs.columns
+    found = linked(docs, words, near, text, key).where("doc IS NOT NULL")
+    away = found.where("NOT (doc <=> first.doc AND tid = first.tid)").select("doc", "tid").distinct()
+    again = found.groupBy("doc", "tid").count().where("count > 1").select("doc", "tid")
+    rows = docs.select(F.struct(*names).alias("row_"), F.col(key).alias("doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tid"))
+    # by shuffle whatever the size of the other side, so that the plan is the same at every size
+    rows = rows.join(away.hint("merge"), ["doc", "tid"], "left_anti")
     if again.limit(1).count():
-        kept = kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates([key]))
-    return kept.select(*docs.columns)
+        rows = rows.join(again, ["doc", "tid"], "left_anti").unionByName(rows.join(again, ["doc", "tid"], "left_semi").dropDuplicates(["doc", "tid"]))
+    return rows.select(*(F.col("row_")[c].alias(c) for c in names))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
