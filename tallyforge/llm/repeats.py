@@ -18,17 +18,20 @@ WIDTH-byte string around them. Equal strings choose equal anchors. Then:
 
 The anchor's bytes are compared by a 64-bit hash, texts by 96 bits of an MD5; contexts byte by
 byte. Null and empty texts, and those shorter than WIDTH, lose nothing. Repeated rows are one
-document. Rows without a doc_id lose nothing and take nothing away. Other columns are ignored.
+document and each get a row. Rows that share a doc_id but not a text are judged apart, and neither
+takes anything from the other. Rows without a doc_id lose nothing and take nothing away. An empty
+table gives no rows. Other columns are ignored (`without_repeats` keeps them all).
 """
 
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -171,25 +174,29 @@ def shared(part: pa.Table) -> pa.Table:
 
 
 def contexts(ranges: int, homes: int):
-    """Stage 2, map side: a row for each shared anchor of a text."""
+    """Stage 2, map side: a row for each shared anchor of a text and each of its contexts there, with
+    its places: 32-bit positions, after minus the text's ordinal if that is not 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             held = 0
             for i in range(len(batch)):
-                doc, raw = batch.column(0)[i].as_py(), batch.column(1)[i].as_py().encode()
+                doc, raw, ordinal = batch.column(0)[i].as_py(), batch.column(1)[i].as_py().encode(), batch.column(4)[i].as_py()
                 at, h = anchors(raw)
                 home, low = narrowed(h, ranges)
                 key = low | home.astype(U64) << U64(48)
                 cold = np.frombuffer(b"".join(batch.column(2)[i].as_py()), dtype=U64)
                 hot = np.frombuffer(b"".join(batch.column(3)[i].as_py()), dtype=U64)
                 is_hot = np.isin(key, hot)
+                found: dict[tuple, array] = {}
                 for k in np.flatnonzero(is_hot | np.isin(key, cold)).tolist():
                     a = int(at[k])
                     left, right = raw[max(0, a - SIDE) : a], raw[a + SEED : a + WIDTH]
                     own = int(h[k])
-                    rows.append((-1 if is_hot[k] else own % homes, own - (1 << 64) if own >> 63 else own, doc, a, bytes((len(left), len(right))) + left + right))
+                    place = found.setdefault((-1 if is_hot[k] else own % homes, own - (1 << 64) if own >> 63 else own, bytes((len(left), len(right))) + left + right), array("i", [-ordinal] if ordinal else []))
+                    place.append(a)
+                rows += [(home, own, doc, place.tobytes(), context) for (home, own, context), place in found.items()]
                 held += len(raw)
                 if held > 1 << 19:
                     yield packed(rows)
@@ -199,7 +206,7 @@ def contexts(ranges: int, homes: int):
 
     def packed(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True)) or [()] * 5
-        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["home", "h", "doc", "at", "context"])
 
     return run
@@ -338,7 +345,7 @@ def sorted_least(unit, m, left, reach, fits, low, out) -> np.ndarray:
 
 def covered(part: pa.Table) -> pa.Table:
     """Stage 2, a part of the anchors: (doc, at, mask of the strings an earlier document holds)."""
-    h, doc, at = (part.column(c).to_numpy() for c in ("h", "doc", "at"))
+    h, doc = (part.column(c).to_numpy() for c in ("h", "doc"))
     code = part.column("context").combine_chunks().dictionary_encode()
     code = code.combine_chunks() if isinstance(code, pa.ChunkedArray) else code
     number, words = code.indices.to_numpy().astype(np.int64), code.dictionary.to_pylist()
@@ -347,12 +354,12 @@ def covered(part: pa.Table) -> pa.Table:
     first = by[head]
     least = least_documents(h[first], doc[first], [words[i] for i in number[first].tolist()])
     row = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(by))))
-    doc, at = doc[by], at[by]
+    doc = doc[by]
     mask = np.zeros(len(by), dtype=np.int64)
     for back in range(SIDE + 1):
         mask |= (least[row, back] < doc).astype(np.int64) << back
     keep = np.flatnonzero(mask)
-    return pa.table([pa.array(doc[keep], pa.int64()), pa.array(at[keep], pa.int32()), pa.array(mask[keep], pa.int64())], names=["doc", "at", "mask"])
+    return pa.table([pa.array(doc[keep], pa.int64()), part.column("at").take(pa.array(by[keep])), pa.array(mask[keep], pa.int64())], names=["doc", "at", "mask"])
 
 
 def covered_hot(rows: DataFrame) -> DataFrame:
@@ -367,6 +374,18 @@ def covered_hot(rows: DataFrame) -> DataFrame:
     return rows.join(met, ["h", "context"]).select("doc", "at", bits.alias("mask")).where("mask != 0")
 
 
+def places(found, ordinal: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and masks of the text of that ordinal, of the rows (at, mask) of its doc_id."""
+    if found is None:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    packed, mask = found.field(0).to_pylist(), found.field(1).to_numpy()
+    size = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // 4
+    at, row = np.frombuffer(b"".join(packed), dtype=np.int32), np.repeat(np.arange(len(packed)), size)
+    first = at[np.cumsum(size) - size]
+    fits = (np.where(first < 0, -first, 0)[row] == ordinal) & (at >= 0)
+    return at[fits], mask[row[fits]]
+
+
 def spans(size: int, whole: bool, at: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the removed runs of a text."""
     if whole and size >= WIDTH:
@@ -381,19 +400,19 @@ def spans(size: int, whole: bool, at: np.ndarray, mask: np.ndarray) -> tuple[np.
 
 
 def applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stage 4: texts (doc, body, tid, copies, ordinals, found, rest) to their runs and what is left."""
     for batch in batches:
         for a, b in pieces(batch.column(1)):
             rows = []
             part = batch.slice(a, b - a)
-            for raw, whole, found in zip(texts_of(part.column(1)), part.column(2).to_pylist(), part.column(3), strict=True):
-                own = found.values
-                at, mask = (own.field(0).to_numpy(), own.field(1).to_numpy()) if own is not None else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-                start, end = spans(len(raw), bool(whole), at, mask)
+            for raw, tid, copies, ordinals, found in zip(texts_of(part.column(1)), *(part.column(k).to_pylist() for k in (2, 3, 4)), part.column(5), strict=True):
+                ordinal = next((x["ordinal"] for x in ordinals or () if x["tid"] == tid), 0)
+                start, end = spans(len(raw), tid in (copies or ()), *places(found.values, ordinal))
                 kept = b"".join(raw[x:y] for x, y in zip([0, *end.tolist()], [*start.tolist(), len(raw)], strict=True))
                 rows.append((len(raw), kept, start.tolist(), end.tolist()))
             columns = list(zip(*rows, strict=True)) or [()] * 4
             kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), *part.columns[4:]], ["key", "n_bytes", "kept", "starts", "ends", *(["rest"] if part.num_columns > 4 else [])])
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), *part.columns[6:]], ["key", "n_bytes", "kept", "starts", "ends", *(["rest"] if part.num_columns > 6 else [])])
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", rest: bool = False) -> DataFrame:
@@ -409,19 +428,25 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", res
     packed = own.select("body").mapInArrow(freed(sketches(ranges)), "range int, ids binary, counts binary, hashes binary")
     found = cut(packed.groupBy("range").applyInArrow(freed_group(shared), "tid binary, cold binary, hot binary"), "shared")
     first = own.groupBy("tid").agg(F.min("doc").alias("first"))
+    # texts of a doc_id beyond its first are told apart by an ordinal; as a rule there are none
+    several = own.where("doc IS NOT NULL").select("doc", "tid").distinct().withColumn("ordinal", F.row_number().over(Window.partitionBy("doc").orderBy("tid")) - 1)
+    several = cut(several.where("ordinal > 0"), "ordinals", tidy=False)
     wanted = found.groupBy("tid").agg(F.collect_list("cold").alias("cold"), F.collect_list("hot").alias("hot")).join(first, "tid")
-    wanted = wanted.select(F.col("first").alias("doc"), "tid", "cold", "hot")
-    sent = own.join(wanted, ["doc", "tid"]).select("doc", "body", "cold", "hot").mapInArrow(freed(contexts(ranges, homes)), "home int, h long, doc long, at int, context binary")
+    wanted = wanted.select(F.col("first").alias("doc"), "tid", "cold", "hot").join(several, ["doc", "tid"], "left").fillna(0, ["ordinal"])
+    sent = own.join(wanted, ["doc", "tid"]).dropDuplicates(["doc", "tid"])
+    sent = sent.select("doc", "body", "cold", "hot", "ordinal").mapInArrow(freed(contexts(ranges, homes)), "home int, h long, doc long, at binary, context binary")
     sent = cut(sent, "contexts")
-    cold = sent.where("home >= 0").groupBy("home").applyInArrow(freed_group(covered), "doc long, at int, mask long")
+    release(found)
+    cold = sent.where("home >= 0").groupBy("home").applyInArrow(freed_group(covered), "doc long, at binary, mask long")
     masks = cut(cold.unionByName(covered_hot(sent.where("home < 0").select("h", "doc", "at", "context"))), "masks")
-    release(found, sent)
+    release(sent)
 
     by_doc = masks.groupBy("doc").agg(F.collect_list(F.struct("at", "mask")).alias("found"))
-    copies = own.select("doc", "tid").join(first, "tid").where("doc > first").select("doc", F.lit(True).alias("whole")).distinct()
-    marks = by_doc.join(copies, "doc", "full")
+    copies = own.select("doc", "tid").join(first, "tid").where("doc > first").groupBy("doc").agg(F.collect_set("tid").alias("copies"))
+    by_ordinal = several.groupBy("doc").agg(F.collect_list(F.struct("tid", "ordinal")).alias("ordinals"))
+    marks = by_doc.join(copies, "doc", "full").join(by_ordinal, "doc", "full")
     also = ["rest"] if rest else []
-    out = own.select("doc", "body", *also).join(marks, "doc", "left").select("doc", "body", "whole", "found", *also)
+    out = own.select("doc", "body", "tid", *also).join(marks, "doc", "left").select("doc", "body", "tid", "copies", "ordinals", "found", *also)
     schema = T.StructType.fromDDL("key long, n_bytes long, kept binary, starts array<long>, ends array<long>")
     for c in also:
         schema = schema.add(out.schema[c])
