@@ -3,15 +3,19 @@
 Sources, by code point and null last, have weights 5, 2, 1 and so on in turn and share the words
 of the whole corpus; a target stops at 3 times its source's words and the excess goes to the
 others by weight. A source whose target is c times its words and some more gives each document c
-certain copies. What is left of the target is drawn: each document has an inclusion probability,
-in proportion to the left words and to its `weight` (1 by default), and a random number; documents
-are ranked by the odds of the random number divided by the odds of inclusion, and the first of
-them are taken until the words are reached as closely as whole documents allow.
+certain copies. What is left of the target is drawn by Pareto order sampling with unequal
+probabilities: a document's inclusion probability is in proportion to its `weight`, by default
+1 + the whole part of the root of its words (so that long documents are favoured, but by less than
+their length), and such that the words expected are the words left; where it reaches one, the
+document is certain. Documents are ranked by the odds of a random number divided by the odds of
+inclusion, and the first of them are taken until the words are reached as closely as whole
+documents allow.
 
 Only DataFrame functions are used. The running sums come from bucket sums and windows within
 buckets, so a source with a third of all rows is not gathered. Draws depend on doc_id, text and
 the seed alone, so reruns agree. Null and empty texts have no words and take none. A source of
 no words has target 0. Repeated rows draw alike and are taken one by one in an arbitrary order.
+An empty table gives no rows. Other columns are ignored (`mixed` keeps them all).
 """
 
 from __future__ import annotations
@@ -48,7 +52,7 @@ def pareto(draw: Column, share: Column) -> Column:
 
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED, text: str = "text", source: str = "source", key: str = "doc_id", weight: str | None = None) -> DataFrame:
     """One row per document: key_, digest_ (MD5 of the text), size_, words_, target_, copies_."""
-    worth = F.col(weight) if weight else F.lit(1.0)
+    worth = F.col(weight) if weight else 1 + F.floor(F.sqrt(n_words(text).cast("double")))
     rows = docs.select(
         F.col(key).alias("key_"), F.col(source).alias("source_"), n_words(text).alias("size_"),
         F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest_"), worth.cast("double").alias("worth_"),
@@ -61,8 +65,9 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
     rows = rows.withColumn("draw_", unit(F.col("key_"), F.col("digest_"), seed=seed))
     rate = F.when(F.col("mass_") > 0, F.col("left_") / F.col("mass_")).otherwise(F.lit(0.0))
     rows = rows.withColumn("odds_", pareto(F.col("draw_"), rate * F.col("worth_")))
-    # the same order in (0, 1), spread evenly where documents weigh alike
-    level = F.least(F.greatest(rate, F.lit(1e-12)), F.lit(1 - 1e-12))
+    # the same order in (0, 1), spread about evenly
+    share = F.when(F.col("words_") > 0, F.col("left_") / F.col("words_")).otherwise(F.lit(0.0))
+    level = F.least(F.greatest(share, F.lit(1e-12)), F.lit(1 - 1e-12))
     rows = rows.withColumn("near_", F.col("odds_") * (level / (1 - level)))
     rows = rows.withColumn("near_", F.col("near_") / (1 + F.col("near_")))
     rows = before(rows, ["source_"], "near_", [F.col("key_"), F.col("digest_")], F.col("size_"), "before_")
@@ -83,9 +88,11 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", key: str
     equal in key and text take the greatest number of copies that any of them drew."""
     copies = plan(docs, text=text, source=source, key=key, **options).where("copies_ > 0")
     copies = copies.groupBy("key_", "digest_").agg(F.max("copies_").alias("copies_"))
-    same = docs[key].eqNullSafe(copies["key_"]) & (F.md5(F.coalesce(docs[text], F.lit(""))) == copies["digest_"])
-    rows = docs.join(copies, same).withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies_"))))
-    return rows.select(*docs.columns)
+    names = docs.columns
+    rows = docs.select(F.struct(*names).alias("row_"), F.col(key).alias("own_"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("own_digest_"))
+    rows = rows.join(copies, F.col("own_").eqNullSafe(F.col("key_")) & (F.col("own_digest_") == F.col("digest_")))
+    rows = rows.withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies_"))))
+    return rows.select(*(F.col("row_")[c].alias(c) for c in names))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,11 +108,16 @@ l AS (SELECT *, 3 * words AS cap, ((sum(words) OVER ())::BIGINT - coalesce((sum(
   / (sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS lev FROM s WINDOW o AS (ORDER BY 3 * words / w, encode(source) NULLS LAST)),
 t AS (SELECT source, words, CASE WHEN cap <= lev * w THEN cap::DOUBLE ELSE w * max(CASE WHEN cap > lev * w THEN lev END) OVER () END AS target FROM l),
 g AS (SELECT *, CASE WHEN words > 0 THEN floor(target / words)::INT ELSE 0 END AS whole FROM t),
-h AS (SELECT *, target - whole * words AS rest, CASE WHEN words > 0 THEN (target - whole * words) / words ELSE 0.0 END AS rate FROM g),
-q AS (SELECT d.*, h.words, h.target, h.whole, h.rest, rate,
+h AS (SELECT *, target - whole * words AS rest FROM g),
+m AS (SELECT source, sum(size * (1 + floor(sqrt(size::DOUBLE))::BIGINT))::BIGINT AS mass FROM d GROUP BY source),
+q AS (SELECT d.*, h.words, h.target, h.whole, h.rest,
+  CASE WHEN mass > 0 THEN rest / mass ELSE 0.0::DOUBLE END * (1 + floor(sqrt(size::DOUBLE))) AS share,
+  least(greatest(CASE WHEN words > 0 THEN rest / words ELSE 0.0::DOUBLE END, 1e-12::DOUBLE), 1::DOUBLE - 1e-12::DOUBLE) AS lv,
   (('0x' || substr(md5('mixture|' || coalesce(doc_id::VARCHAR, '-') || '|' || digest), 1, 13))::BIGINT::DOUBLE + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS draw
-  FROM d JOIN h ON d.source IS NOT DISTINCT FROM h.source),
-b AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY draw, doc_id, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM q)
+  FROM d JOIN h ON d.source IS NOT DISTINCT FROM h.source JOIN m ON d.source IS NOT DISTINCT FROM m.source),
+p AS (SELECT *, least(greatest(share, 1e-12::DOUBLE), 1::DOUBLE - 1e-12::DOUBLE) AS pi FROM q),
+o AS (SELECT *, draw / (1 - draw) / (pi / (1 - pi)) * (lv / (1 - lv)) AS odds FROM p),
+b AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY odds / (1 + odds), doc_id, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM o)
 SELECT doc_id, size, words AS source_size, target,
   (size * (whole + CASE WHEN size > 0 AND before + size / 2 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM b
 """
