@@ -5,12 +5,14 @@ the metaspace marker in place of spaces (and before the text, where the model ad
 scores or merges ordered by score, and byte fallback. Batches are encoded by the library's own
 threads. No piece has a marker after another character, so no piece crosses from a character to a
 marker; texts are cut there first, which changes no result and lets equal words share their work.
-(A model with such a piece, or without a space marker, is encoded uncut.) Models whose normaliser
-rewrites characters or squeezes spaces are refused; those of this family store text as it is.
+(A model with such a piece, or without a space marker, is encoded uncut.) The normaliser is rebuilt
+too: its character map, and the squeezing of spaces; such models do not give the text back as it
+was, so `round_trip` tells which texts they do. Models with user-defined pieces are refused.
 
 Parity: each segment a worker has not met is encoded by the sentencepiece library too, lone markers
-included. The ids are the tokenizer's; where the two differ, `parity` is false. Texts are whole; null and
-empty ones have no pieces. Repeated rows each get a row, an empty table gives an empty result.
+included (with a normaliser that rewrites, each whole text). The ids are the tokenizer's; where the
+two differ, `parity` is false. Texts are whole; null and empty ones have no pieces. Repeated rows
+each get a row, an empty table gives an empty result, other columns are ignored.
 """
 
 from __future__ import annotations
@@ -113,13 +115,14 @@ class Codec:
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         import sentencepiece
-        from tokenizers import Tokenizer, decoders, models
+        from tokenizers import Tokenizer, decoders, models, normalizers
 
         with open(path, "rb") as f:
             self.raw = f.read()
         self.model = m = Model.parse(self.raw)
-        if m.charsmap or m.squeeze or not m.escape or USER in m.kinds:
-            raise ValueError("models that rewrite text or have user-defined pieces are not supported")
+        if not m.escape or USER in m.kinds:
+            raise ValueError("models without space markers or with user-defined pieces are not supported")
+        self.rules = normalizers.Precompiled(m.charsmap) if m.charsmap else None
         unknown = m.kinds.index(UNKNOWN)
         if m.kind == UNIGRAM:
             core = models.Unigram(list(zip(m.words, m.scores, strict=True)), unk_id=unknown, byte_fallback=m.byte_fallback)
@@ -131,34 +134,40 @@ class Codec:
         self.tokenizer.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
         self.bytes = [bytes([int(w[1:-1], 16)]) if k == BYTE else b"" if k == CONTROL else w.replace(MARK, " ").encode() for w, k in zip(m.words, m.kinds, strict=True)]
         # a field that comes last counts: the normaliser's (3) prefix (3) is off, as segments have their markers
-        self.library = sentencepiece.SentencePieceProcessor(model_proto=self.raw + b"\x1a\x02\x18\x00", add_bos=False, add_eos=False)
+        self.rewrites = bool(m.charsmap or m.squeeze)
+        self.library = sentencepiece.SentencePieceProcessor(model_proto=self.raw + (b"" if self.rewrites else b"\x1a\x02\x18\x00"), add_bos=False, add_eos=False)
         crosses = any(re.search(f"[^{MARK}]{MARK}", w) for w in m.words)
         self.segment = re.compile("(?s:.+)" if crosses else f"{MARK}+[^{MARK}]*|[^{MARK}]+")
         self.seen: dict[str, bytes] = {}
         self.odd: set[str] = set()
 
     def normal(self, text: str) -> str:
+        text = self.rules.normalize_str(text) if self.rules else text
+        text = re.sub(" {2,}", " ", text).strip(" ") if self.model.squeeze else text
         text = text.replace(" ", MARK)
         return MARK + text if text and self.model.prefix else text
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
         """Ids of each text, and whether both libraries agree on all its segments."""
         cuts = [self.segment.findall(self.normal(t)) for t in texts]
-        new = {s for c in cuts for s in c} - self.seen.keys()
-        seen, odd = self.seen, set()
+        used = {s for c in cuts for s in c}
+        new = used - self.seen.keys()
         if new:
             made, odd = self.learn(list(new))
-            seen = self.seen | made if len(self.seen) + len(made) > REMEMBERED else self.seen
-            if seen is self.seen:
-                self.seen.update(made)
-                self.odd |= odd
-        odd = odd | self.odd
-        return [(np.frombuffer(b"".join(map(seen.__getitem__, c)), dtype=np.int32), not odd or odd.isdisjoint(c)) for c in cuts]
+            if len(self.seen) + len(made) > REMEMBERED:  # forget what these texts do not use
+                self.seen = {s: self.seen[s] for s in used - new}
+                self.odd &= used
+            self.seen.update(made)
+            self.odd |= odd
+        ids = [np.frombuffer(b"".join(map(self.seen.__getitem__, c)), dtype=np.int32) for c in cuts]
+        if self.rewrites:
+            return [(a, a.tolist() == b) for a, b in zip(ids, self.reference(texts), strict=True)]
+        return [(a, not self.odd or self.odd.isdisjoint(c)) for a, c in zip(ids, cuts, strict=True)]
 
     def learn(self, segments: list[str]) -> tuple[dict[str, bytes], set[str]]:
         """Ids of each segment as bytes of int32, and the segments on which the libraries differ."""
         ours = [x.ids for x in self.tokenizer.encode_batch_fast(segments, add_special_tokens=False)]
-        theirs = self.reference(segments)
+        theirs = ours if self.rewrites else self.reference(segments)
         odd = {s for s, a, b in zip(segments, ours, theirs, strict=True) if a != b}
         return {s: array("i", a).tobytes() for s, a in zip(segments, ours, strict=True)}, odd
 

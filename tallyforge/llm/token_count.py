@@ -93,15 +93,14 @@ class Counter:
 
     def count(self, texts: list[str]) -> list[int]:
         found = [self.split(t) for t in texts]
-        new = {w for words, _ in found for w in words} - self.seen.keys()
-        seen = self.seen
+        used = {w for words, _ in found for w in words}
+        new = used - self.seen.keys()
         if new:
             made = self.learn(list(new))
-            if len(seen) + len(made) > REMEMBERED:
-                seen = seen | made
-            else:
-                seen.update(made)
-        return [sum(map(seen.__getitem__, words)) + extra for words, extra in found]
+            if len(self.seen) + len(made) > REMEMBERED:  # forget what these texts do not use
+                self.seen = {w: self.seen[w] for w in used - new}
+            self.seen.update(made)
+        return [sum(map(self.seen.__getitem__, words)) + extra for words, extra in found]
 
     def split(self, text: str) -> tuple[list[str], int]:
         """Segments and the number of special tokens. A space between two characters that are
