@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def as_of(left: DataFrame, right: DataFrame, on: list[str], at: str, value: str, to: str, buckets: str = "year") -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, on: list[str], at: str, value: str, to: str) -> DataFrame:
     """Adds `to`: the value of the last row of right at or before left's `at`, within `on`.
 
     Both sides are laid in one order and the last value is carried on, so each row moves once.

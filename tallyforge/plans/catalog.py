@@ -373,17 +373,18 @@ def bootstrap_percentiles(spark, d):
     return rounded(modelling.percentiles(rows, ["o_orderpriority"], "o_totalprice"), 4)
 
 
-def _periods(spark: SparkSession) -> DataFrame:
-    ends = spark.range(1).select(F.explode(F.expr("sequence(date'1995-03-31', date'1998-12-31', interval 3 month)")).alias("day"))
-    ends = ends.select(F.last_day("day").alias("end"))
+def _periods(dates: DataFrame) -> DataFrame:
+    """Quarters, by their ends, from the first date's to the last one's."""
+    ends = dates.agg(*(F.last_day(F.add_months(F.trunc(f("date"), "quarter"), 2)).alias(c) for c, f in (("low", F.min), ("high", F.max))))
+    ends = ends.select(F.explode(F.expr("sequence(low, high, interval 3 month)")).alias("day")).select(F.last_day("day").alias("end"))
     return ends.select(F.add_months("end", -3).alias("start"), "end")
 
 
 @query
 def asof_price_return(spark, d):
     t = Tables(spark, d)
-    prices = t.read("orders").select((F.col("o_custkey") % 5).alias("symbol"), F.col("o_orderdate").cast("date").alias("date"), F.col("o_totalprice").alias("close")).where("day(date) <= 20")
-    periods = _periods(spark).join(spark.range(5).select(F.col("id").alias("symbol")))
+    prices = t.read("orders").select((F.col("o_custkey") % 5).alias("symbol"), F.col("o_orderdate").cast("date").alias("date"), F.col("o_totalprice").alias("close"))
+    periods = _periods(prices).join(F.broadcast(spark.range(5).select(F.col("id").alias("symbol"))))
     return rounded(timeseries.period_return(periods, prices, ["symbol"]))
 
 
@@ -391,7 +392,7 @@ def asof_price_return(spark, d):
 def quarterly_range_avg(spark, d):
     t = Tables(spark, d)
     series = t.read("orders").select((F.col("o_custkey") % 5).alias("symbol"), F.col("o_orderdate").cast("date").alias("date"), F.col("o_totalprice").alias("value"))
-    periods = _periods(spark).join(spark.range(5).select(F.col("id").alias("symbol")))
+    periods = _periods(series).join(F.broadcast(spark.range(5).select(F.col("id").alias("symbol"))))
     return rounded(timeseries.range_average(periods, series, ["symbol"]), 4)
 
 

@@ -302,7 +302,7 @@ def _sources() -> str:
 
 
 _BY = "PARTITION BY ticker ORDER BY period_end"
-_PERIODS = "SELECT symbol, (e - INTERVAL 3 MONTH)::DATE AS start, e AS \"end\" FROM (SELECT last_day(d)::DATE AS e FROM generate_series(DATE '1995-03-31', DATE '1998-12-31', INTERVAL 3 MONTH) g(d)) CROSS JOIN range(5) r(symbol)"
+_PERIODS = "SELECT symbol, (e - INTERVAL 3 MONTH)::DATE AS start, e AS \"end\" FROM (SELECT last_day(q + INTERVAL 2 MONTH)::DATE AS e FROM (SELECT unnest(generate_series(date_trunc('quarter', min(o_orderdate)), date_trunc('quarter', max(o_orderdate)), INTERVAL 3 MONTH)) AS q FROM orders)) CROSS JOIN range(5) r(symbol)"
 _ORDERS = "SELECT o_custkey % 5 AS symbol, o_orderdate::DATE AS date, o_totalprice AS v FROM orders"
 _FMT = "CASE WHEN x IS NULL THEN NULL ELSE CASE WHEN x < 0 THEN '-' ELSE '' END || '$' || CASE WHEN abs(x) >= 1e9 THEN printf('%.1f', abs(x) / 1e9) || 'B' WHEN abs(x) >= 1e6 THEN printf('%.1f', abs(x) / 1e6) || 'M' WHEN abs(x) >= 1e3 THEN printf('%.0f', abs(x) / 1e3) || 'K' ELSE printf('%.0f', abs(x)) END END"
 
@@ -403,7 +403,7 @@ _BODIES["forecast_overlay"] = f"""SELECT ticker, period_end, 'actual' AS series,
 UNION ALL SELECT ticker, period_end, model, round(yhat, 4) FROM (SELECT s.*, dense_rank() OVER (PARTITION BY s.ticker, model ORDER BY s.period_end) AS kk FROM snapped s
   JOIN (SELECT ticker, max(period_end) AS last FROM ({_quarterly('Revenue')}) WHERE Revenue IS NOT NULL GROUP BY ticker) l ON l.ticker = s.ticker WHERE s.period_end > l.last) WHERE kk <= 4"""
 CTES_MORE = {
-    "px": "SELECT o_custkey % 5 AS symbol, o_orderdate::DATE AS date, max(o_totalprice) AS v FROM orders WHERE day(o_orderdate) <= 20 GROUP BY ALL",
+    "px": "SELECT o_custkey % 5 AS symbol, o_orderdate::DATE AS date, max(o_totalprice) AS v FROM orders GROUP BY ALL",
     "choice": "SELECT *, (row_number() OVER (PARTITION BY ticker, line_item ORDER BY n_facts DESC, synonym_rank))::INT AS choice FROM (SELECT ticker, line_item, concept_used, CASE WHEN concept_used LIKE '%Alt' THEN 1 ELSE 0 END AS synonym_rank, count(*) FILTER (WHERE fiscal_period != 'FY') AS n_facts FROM facts GROUP BY ALL) WHERE n_facts > 0",
 }
 _PREFIX = _PREFIX.rstrip() + ",\n" + ",\n".join(f"{k} AS ({v})" for k, v in CTES_MORE.items()) + "\n"

@@ -35,9 +35,10 @@ def append_vintages(before: DataFrame, new: DataFrame, path: str) -> None:
 
 
 def extract(df: DataFrame) -> DataFrame:
-    """The eight columns of a dashboard extract without nulls."""
-    text = ("ticker", "line_item", "period_end", "fiscal_period", "accession_no", "unit")
-    return df.select(*(F.coalesce(c, F.lit("")).alias(c) for c in text), F.coalesce("fiscal_year", F.lit(0)).alias("fiscal_year"), F.coalesce("value", F.lit(0.0)).alias("value"))
+    """The eight typed columns of a dashboard extract: texts and numbers without nulls, a date that may be one."""
+    text = {c: F.coalesce(c, F.lit("")) for c in ("ticker", "line_item", "fiscal_period", "accession_no", "filing_url")}
+    made = text | {"period_end": F.col("period_end").cast("date"), "fiscal_year": F.coalesce(F.col("fiscal_year").cast("int"), F.lit(0)), "value": F.coalesce(F.col("value").cast("double"), F.lit(0.0))}
+    return df.select(*(made[c].alias(c) for c in ("ticker", "line_item", "period_end", "fiscal_year", "fiscal_period", "value", "accession_no", "filing_url")))
 
 
 def markdown(df: DataFrame, order: list[str]) -> DataFrame:

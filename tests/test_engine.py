@@ -204,3 +204,12 @@ def test_sinks_and_lookups(spark, make, tmp_path):
     assert readers.first_submission(subs, "8-K", "2.02").first().submission.accessionNumber == "b"
     models = spark.createDataFrame([("m-4-1",), ("m-4-10",), ("n-9",)], "id string")
     assert guard.best_model(models, "m-").first().id == "m-4-10"
+
+
+def test_extract_has_eight_typed_columns_without_nulls(spark):
+    from tallyforge.sources import sinks
+
+    rows = [("T", "Revenue", "2024-03-31", 2024, "Q1", 1.5, "a-1", "http://x", "USD"), (None, None, None, None, None, None, None, None, None)]
+    out = sinks.extract(spark.createDataFrame(rows, "ticker string, line_item string, period_end string, fiscal_year int, fiscal_period string, value double, accession_no string, filing_url string, unit string"))
+    assert [t for _, t in out.dtypes] == ["string", "string", "date", "int", "string", "double", "string", "string"] and "unit" not in out.columns
+    assert [tuple(map(str, r)) for r in out.orderBy("ticker").collect()] == [("", "", "None", "0", "", "0.0", "", ""), ("T", "Revenue", "2024-03-31", "2024", "Q1", "1.5", "a-1", "http://x")]
