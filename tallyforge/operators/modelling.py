@@ -145,6 +145,11 @@ def regularised(rows: DataFrame, alphas: int = 20, seed: int = 42, resamples: in
     return rows.groupBy("ticker").applyInPandas(run, "ticker string, feature string, coefficient double, low double, high double")
 
 
+def by_weight(coefficients: DataFrame) -> DataFrame:
+    """Coefficients that are not 0, the greatest by absolute value first within a ticker."""
+    return coefficients.where("coefficient != 0").orderBy("ticker", F.abs("coefficient").desc(), "feature")
+
+
 def recursive_forecast(rows: DataFrame, horizon: int = HORIZON, floor: float = 0.5) -> DataFrame:
     """Forecasts that feed on their own predictions, from a ridge of y on its lags 1 and 4; no value
     falls below half of the one before: ticker, step, yhat."""

@@ -34,6 +34,16 @@ def missing_coverage(facts: DataFrame) -> DataFrame:
     return expected.join(rows.select(*quarter, "line_item"), [*quarter, "line_item"], "left_anti").select("ticker", "line_item", "fiscal_year", "fiscal_period", "period_end")
 
 
+def missing_per_item(missing: DataFrame) -> DataFrame:
+    """How many quarters of each item a ticker lacks."""
+    return missing.groupBy("ticker", "line_item").agg(F.count("*").alias("missing_quarters"))
+
+
+def null_accessions(sources: DataFrame) -> DataFrame:
+    """Rows of a ticker's sources, and how many of them name no filing."""
+    return sources.groupBy("ticker").agg(F.count("*").alias("n_sources"), F.count_if(F.col("accession_no").isNull()).alias("n_null_accessions"))
+
+
 def data_quality(facts: DataFrame, restated: DataFrame, missing: DataFrame) -> DataFrame:
     """One row of counts and flags for each ticker."""
 

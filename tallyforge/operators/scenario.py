@@ -189,6 +189,21 @@ def ocf_residual(rows: DataFrame, tolerance: float = RESIDUAL_TOLERANCE) -> Data
     return out.withColumn("warn", F.col("max_residual") > tolerance)
 
 
+def working_capital_deltas(hist: DataFrame, projected: DataFrame) -> DataFrame:
+    """What changes of working capital add to cash, quarter by quarter: history and base projection in
+    one line, the first quarter 0, nulls 0. More receivables or inventory take cash, more payables give it."""
+    items = {"AccountsReceivable": False, "Inventory": False, "AccountsPayable": True}
+
+    def long(df: DataFrame, slot: str, kind: str, turn: int) -> DataFrame:
+        own = F.array(*(F.struct(F.lit(i).alias("item"), F.lit(s).alias("gives_"), F.coalesce(F.col(i).cast("double"), F.lit(0.0)).alias("value")) for i, s in items.items()))
+        return df.select("ticker", F.col(slot).cast("int").alias("slot"), F.lit(kind).alias("kind"), F.lit(turn).alias("turn_"), F.inline(own))
+
+    rows = long(hist, "slot", "historical", 0).unionByName(long(projected.where("scenario = 'Base'"), "step", "forecast", 1))
+    before = F.lag("value").over(Window.partitionBy("ticker", "item").orderBy("turn_", "slot"))
+    delta = F.when(F.col("gives_"), F.col("value") - before).otherwise(before - F.col("value"))
+    return rows.select("ticker", "slot", "kind", "item", F.coalesce(delta, F.lit(0.0)).alias("delta"))
+
+
 def debt_schedule(base: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """Opening, amortisation and closing debt; opening debt is 0."""
     rows = base.select("ticker", "debt_amortization_qoq", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))

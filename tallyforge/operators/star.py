@@ -76,6 +76,13 @@ def unbased_cash_flow(facts: DataFrame) -> DataFrame:
     return _cumulative(facts).where("due_ AND base_ IS NULL").select("ticker", "line_item", "fiscal_year", F.col("q_").alias("quarter"))
 
 
+def duplicate_cash_flow_quarters(facts: DataFrame) -> DataFrame:
+    """Audit: quarters that hold several rows of a cumulative cash flow, so that the base of the
+    next quarter is a choice among them."""
+    rows = facts.withColumn("quarter", _quarter()).where(F.col("line_item").isin(*CUMULATIVE_CASH_FLOW) & (F.col("period_type") == "Q") & F.col("quarter").isNotNull())
+    return rows.groupBy("ticker", "line_item", "fiscal_year", "quarter").agg(F.count("*").alias("n_facts")).where("n_facts > 1")
+
+
 def derived_fcf(facts: DataFrame) -> DataFrame:
     """Free cash flow rows, with the provenance of operating cash flow."""
     capex = facts.where(F.col("line_item") == "CapEx").select("ticker", "period_end", F.col("value").alias("capex_"))

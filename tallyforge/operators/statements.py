@@ -129,6 +129,14 @@ def sources(income: DataFrame, balance: DataFrame, cash: DataFrame) -> DataFrame
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def latest_provenance(income: DataFrame, n: int = 5) -> DataFrame:
+    """The n latest quarters of revenue of each ticker, with their sources."""
+    rows = income.where("period_type = 'Q' AND Revenue IS NOT NULL")
+    window = Window.partitionBy("ticker").orderBy(F.desc("fiscal_year"), F.desc("fiscal_period"), F.desc("period_end"))
+    rows = rows.withColumn("k_", F.row_number().over(window)).where(F.col("k_") <= n)
+    return rows.select("ticker", "period_end", "fiscal_year", "fiscal_period", F.round(F.col("Revenue") / 1e9, 3).alias("revenue_billions"), "revenue_accession", "revenue_filing_url")
+
+
 def latest_quarters(df: DataFrame, n: int = 12, complete: tuple[str, ...] = ()) -> DataFrame:
     """The latest n quarters of each ticker, oldest first in `slot`; complete: columns that must be there."""
     rows = df.where(F.col("period_type") == "Q")

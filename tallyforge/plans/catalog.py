@@ -140,6 +140,17 @@ def missing_coverage(spark, d):
     return quality.missing_coverage(Tables(spark, d).facts)
 
 
+@query
+def missing_per_item(spark, d):
+    return quality.missing_per_item(quality.missing_coverage(Tables(spark, d).facts)).orderBy("ticker", F.desc("missing_quarters"), "line_item")
+
+
+@query
+def duplicate_cash_flow_quarters(spark, d):
+    t = Tables(spark, d)
+    return star.duplicate_cash_flow_quarters(star.relabel(t.canonical, t.companies))
+
+
 @query
 def data_quality(spark, d):
     return Tables(spark, d).quality
@@ -250,6 +261,17 @@ def sources_unpivot(spark, d):
     return statements.sources(t.income, t.balance, t.cash)
 
 
+@query
+def null_accessions(spark, d):
+    t = Tables(spark, d)
+    return quality.null_accessions(statements.sources(t.income, t.balance, t.cash))
+
+
+@query
+def latest_provenance(spark, d):
+    return statements.latest_provenance(Tables(spark, d).income)
+
+
 @query
 def latest_12_quarters(spark, d):
     return statements.latest_quarters(Tables(spark, d).income).select("ticker", "period_end", "fiscal_year", "fiscal_period", "Revenue", "slot")
@@ -330,6 +352,13 @@ def debt_schedule(spark, d):
     return scenario.debt_schedule(scenario.assumptions(Tables(spark, d).history))
 
 
+@query
+def working_capital_deltas(spark, d):
+    t = Tables(spark, d)
+    projected = scenario.project(scenario.scenarios(scenario.assumptions(t.history)))
+    return rounded(scenario.working_capital_deltas(t.history, projected), 4)
+
+
 @query
 def summary_kpis(spark, d):
     t = Tables(spark, d)

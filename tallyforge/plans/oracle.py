@@ -347,6 +347,15 @@ _BODIES = {
   QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY period_end DESC, fiscal_year DESC, fiscal_period DESC) <= 12) p
   LEFT JOIN (SELECT * FROM fin WHERE period_type = 'Q' AND line_item = 'Revenue' QUALIFY row_number() OVER (PARTITION BY ticker, period_end ORDER BY fact_id) = 1) r ON r.ticker = p.ticker AND r.period_end = p.period_end""",
     "sources_unpivot": _sources(),
+    "null_accessions": f"SELECT ticker, count(*) AS n_sources, count(*) FILTER (WHERE accession_no IS NULL) AS n_null_accessions FROM ({_sources()}) GROUP BY ticker",
+    "missing_per_item": "SELECT ticker, line_item, count(*) AS missing_quarters FROM missing GROUP BY ALL",
+    "duplicate_cash_flow_quarters": f"SELECT ticker, line_item, fiscal_year, substr(fiscal_period, 2, 1)::INT AS quarter, count(*) AS n_facts FROM ({_relabel('canonical')}) WHERE line_item IN ({_list(vocab.CUMULATIVE_CASH_FLOW)}) AND period_type = 'Q' GROUP BY ALL HAVING count(*) > 1",
+    "latest_provenance": "SELECT ticker, period_end, fiscal_year, fiscal_period, round(Revenue / 1e9, 3) AS revenue_billions, revenue_accession, revenue_filing_url FROM inc WHERE period_type = 'Q' AND Revenue IS NOT NULL QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY fiscal_year DESC, fiscal_period DESC, period_end DESC) <= 5",
+    "working_capital_deltas": """SELECT ticker, slot, kind, item, round(coalesce(CASE WHEN item = 'AccountsPayable' THEN v - lag(v) OVER w ELSE lag(v) OVER w - v END, 0), 4) AS delta FROM (
+  SELECT ticker, slot, kind, u.item AS item, coalesce(u.v, 0)::DOUBLE AS v FROM (
+    SELECT ticker, slot::INT AS slot, 'historical' AS kind, AccountsReceivable AS ar, Inventory AS inv, AccountsPayable AS ap FROM hist UNION ALL SELECT ticker, step::INT, 'forecast', ar, inv, ap FROM proj WHERE step > 0 AND scenario = 'Base'),
+  unnest([{'item': 'AccountsReceivable', 'v': ar}, {'item': 'Inventory', 'v': inv}, {'item': 'AccountsPayable', 'v': ap}]) t(u)) WINDOW w AS (PARTITION BY ticker, item ORDER BY kind DESC, slot)""",
+    "markdown_metrics": "SELECT '| line_item | label | category | unit |' || chr(10) || '|---|---|---|---|' || chr(10) || string_agg('| ' || line_item || ' | ' || label || ' | ' || category || ' | ' || unit || ' |', chr(10) ORDER BY line_item) AS text FROM dmetric",
     "latest_12_quarters": "SELECT ticker, period_end, fiscal_year, fiscal_period, Revenue, (row_number() OVER (PARTITION BY ticker ORDER BY fiscal_year, fiscal_period, period_end))::INT AS slot FROM (SELECT * FROM inc WHERE period_type = 'Q' QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY fiscal_year DESC, fiscal_period DESC, period_end DESC) <= 12)",
     "ttm_kpis": f"SELECT * REPLACE ({_r('Revenue OperatingIncome OperatingCashFlow CapEx ttm_revenue ttm_operating_income ttm_ocf ttm_capex ttm_fcf')}, {_r('ttm_operating_margin ttm_fcf_margin', 6)}) FROM ttm",
     "dso_rolling": f"SELECT ticker, period_end, {_r('Revenue AccountsReceivable dso', 6)}, round(avg(dso) OVER ({_BY} ROWS BETWEEN 7 PRECEDING AND CURRENT ROW), 6) AS dso_rolling FROM (SELECT *, {_div('AccountsReceivable', 'Revenue')} * 91 AS dso FROM ({_quarterly('Revenue', 'AccountsReceivable')}))",

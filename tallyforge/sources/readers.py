@@ -29,6 +29,21 @@ def forecasts(spark: SparkSession, *paths: str) -> DataFrame:
     return rows.withColumn("forecast_run_date", stamped)
 
 
+def latest_file(spark: SparkSession, pattern: str) -> str | None:
+    """The last by name of the files that fit a pattern, as dated names sort; None if none does."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []
+    return max((x.getPath().toString() for x in found), key=lambda x: x.rpartition("/")[2], default=None)
+
+
+def macro_series(spark: SparkSession, path: str, *series: str) -> DataFrame:
+    """Observations of macro series (series_id, date, value) from CSV files with these columns; a
+    point stands for a value that is missing. The rows fit as_of() and range_average()."""
+    rows = spark.read.schema("series_id string, date date, value string").csv(path, header=True)
+    rows = rows.where(F.col("series_id").isin(*series)) if series else rows
+    return rows.withColumn("value", F.col("value").try_cast("double"))
+
+
 def vintages(spark: SparkSession, path: str) -> DataFrame:
     """CSV written by sinks.csv, or an empty table."""
     if not exists(spark, path):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,12 @@ def stamp(forecasts: DataFrame, run_date: str) -> DataFrame:
     return forecasts.withColumn("forecast_run_date", F.lit(run_date))
 
 
+def forecasts(df: DataFrame, path: str, run_date: str | None = None, overwrite: bool = False) -> None:
+    """Forecasts as Parquet, stamped with the vintage: a given ISO day, or today's in UTC."""
+    day = run_date or datetime.datetime.now(datetime.UTC).date().isoformat()
+    stamp(df, day).write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
+
+
 def append_vintages(before: DataFrame, new: DataFrame, path: str) -> None:
     """Write the merged vintages to another path than the one that is read; running it again on its
     own result adds nothing."""

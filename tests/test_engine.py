@@ -213,3 +213,41 @@ def test_extract_has_eight_typed_columns_without_nulls(spark):
     out = sinks.extract(spark.createDataFrame(rows, "ticker string, line_item string, period_end string, fiscal_year int, fiscal_period string, value double, accession_no string, filing_url string, unit string"))
     assert [t for _, t in out.dtypes] == ["string", "string", "date", "int", "string", "double", "string", "string"] and "unit" not in out.columns
     assert [tuple(map(str, r)) for r in out.orderBy("ticker").collect()] == [("", "", "None", "0", "", "0.0", "", ""), ("T", "Revenue", "2024-03-31", "2024", "Q1", "1.5", "a-1", "http://x")]
+
+
+def test_latest_file_macro_series_and_stamped_forecasts(spark, tmp_path):
+    for name in ("T_note_2024-01-05.md", "T_note_2024-11-02.md", "T_note_2023-12-31.md", "U_note_2025-01-01.md"):
+        (tmp_path / name).write_text("x")
+    assert readers.latest_file(spark, f"{tmp_path}/T_note_*.md").endswith("T_note_2024-11-02.md") and readers.latest_file(spark, f"{tmp_path}/V_*.md") is None
+    (tmp_path / "macro.csv").write_text("series_id,date,value\nA,2024-01-02,1.5\nA,2024-01-03,.\nB,2024-01-02,7\n")
+    rows = readers.macro_series(spark, f"{tmp_path}/macro.csv", "A").orderBy("date").collect()
+    assert [(r.date, r.value) for r in rows] == [(dt.date(2024, 1, 2), 1.5), (dt.date(2024, 1, 3), None)]
+    assert readers.macro_series(spark, f"{tmp_path}/macro.csv").count() == 3
+    old = spark.createDataFrame([("T", "m", "2024-01-31", 1.0)], "ticker string, model string, period_end string, yhat double")
+    sinks.forecasts(old, str(tmp_path / "a"), "2024-02-01")
+    sinks.forecasts(old.withColumn("extra", F.lit(1)), str(tmp_path / "b"))
+    with pytest.raises(Exception, match="(?i)exists"):
+        sinks.forecasts(old, str(tmp_path / "a"))
+    both = {r.forecast_run_date: r.extra for r in readers.forecasts(spark, str(tmp_path / "a"), str(tmp_path / "b")).collect()}
+    assert both == {"2024-02-01": None, dt.datetime.now(dt.UTC).date().isoformat(): 1}
+
+
+def test_audits_of_sources_coverage_and_cash_flow_quarters(spark, make):
+    rows = make(fact("CapEx"), fact("CapEx", frame="CY2024Q1"), fact("CapEx", fp="Q2"), fact("Revenue"), fact("Revenue", frame="CY2024Q1"))
+    assert [tuple(r) for r in star.duplicate_cash_flow_quarters(rows).collect()] == [("T", "CapEx", 2024, 1, 2)]
+    assert [tuple(r) for r in quality.missing_per_item(quality.missing_coverage(rows)).collect()] == [("T", "Revenue", 1)]
+    sources = spark.createDataFrame([("T", "a"), ("T", None), ("U", "b")], "ticker string, accession_no string")
+    assert sorted(tuple(r) for r in quality.null_accessions(sources).collect()) == [("T", 2, 1), ("U", 1, 0)]
+
+
+def test_working_capital_deltas_run_from_history_into_the_projection(spark):
+    ddl = "ticker string, {} int, AccountsReceivable double, Inventory double, AccountsPayable double, scenario string"
+    hist = spark.createDataFrame([("T", 1, 10.0, None, 4.0, ""), ("T", 2, 13.0, None, 9.0, "")], ddl.format("slot"))
+    projected = spark.createDataFrame([("T", 1, 12.0, 0.0, 5.0, "Base"), ("T", 1, 99.0, 0.0, 99.0, "Bull")], ddl.format("step"))
+    got = {(r.kind, r.slot, r["item"]): r.delta for r in scenario.working_capital_deltas(hist, projected).collect()}
+    assert got == {("historical", 1, "AccountsReceivable"): 0, ("historical", 1, "Inventory"): 0, ("historical", 1, "AccountsPayable"): 0, ("historical", 2, "AccountsReceivable"): -3, ("historical", 2, "Inventory"): 0, ("historical", 2, "AccountsPayable"): 5, ("forecast", 1, "AccountsReceivable"): 1, ("forecast", 1, "Inventory"): 0, ("forecast", 1, "AccountsPayable"): -4}
+
+
+def test_coefficients_by_weight(spark):
+    rows = spark.createDataFrame([("T", "a", 1.0), ("T", "b", -3.0), ("T", "c", 0.0)], "ticker string, feature string, coefficient double")
+    assert [r.feature for r in modelling.by_weight(rows).collect()] == ["b", "a"]
