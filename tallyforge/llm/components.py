@@ -31,6 +31,24 @@ def components(edges: DataFrame) -> DataFrame:
             return _kept(label)
 
 
+def extended(label: DataFrame, links: DataFrame) -> DataFrame:
+    """components() of the links of `label` and new ones (a, b) together. label: as components() gives
+    it; released. Each component so far is one node here, named by its label, which is its least
+    node, so only what the new links connect is gone through."""
+    if links.isEmpty():
+        return label
+    on = label.select(F.col("node").alias("at"), F.col("label").alias("on"))
+    ends = links.select("a", "b")
+    for side in "ab":
+        ends = ends.join(on, F.col(side) == F.col("at"), "left").withColumn(side, F.coalesce("on", side)).select("a", "b")
+    met = components(ends)
+    new = met.join(label.select("node"), "node", "left_anti")
+    old = label.join(met.select(F.col("node").alias("at"), F.col("label").alias("on")), F.col("label") == F.col("at"), "left")
+    out = cut(old.select("node", F.coalesce("on", "label").alias("label")).unionByName(new), "label", tidy=False)
+    release(label, met)
+    return _kept(out)
+
+
 def _kept(label: DataFrame) -> DataFrame:
     out = label.select("node", "label")
     out._cut_at = label._cut_at

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import U64, WHITE, cut, freed, freed_group, input_bytes, mix, pieces, random_table, release, table, texts_of
-from .components import components
+from .components import components, extended
 
 WORDS, NEAR = 5, 75
 #: N-grams that a task meets this often at least are counted for the order; the most frequent
@@ -485,30 +485,30 @@ def linked(docs: DataFrame, words: int, near: int, text: str, key: str) -> DataF
     marks = cut(kept.mapInArrow(freed(signatures(words)), "doc long, bits binary"), "marks")
     release(met, parts)
 
-    def compared(pairs: DataFrame) -> DataFrame:
-        """Links among the pairs join `links`; returns the labels with them."""
+    def compared(pairs: DataFrame, label: DataFrame) -> DataFrame:
+        """Links among the pairs join `links`; returns the labels with them. Those before are released."""
         left = cut(without(pairs, done), "tried", tidy=False)
         done.append(left)
         pairs = cut(possible(left, marks, near), "pairs", tidy=False)
         parts = dealt(pairs)
         links.append(verified(parts, members(parts).join(kept, "doc"), words, near))
         release(pairs, parts)
-        return components(union(links))
+        return extended(label, links[-1])
 
     label, mixed = components(links[0]), posted
     for turn in range(ROUNDS):
         before, mixed = mixed, cut(unsettled(mixed.drop("label"), label), "mixed")
-        release(before, label)
+        release(before)
         # a member of few n-grams of its own is near most others; the second is another one each time
         draw, own = F.xxhash64("doc", F.lit(turn)).alias("draw"), ("doc", "n", "place", "counted", "complete")
         central, other = F.struct("counted", draw, *own[:3], own[4]), F.struct(draw, *own)
         groups = mixed.groupBy("token", "label").agg(F.count("*").alias("size"), F.min(central).alias("p"), F.min(other).alias("q"))
         groups = groups.select("token", "label", "size", *(F.struct(*(F.col(f"{x}.{c}").alias(c) for c in own)).alias(x) for x in "pq"))
         main = groups.groupBy("token").agg(F.max_by(F.struct("label", "p", "q"), F.struct("size", "label")).alias("main"))
-        label = compared(against(mixed.join(main, "token").where("label != main.label").withColumn("p", F.explode(F.array("main.p", "main.q"))), near))
+        label = compared(against(mixed.join(main, "token").where("label != main.label").withColumn("p", F.explode(F.array("main.p", "main.q"))), near), label)
     rest = cut(merged(unsettled(mixed.drop("label"), label)), "rest")
-    release(label, mixed)
-    label = compared(across(rest, near))
+    release(mixed)
+    label = compared(across(rest, near), label)
     release(rest, texts, marks)
 
     in_group = classes.join(label, F.col("class") == F.col("node"))

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -13,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tallyforge.llm import jaccard, language, media, mixture, pieces, quality, repeats, shards, token_count, url_filter
-from tallyforge.llm.components import components
+from tallyforge.llm.components import components, extended
 from tallyforge.llm.suffix import suffix_arrays
 
 P = pytest.importorskip("public_tokenizers")
@@ -140,6 +141,16 @@ def test_jaccard_equals_brute_force(spark, docs, tmp_path):
     assert len({c for _, c in expected.values()}) < len(expected) - 20
 
 
+def test_labels_extended_by_links_equal_labels_of_all_links(spark):
+    draw, schema = random.Random(5), "a long, b long"
+    first, more, last = ([(draw.randrange(low, 90), draw.randrange(low, 90)) for _ in range(n)] for low, n in ((20, 25), (0, 30), (0, 20)))
+    label = components(spark.createDataFrame(first, schema))
+    for links in ([], more, [(7, 7), *more[:3]], last):
+        label = extended(label, spark.createDataFrame(links, schema))
+    whole = components(spark.createDataFrame([x for x in first + more + last if x[0] != x[1]], schema))
+    assert sorted(map(tuple, label.collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_threshold_is_inclusive_and_components_chain(spark, docs):
     base = [f"t{j}" for j in range(17 + 4)]  # 17 shingles; another with 15 of them of 20 in all is exactly 0.75
     rows = [(1, " ".join(base)), (2, " ".join([*base[:19], "q1", "q2", "q3"]))]
