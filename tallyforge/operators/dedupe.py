@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.vocab import BALANCE_SHEET, FORM_PRIORITY, Q4_DERIVABLE
+from ..functions.vocab import BALANCE_SHEET, FORM_PRIORITY
 
 
 def form_priority(form: str = "form_type") -> Column:
@@ -39,18 +39,6 @@ def collapsed(facts: DataFrame) -> DataFrame:
     return top(rows, ["ticker", "line_item", "period_end"], [form_priority().desc(), F.desc("filed_date"), framed.asc(), F.abs("value").asc(), F.desc("accession_no"), F.desc("fact_id")])
 
 
-def year_totals(facts: DataFrame) -> DataFrame:
-    """Canonical annual totals of the items whose fourth quarter may be derived."""
-    rows = facts.where((F.col("period_type") == "FY") & F.col("line_item").isin(*Q4_DERIVABLE))
-    return top(rows, ["ticker", "line_item", "period_end"], [form_priority().desc(), *latest()])
-
-
-def standalone_first(facts: DataFrame) -> DataFrame:
-    """Of rows with equal labels, the quarter-framed one, then the smaller in size."""
-    framed = F.when(F.coalesce(F.col("frame"), F.lit("")).rlike(r"^CY\d+Q\d+$"), 0).otherwise(1)
-    return top(facts, ["ticker", "line_item", "period_end", "fiscal_year", "fiscal_period"], [framed.asc(), F.abs("value").asc(), F.desc("fact_id")])
-
-
 def last_years(facts: DataFrame, years: int) -> DataFrame:
     """Facts of the last fiscal years of each ticker."""
     latest = facts.groupBy("ticker").agg(F.max("fiscal_year").alias("latest_"))

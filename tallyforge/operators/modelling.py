@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import growth
+from .timeseries import filled, period_return, series_averages
 
 HORIZON = 4
 COLUMNS = "ticker string, model string, period_end string, yhat double, yhat_lower_80 double, yhat_upper_80 double, yhat_lower_95 double, yhat_upper_95 double"
@@ -29,18 +30,40 @@ def folds(series: DataFrame, horizon: int = HORIZON, least: int = 8, n: int = 3)
     return rows.select("ticker", F.explode(F.array_distinct(spaced)).alias("cut"))
 
 
-def features(series: DataFrame) -> DataFrame:
-    """series: ticker, period_end, fiscal_period, y. Lags, lagged yearly growth, season and trend;
-    rows without all of them are dropped. Growth is lagged by one quarter, so no row knows its target."""
+def features(series: DataFrame, aligned: DataFrame | None = None) -> DataFrame:
+    """series: ticker, period_end, fiscal_period, y. Lags, lagged yearly growth, season and trend, and
+    with `aligned` (from `macro_features`) the four macro columns, filled forward and then backward
+    within the ticker; rows without all of them are dropped. Growth is lagged by one quarter, so no
+    row knows its target."""
     w = Window.partitionBy("ticker").orderBy("period_end")
     rows = series.withColumns({
         "lag1": F.lag("y", 1).over(w), "lag4": F.lag("y", 4).over(w), "growth4": growth(F.lag("y", 1).over(w), F.lag("y", 5).over(w)),
         "trend": (F.row_number().over(w) - 1).cast("double"), **{f"is_{q.lower()}": (F.col("fiscal_period") == q).cast("double") for q in ("Q2", "Q3", "Q4")},
     })
-    return rows.na.drop(subset=["y", "lag1", "lag4", "growth4"])
+    if aligned is None:
+        return rows.na.drop(subset=["y", *FEATURES])
+    rows = filled(rows.join(aligned, ["ticker", "period_end"], "left"), ["ticker"], "period_end", list(MACROS))
+    return rows.na.drop(subset=["y", *FEATURES, *MACROS])
+
+
+def macro_features(series: DataFrame, macro: DataFrame, prices: DataFrame, funds: DataFrame, months: int = 3) -> DataFrame:
+    """ticker, period_end and MACROS for each quarter of series (ticker, period_end).
+
+    macro: series_id, date, value; its three series are averaged over the `months` up to the quarter's end.
+    prices: symbol, date, close; funds: ticker, symbol, the fund whose return over the same months is etf_return.
+    Series are the same for all tickers, so they are averaged once for each date, not for each ticker."""
+    end = F.col("period_end").cast("date")
+    own = series.select("ticker", "period_end", F.add_months(end, -months).alias("start"), end.alias("end")).distinct()
+    means = series_averages(own.select("start", "end").distinct(), macro, MACROS[:3])
+    asked = own.join(funds.select("ticker", "symbol"), "ticker")
+    returns = period_return(asked.select("symbol", "start", "end").distinct(), prices, ["symbol"]).select("symbol", "start", "end", F.col("return").alias(MACROS[3]))
+    returns = asked.join(returns, ["symbol", "start", "end"]).select("ticker", "period_end", MACROS[3])
+    return own.join(means, ["start", "end"], "left").join(returns, ["ticker", "period_end"], "left").select("ticker", "period_end", *MACROS)
 
 
 FEATURES = ["lag1", "lag4", "growth4", "trend", "is_q2", "is_q3", "is_q4"]
+# Names of the macro features.
+MACROS = ("VIXCLS", "INDPRO", "T10Y2Y", "etf_return")
 
 
 def seasonal(y: np.ndarray, horizon: int) -> np.ndarray:

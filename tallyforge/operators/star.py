@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fiscal
 from ..functions.vocab import BALANCE_SHEET, CUMULATIVE_CASH_FLOW, DERIVED_FCF, DERIVED_Q4, FACT_COLUMNS, METRICS, Q4_DERIVABLE
-from .dedupe import collapsed, standalone_first, top, year_totals
+from .dedupe import form_priority, top
 
 QUARTER_FRAME = r"^CY\d{4}Q[1-4]$"
 
@@ -23,42 +23,19 @@ def relabel(df: DataFrame, companies: DataFrame) -> DataFrame:
     return with_fiscal_year_end(df, companies).withColumn("fiscal_year", fy).withColumn("fiscal_period", fp).drop("fe")
 
 
-def promote_balances(facts: DataFrame) -> DataFrame:
-    """Year-end balances are the fourth quarter's closing balances."""
-    year_end = (F.col("period_type") == "FY") & F.col("line_item").isin(*BALANCE_SHEET)
-    return facts.withColumn("period_type", F.when(year_end, "Q").otherwise(F.col("period_type")))
-
-
-def derived_q4(facts: DataFrame, canonical: DataFrame, companies: DataFrame) -> DataFrame:
-    """Fourth quarters as the year less its first three, where none was filed, all three are there
-    and the concept did not change."""
-    income = facts.where(F.col("line_item").isin(*Q4_DERIVABLE) & (F.col("period_type") == "Q"))
-    key = ["ticker", "line_item", "fiscal_year"]
-    filed = income.where(F.col("fiscal_period") == "Q4").select(*key).distinct()
-    three = income.where(F.col("fiscal_period").isin("Q1", "Q2", "Q3")).groupBy(*key).agg(
-        F.sum(F.col("value").cast("decimal(28,4)")).alias("sum_"), F.countDistinct("fiscal_period").alias("quarters_"),
-        F.min("concept_used").alias("low_"), F.max("concept_used").alias("high_"),
-    )
-    totals = relabel(year_totals(canonical), companies)
-    totals = top(totals, key, [F.desc("period_end"), F.desc("fact_id")])
-    rows = totals.join(filed, key, "left_anti").join(three, key).where("quarters_ = 3 AND low_ = high_ AND low_ = concept_used")
-    return rows.select(
-        "ticker", "line_item", F.concat("concept_used", F.lit(DERIVED_Q4)).alias("concept_used"), "period_end", F.lit("Q").alias("period_type"), "fiscal_year",
-        F.lit("Q4").alias("fiscal_period"), (F.col("value") - F.col("sum_").cast("double")).alias("value"), "unit", "accession_no",
-        F.concat_ws(":", "accession_no", "line_item", F.lit("Q4derived"), "period_end").alias("fact_id"), "filing_url", "form_type", "filed_date", F.lit("").alias("frame"),
-    )
-
-
 def _quarter(fp: str = "fiscal_period") -> Column:
     return F.nullif(F.regexp_extract(F.col(fp), "Q([1-4])", 1), F.lit("")).try_cast("int")
 
 
+def _flow() -> Column:
+    return F.col("line_item").isin(*CUMULATIVE_CASH_FLOW) & (F.col("period_type") == "Q")
+
+
 def _cumulative(facts: DataFrame) -> DataFrame:
     """Adds q_, base_ (the raw value of the quarter before) and due_ (to be differenced)."""
-    rows = facts.withColumn("q_", _quarter())
-    flow = F.col("line_item").isin(*CUMULATIVE_CASH_FLOW) & (F.col("period_type") == "Q") & F.col("q_").isNotNull()
-    base = rows.where(flow).groupBy("ticker", "line_item", "fiscal_year", (F.col("q_") + 1).alias("q_")).agg(F.max("value").alias("base_"))
-    rows = rows.join(base, ["ticker", "line_item", "fiscal_year", "q_"], "left")
+    flow = _flow() & F.col("q_").isNotNull()
+    quarter_before = Window.partitionBy("ticker", "line_item", "fiscal_year").orderBy("q_").rangeBetween(-1, -1)
+    rows = facts.withColumn("q_", _quarter()).withColumn("base_", F.max(F.when(flow, F.col("value"))).over(quarter_before))
     framed = F.coalesce(F.col("frame"), F.lit("")).rlike(QUARTER_FRAME)
     return rows.withColumn("due_", flow & (F.col("q_") > 1) & ~framed)
 
@@ -83,23 +60,83 @@ def duplicate_cash_flow_quarters(facts: DataFrame) -> DataFrame:
     return rows.groupBy("ticker", "line_item", "fiscal_year", "quarter").agg(F.count("*").alias("n_facts")).where("n_facts > 1")
 
 
-def derived_fcf(facts: DataFrame) -> DataFrame:
-    """Free cash flow rows, with the provenance of operating cash flow."""
-    capex = facts.where(F.col("line_item") == "CapEx").select("ticker", "period_end", F.col("value").alias("capex_"))
-    rows = facts.where(F.col("line_item") == "OperatingCashFlow").join(capex, ["ticker", "period_end"])
-    return rows.withColumns({
-        "line_item": F.lit("FreeCashFlow"), "value": F.col("value") - F.col("capex_"), "concept_used": F.lit(DERIVED_FCF),
-        "fact_id": F.concat_ws(":FreeCashFlow:", "accession_no", "period_end"),
-    }).select(*facts.columns)
+def _prefer() -> list[Column]:
+    """Of the facts of one item and date the one that stays has the greatest of these: the best form,
+    the latest filing, a quarter frame, the smaller size."""
+    framed = F.coalesce(F.col("frame"), F.lit("")).like("CY%Q%")
+    unsized = F.isnull("value").cast("int") - F.isnan("value").cast("int")
+    return [form_priority(), F.col("filed_date"), framed.cast("int"), unsized, -F.abs("value"), F.col("accession_no"), F.col("fact_id")]
+
+
+def _fold(quarters: Column) -> Column:
+    """What a year's fourth quarter and its cash flows need, from the sorted quarters of an item: sum,
+    concepts and presence of the first three, and the greatest raw value of each quarter."""
+    none = F.lit(None)
+    zero = F.struct(
+        F.lit(0).cast("decimal(38,4)").alias("sum"), F.lit(0).alias("valued"), F.lit(0).alias("seen"), none.cast("string").alias("low"), none.cast("string").alias("high"),
+        F.array(*[none.cast("double")] * 4).alias("most"),
+    )
+
+    def step(s: Column, x: Column) -> Column:
+        q, value = F.coalesce(x["q_"], F.lit(0)), x["value"]
+        early = q.between(1, 3)
+        counts = early & value.isNotNull()
+        bit = F.element_at(F.array(*(F.lit(1 << k if k else 0) for k in range(5))), q + 1)
+        return F.struct(
+            (s["sum"] + F.when(counts, value.cast("decimal(28,4)")).otherwise(F.lit(0))).cast("decimal(38,4)").alias("sum"), (s["valued"] + counts.cast("int")).alias("valued"),
+            s["seen"].bitwiseOR(bit).alias("seen"), F.when(early, F.least(s["low"], x["concept_used"])).otherwise(s["low"]).alias("low"),
+            F.when(early, F.greatest(s["high"], x["concept_used"])).otherwise(s["high"]).alias("high"),
+            F.transform(s["most"], lambda m, i: F.when(q == i + 1, F.greatest(m, value)).otherwise(m)).alias("most"),
+        )
+
+    return F.aggregate(quarters, zero, step)
 
 
 def fact_financials(canonical: DataFrame, companies: DataFrame) -> DataFrame:
-    """The quarterly fact table: collapse, promote, drop duplicates, relabel, derive fourth
-    quarters, make cash flows standalone, and derive free cash flow, in that order."""
-    rows = relabel(standalone_first(promote_balances(collapsed(canonical))), companies).select(*FACT_COLUMNS)
-    rows = rows.unionByName(derived_q4(rows, canonical, companies))
-    rows = standalone_cash_flow(rows)
-    return rows.unionByName(derived_fcf(rows))
+    """The quarterly fact table. In this order: one fact stays for an item and date; year-end balances are fourth
+    quarters; labels come from dates; fourth quarters of income are derived (the year less its first
+    three, where none was filed, all three are there and the concept did not change); cash flows
+    become standalone; free cash flow is derived from these.
+
+    The facts of (ticker, item, fiscal year) are one grouped state: an array of quarters, sorted,
+    thinned to one a date and folded, so nothing is joined to itself. Free cash flow looks within a ticker's
+    date. Both steps share one exchange on (ticker, fiscal year), so a ticker's rows are spread over its years."""
+    keep = (F.col("period_type") == "Q") | ((F.col("period_type") == "FY") & F.col("line_item").isin(*BALANCE_SHEET))
+    total = (F.col("period_type") == "FY") & F.col("line_item").isin(*Q4_DERIVABLE)
+    rows = relabel(canonical.where(keep | total), companies).withColumn("q_", _quarter()).repartition("ticker", "fiscal_year")
+    own = F.struct(*(F.col(c) for c in FACT_COLUMNS if c not in ("ticker", "line_item", "fiscal_year")), "q_").alias("own")
+    quarter = F.struct(F.col("period_end").alias("at"), *(c.alias(f"p{i}") for i, c in enumerate(_prefer())), own)
+    year = F.struct(F.col("period_end").alias("at"), form_priority().alias("p0"), F.col("filed_date").alias("p1"), F.col("accession_no").alias("p2"), F.col("fact_id").alias("p3"), own)
+    rows = rows.groupBy("ticker", "line_item", "fiscal_year").agg(F.array_sort(F.collect_list(F.when(keep, quarter))).alias("all_"), F.max(F.when(total, year)).alias("year_"))
+    last = F.filter("all_", lambda x, i: (i == F.size("all_") - 1) | (x["at"] != F.get(F.col("all_"), i + 1)["at"]))
+    rows = rows.select("ticker", "line_item", "fiscal_year", F.transform(last, lambda x: x["own"].withField("period_type", F.lit("Q"))).alias("quarters_"), F.col("year_.own").alias("y_"))
+    rows = rows.withColumn("s_", _fold(F.col("quarters_")))
+    flow, y, s = F.col("line_item").isin(*CUMULATIVE_CASH_FLOW), F.col("y_"), F.col("s_")
+
+    def standalone(x: Column) -> Column:
+        base = F.when(x["q_"] > 1, F.get(s["most"], x["q_"] - 2))
+        due = flow & ~F.coalesce(x["frame"], F.lit("")).rlike(QUARTER_FRAME) & base.isNotNull()
+        return x.withField("value", F.when(due, x["value"] - base).otherwise(x["value"]))
+
+    first_three_only = s["seen"] == 0b1110
+    missing = F.col("line_item").isin(*Q4_DERIVABLE) & first_three_only & (s["low"] == s["high"]) & (s["low"] == y["concept_used"])
+    fourth = (
+        y.withField("concept_used", F.concat(y["concept_used"], F.lit(DERIVED_Q4))).withField("period_type", F.lit("Q")).withField("fiscal_period", F.lit("Q4"))
+        .withField("value", F.when(s["valued"] > 0, y["value"] - s["sum"].cast("double"))).withField("frame", F.lit("")).withField("q_", F.lit(4))
+        .withField("fact_id", F.concat_ws(":", y["accession_no"], F.col("line_item"), F.lit("Q4derived"), y["period_end"]))
+    )
+    made = F.transform("quarters_", standalone)
+    made = F.when(missing, F.concat(made, F.array(fourth))).otherwise(made)
+    rows = rows.select("ticker", "line_item", "fiscal_year", F.inline(made)).select(*FACT_COLUMNS)
+    date = Window.partitionBy("ticker", "fiscal_year", "period_end")
+    rows = rows.withColumn("spent_", F.max(F.when(F.col("line_item") == "CapEx", F.struct("value"))).over(date))
+    whole = F.struct(*FACT_COLUMNS)
+    free = (
+        whole.withField("line_item", F.lit("FreeCashFlow")).withField("value", F.col("value") - F.col("spent_.value")).withField("concept_used", F.lit(DERIVED_FCF))
+        .withField("fact_id", F.concat_ws(":FreeCashFlow:", "accession_no", "period_end"))
+    )
+    both = (F.col("line_item") == "OperatingCashFlow") & F.col("spent_").isNotNull()
+    return rows.select(F.inline(F.when(both, F.array(whole, free)).otherwise(F.array(whole))))
 
 
 def fact_bridge(bridge: DataFrame, companies: DataFrame) -> DataFrame:
@@ -148,11 +185,3 @@ def star_join(facts: DataFrame, dates: DataFrame, metrics: DataFrame, filings: D
         .join(dates.select("ticker", "period_end", "calendar_year", "calendar_quarter"), ["ticker", "period_end"], "left")
         .join(filings, "accession_no", "left")
     )
-
-
-def distinct_values(df: DataFrame, column: str) -> DataFrame:
-    return df.select(column).where(F.col(column).isNotNull()).distinct()
-
-
-def quarter_window(ticker: str = "ticker", by: str = "period_end"):
-    return Window.partitionBy(ticker).orderBy(by)

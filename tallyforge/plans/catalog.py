@@ -67,7 +67,7 @@ class Tables:
 
     @property
     def quality(self) -> DataFrame:
-        return quality.data_quality(self.facts, quality.restatements(self.facts), quality.missing_coverage(self.facts))
+        return quality.data_quality(self.facts)
 
     @property
     def history(self) -> DataFrame:
@@ -148,7 +148,7 @@ def missing_per_item(spark, d):
 @query
 def duplicate_cash_flow_quarters(spark, d):
     t = Tables(spark, d)
-    return star.duplicate_cash_flow_quarters(star.relabel(t.canonical, t.companies))
+    return star.duplicate_cash_flow_quarters(star.relabel(dedupe.collapsed(t.canonical), t.companies))
 
 
 @query
@@ -368,7 +368,16 @@ def summary_kpis(spark, d):
 
 @query
 def feature_matrix(spark, d):
-    return rounded(modelling.features(Tables(spark, d).series))
+    """All eleven features; orders stand for three series of different frequency and for four funds."""
+    t = Tables(spark, d)
+    orders = t.read("orders").select(F.col("o_custkey").alias("k"), F.col("o_orderdate").cast("date").alias("date"), F.col("o_totalprice").alias("value"))
+    daily = orders.where("k % 3 = 0").withColumn("series_id", F.lit("VIXCLS"))
+    weekly = orders.where("k % 3 = 1 AND dayofweek(date) = 2").withColumn("series_id", F.lit("INDPRO"))
+    monthly = orders.where("k % 3 = 2 AND day(date) = 1").withColumn("series_id", F.lit("T10Y2Y"))
+    macro = daily.unionByName(weekly).unionByName(monthly).select("series_id", "date", (F.col("value") / 1e4).alias("value"))
+    prices = orders.select(F.concat(F.lit("E"), (F.col("k") % 4).cast("string")).alias("symbol"), "date", F.col("value").alias("close"))
+    funds = t.companies.select("ticker", F.concat(F.lit("E"), ((F.col("cik_int") - 1) % 4).cast("string")).alias("symbol"))
+    return rounded(modelling.features(t.series, modelling.macro_features(t.series, macro, prices, funds)))
 
 
 @query

@@ -304,6 +304,11 @@ def _sources() -> str:
 _BY = "PARTITION BY ticker ORDER BY period_end"
 _PERIODS = "SELECT symbol, (e - INTERVAL 3 MONTH)::DATE AS start, e AS \"end\" FROM (SELECT last_day(q + INTERVAL 2 MONTH)::DATE AS e FROM (SELECT unnest(generate_series(date_trunc('quarter', min(o_orderdate)), date_trunc('quarter', max(o_orderdate)), INTERVAL 3 MONTH)) AS q FROM orders)) CROSS JOIN range(5) r(symbol)"
 _ORDERS = "SELECT o_custkey % 5 AS symbol, o_orderdate::DATE AS date, o_totalprice AS v FROM orders"
+_CLOSE = "(SELECT arg_max(v, date) FROM fx WHERE fx.symbol = 'E' || (substr(s.ticker, 2)::INT % 4) AND fx.date <= {at})"
+_FILLED = ", ".join(
+    f"coalesce(last_value({c} IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), first_value({c} IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS {c}"
+    for c in ("VIXCLS", "INDPRO", "T10Y2Y", "etf_return")
+)
 _FMT = "CASE WHEN x IS NULL THEN NULL ELSE CASE WHEN x < 0 THEN '-' ELSE '' END || '$' || CASE WHEN abs(x) >= 1e9 THEN printf('%.1f', abs(x) / 1e9) || 'B' WHEN abs(x) >= 1e6 THEN printf('%.1f', abs(x) / 1e6) || 'M' WHEN abs(x) >= 1e3 THEN printf('%.0f', abs(x) / 1e3) || 'K' ELSE printf('%.0f', abs(x)) END END"
 
 _BODIES = {
@@ -349,7 +354,7 @@ _BODIES = {
     "sources_unpivot": _sources(),
     "null_accessions": f"SELECT ticker, count(*) AS n_sources, count(*) FILTER (WHERE accession_no IS NULL) AS n_null_accessions FROM ({_sources()}) GROUP BY ticker",
     "missing_per_item": "SELECT ticker, line_item, count(*) AS missing_quarters FROM missing GROUP BY ALL",
-    "duplicate_cash_flow_quarters": f"SELECT ticker, line_item, fiscal_year, substr(fiscal_period, 2, 1)::INT AS quarter, count(*) AS n_facts FROM ({_relabel('canonical')}) WHERE line_item IN ({_list(vocab.CUMULATIVE_CASH_FLOW)}) AND period_type = 'Q' GROUP BY ALL HAVING count(*) > 1",
+    "duplicate_cash_flow_quarters": f"SELECT ticker, line_item, fiscal_year, substr(fiscal_period, 2, 1)::INT AS quarter, count(*) AS n_facts FROM ({_relabel('collapsed')}) WHERE line_item IN ({_list(vocab.CUMULATIVE_CASH_FLOW)}) AND period_type = 'Q' GROUP BY ALL HAVING count(*) > 1",
     "latest_provenance": "SELECT ticker, period_end, fiscal_year, fiscal_period, round(Revenue / 1e9, 3) AS revenue_billions, revenue_accession, revenue_filing_url FROM inc WHERE period_type = 'Q' AND Revenue IS NOT NULL QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY fiscal_year DESC, fiscal_period DESC, period_end DESC) <= 5",
     "working_capital_deltas": """SELECT ticker, slot, kind, item, round(coalesce(CASE WHEN item = 'AccountsPayable' THEN v - lag(v) OVER w ELSE lag(v) OVER w - v END, 0), 4) AS delta FROM (
   SELECT ticker, slot, kind, u.item AS item, coalesce(u.v, 0)::DOUBLE AS v FROM (
@@ -375,8 +380,13 @@ _BODIES = {
     "debt_schedule": "SELECT ticker, step::INT AS step, 0.0::DOUBLE AS opening, debt_amortization_qoq AS amortization, greatest(0.0, 0 - debt_amortization_qoq)::DOUBLE AS closing FROM assume CROSS JOIN range(1, 5) r(step)",
     "summary_kpis": """SELECT ticker, slot, kind, u.item AS item, round(u.value, 4) AS value FROM (SELECT ticker, slot::INT AS slot, 'historical' AS kind, Revenue AS r, GrossProfit AS g, NetIncome AS i FROM hist UNION ALL SELECT ticker, step::INT, 'forecast', rev, gp, ni FROM proj WHERE step > 0 AND scenario = 'Base'),
   unnest([{'item': 'Revenue', 'value': r}, {'item': 'GrossMarginPct', 'value': g / nullif(r, 0)}, {'item': 'NetIncome', 'value': i}, {'item': 'NetMarginPct', 'value': i / nullif(r, 0)}]) t(u)""",
-    "feature_matrix": f"""SELECT ticker, period_end, fiscal_year, fiscal_period, round(y, 6) AS y, round(lag1, 6) AS lag1, round(lag4, 6) AS lag4, round((lag1 - lag5) / nullif(lag5, 0), 6) AS growth4, trend, (fiscal_period = 'Q2')::INT::DOUBLE AS is_q2, (fiscal_period = 'Q3')::INT::DOUBLE AS is_q3, (fiscal_period = 'Q4')::INT::DOUBLE AS is_q4
-  FROM (SELECT *, lag(y) OVER w AS lag1, lag(y, 4) OVER w AS lag4, lag(y, 5) OVER w AS lag5, (row_number() OVER w - 1)::DOUBLE AS trend FROM series WINDOW w AS ({_BY})) WHERE y IS NOT NULL AND lag4 IS NOT NULL AND lag5 IS NOT NULL AND lag5 != 0""",
+    "feature_matrix": f"""SELECT ticker, period_end, fiscal_year, fiscal_period, round(y, 6) AS y, round(lag1, 6) AS lag1, round(lag4, 6) AS lag4, round((lag1 - lag5) / nullif(lag5, 0), 6) AS growth4, trend, (fiscal_period = 'Q2')::INT::DOUBLE AS is_q2, (fiscal_period = 'Q3')::INT::DOUBLE AS is_q3, (fiscal_period = 'Q4')::INT::DOUBLE AS is_q4,
+  round(VIXCLS, 6) AS VIXCLS, round(INDPRO, 6) AS INDPRO, round(T10Y2Y, 6) AS T10Y2Y, round(etf_return, 6) AS etf_return FROM (
+  SELECT ticker, period_end, fiscal_year, fiscal_period, y, lag(y) OVER w AS lag1, lag(y, 4) OVER w AS lag4, lag(y, 5) OVER w AS lag5, (row_number() OVER w - 1)::DOUBLE AS trend, {_FILLED} FROM (
+    SELECT s.*, m.*, {_CLOSE.format(at="s.period_end::DATE")} / nullif({_CLOSE.format(at="(s.period_end::DATE - INTERVAL 3 MONTH)::DATE")}, 0) - 1 AS etf_return FROM series s LEFT JOIN (
+      SELECT pe, {", ".join(f"avg(value / 1e4) FILTER ({c}) AS {n}" for n, c in (("VIXCLS", "k % 3 = 0"), ("INDPRO", "k % 3 = 1 AND dayofweek(date) = 1"), ("T10Y2Y", "k % 3 = 2 AND day(date) = 1")))}
+      FROM (SELECT DISTINCT period_end AS pe FROM series) LEFT JOIN ord ON date BETWEEN (pe::DATE - INTERVAL 3 MONTH)::DATE AND pe::DATE GROUP BY pe) m ON m.pe = s.period_end) WINDOW w AS ({_BY}))
+  WHERE y IS NOT NULL AND lag4 IS NOT NULL AND lag5 IS NOT NULL AND lag5 != 0 AND VIXCLS IS NOT NULL AND INDPRO IS NOT NULL AND T10Y2Y IS NOT NULL AND etf_return IS NOT NULL""",
     "cv_folds": "SELECT DISTINCT ticker, (low + (high - low) * k // 2)::INT AS cut FROM (SELECT ticker, greatest(8, count(*) * 2 // 3) AS low, count(*) - 4 AS high FROM series WHERE y IS NOT NULL GROUP BY ticker) CROSS JOIN range(3) r(k) WHERE high >= low",
     "bootstrap_percentiles": "SELECT o_orderpriority, " + ", ".join(f"round(quantile_cont(o_totalprice, {p}), 4) AS {n}" for p, n in ((0.025, "p025"), (0.1, "p100"), (0.9, "p900"), (0.975, "p975"))) + " FROM orders GROUP BY o_orderpriority",
     "asof_price_return": f"""SELECT symbol, start, "end", round(ce, 6) AS close_end, round(cs, 6) AS close_start, round(ce / nullif(cs, 0) - 1, 6) AS "return" FROM (
@@ -412,6 +422,8 @@ _BODIES["forecast_overlay"] = f"""SELECT ticker, period_end, 'actual' AS series,
 UNION ALL SELECT ticker, period_end, model, round(yhat, 4) FROM (SELECT s.*, dense_rank() OVER (PARTITION BY s.ticker, model ORDER BY s.period_end) AS kk FROM snapped s
   JOIN (SELECT ticker, max(period_end) AS last FROM ({_quarterly('Revenue')}) WHERE Revenue IS NOT NULL GROUP BY ticker) l ON l.ticker = s.ticker WHERE s.period_end > l.last) WHERE kk <= 4"""
 CTES_MORE = {
+    "ord": "SELECT o_custkey AS k, o_orderdate::DATE AS date, o_totalprice AS value FROM orders",
+    "fx": "SELECT 'E' || (k % 4) AS symbol, date, max(value) AS v FROM ord GROUP BY ALL",
     "px": "SELECT o_custkey % 5 AS symbol, o_orderdate::DATE AS date, max(o_totalprice) AS v FROM orders GROUP BY ALL",
     "choice": "SELECT *, (row_number() OVER (PARTITION BY ticker, line_item ORDER BY n_facts DESC, synonym_rank))::INT AS choice FROM (SELECT ticker, line_item, concept_used, CASE WHEN concept_used LIKE '%Alt' THEN 1 ELSE 0 END AS synonym_rank, count(*) FILTER (WHERE fiscal_period != 'FY') AS n_facts FROM facts GROUP BY ALL) WHERE n_facts > 0",
 }

@@ -52,7 +52,7 @@ def test_missing_quarters_and_refusal(make, spark):
     full = make(*rows)
     gap = make(*(r for r in rows if not (r[1] == "Revenue" and r[6] == "Q2")))
     for facts, expected in ((full, None), (gap, "FY2024Q2")):
-        q = quality.data_quality(facts, quality.restatements(facts), quality.missing_coverage(facts))
+        q = quality.data_quality(facts)
         assert q.first().missing_quarters == expected
         v = spark.createDataFrame([("T", 2024, "Q4")], "ticker string, fiscal_year int, fiscal_period string")
         assert quality.refusals(q, v).first().refusal_reason == ("missing_quarters" if expected else None)
