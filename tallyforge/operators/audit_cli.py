@@ -2,51 +2,32 @@
 
 from __future__ import annotations
 
-import json
-import re
 import sys
 
-from .guard import ACCESSION, violation
-
-
-def read_payload(raw: str) -> dict:
-    """JSON itself, or the first fenced JSON block of a text."""
-    raw = raw.strip()
-    if not raw.startswith("{"):
-        found = re.search(r"```json\s*(\{.*?\})\s*```", raw, re.S)
-        if not found:
-            raise ValueError("no payload found")
-        raw = found.group(1)
-    return json.loads(raw)
-
-
-def allowed(payload) -> tuple[list[float], set[str]]:
-    values: list[float] = []
-    accessions: set[str] = set()
-    stack = [payload]
-    while stack:
-        x = stack.pop()
-        if isinstance(x, list):
-            stack += x
-        elif isinstance(x, dict):
-            stack += x.values()
-            v, a = x.get("value"), x.get("accession")
-            if isinstance(v, str) and (m := re.fullmatch(r"(-?)\$?(\d+(?:\.\d+)?)([KMB%]?)", v)):
-                values.append((-1 if m[1] else 1) * float(m[2]) * {"K": 1e3, "M": 1e6, "B": 1e9, "%": 0.01}.get(m[3], 1.0))
-            if isinstance(a, str) and re.search(ACCESSION, a):
-                accessions.add(a)
-    return values, accessions
+from pyspark.errors import PySparkException
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from ..sources.readers import payload_json
+from .guard import guard, payload_values
+
+
+def check(spark: SparkSession, text_path: str, payload_path: str) -> str | None:
+    """The first rule that the text breaks, or None. The payload is JSON itself or the first fenced JSON block of a text."""
+    texts = spark.read.text(text_path, wholetext=True).select(F.lit("").alias("ticker"), F.col("value").alias("text"))
+    payload = spark.read.text(payload_path, wholetext=True).select(F.lit("").alias("ticker"), payload_json("value").alias("payload"))
+    if payload.where(F.try_parse_json("payload").isNotNull()).isEmpty():
+        raise ValueError("no payload found")
+    return guard(texts, payload_values(payload)).first().violation
 
 
 def main(args: list[str]) -> int:
     try:
         text_path, payload_path = args
-        with open(text_path, encoding="utf-8") as f, open(payload_path, encoding="utf-8") as g:
-            text, payload = f.read(), read_payload(g.read())
-    except (OSError, ValueError) as e:
-        print(f"cannot check: {e}", file=sys.stderr)
+        found = check(SparkSession.builder.getOrCreate(), text_path, payload_path)
+    except (PySparkException, ValueError) as e:
+        print(f"cannot check: {str(e).splitlines()[0]}", file=sys.stderr)
         return 2
-    found = violation(text, *allowed(payload))
     print(found or "passes")
     return int(found is not None)
 

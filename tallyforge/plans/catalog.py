@@ -29,9 +29,12 @@ def rounded(df: DataFrame, digits: int = 6, **other: int) -> DataFrame:
 class Tables:
     """What the queries share; each is a plan, computed when a query asks for it."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, saved: bool = False):
+        """saved: facts are written once as a bucketed table, for queries that read them in several places."""
         self.spark, self.dir = spark, sf_dir
         self.facts = adapter.facts(spark, sf_dir)
+        if saved:
+            self.facts, _ = sinks.fact_table(self.facts)
         self.companies = adapter.companies(spark)
         self.canonical = dedupe.canonical(self.facts)
         self.income = statements.income_statement(self.canonical)
@@ -236,7 +239,10 @@ def dim_date(spark, d):
 
 @query
 def dim_metric(spark, d):
-    return star.dim_metric(spark)
+    """The static list of metrics, with how many facts of each the table holds."""
+    t = Tables(spark, d)
+    counts = t.facts.groupBy("line_item").agg(F.count("*").alias("n_facts"))
+    return star.dim_metric(spark).join(counts, "line_item", "left").withColumn("n_facts", F.coalesce("n_facts", F.lit(0).cast("long")))
 
 
 @query
@@ -246,7 +252,7 @@ def dim_filing(spark, d):
 
 @query
 def star_join_tooltip(spark, d):
-    t = Tables(spark, d)
+    t = Tables(spark, d, saved=True)
     return rounded(star.star_join(t.financials, star.dim_date(t.financials, t.snapped, t.companies), star.dim_metric(spark), star.dim_filing(t.facts)), 4)
 
 
@@ -505,12 +511,32 @@ def payloads(spark, d):
     return guard.payloads(t.variance, t.quality)
 
 
+@query
+def payload_inputs(spark, d):
+    """What each payload allows a text to say, taken out of it again; nested deeper once more."""
+    t = Tables(spark, d)
+    rows = guard.payloads(t.variance, t.quality)
+    deeper = rows.select("ticker", F.concat(F.lit('{"batch": [[1, {"inner": '), "payload", F.lit('}], {"value": "$7.5M", "accession": "none"}]}')).alias("payload"))
+    said = guard.payload_values(deeper)
+    return said.select("ticker", F.array_join(F.transform("values", lambda v: F.format_number(v, 4)), " ").alias("amounts"), F.array_join("accessions", " ").alias("accessions"))
+
+
 @query
 def guarded_texts(spark, d):
+    """Sentences about each ticker, one for each rule, and the texts of all documents."""
     t = Tables(spark, d)
     rows = guard.payload_values(guard.payloads(t.variance, t.quality))
-    texts = t.variance.select("ticker", F.concat(F.lit("Revenue was "), text.dollars("revenue_actual"), F.lit(" ["), "revenue_actual_accession", F.lit("].")).alias("text"))
-    return guard.guard(texts, rows)
+    said, cited, share = text.dollars("revenue_actual"), F.concat(F.lit(" ["), "revenue_actual_accession", F.lit("]")), text.percent("gross_margin_pct_actual")
+    sentences = {
+        "cited": F.concat(F.lit("Revenue was "), said, cited, F.lit(" in 2024.")), "twice": F.concat(said, F.lit(" and "), said, cited), "uncited": F.concat(F.lit("Revenue was "), said, F.lit(".")),
+        "late": F.concat(said, F.lit(" " * 45), cited), "unknown": F.concat(F.lit("Revenue was $98765.4B"), cited), "foreign": F.concat(F.lit("Revenue was "), said, F.lit(" [0000000000-00-000000].")),
+        "share": F.concat(F.lit("A margin of "), share, F.lit(" in 1999.")), "shares": F.concat(F.lit("A margin of "), share, F.lit(" after 987.6%.")), "word": F.concat(said, cited, F.lit(", a Billion")),
+        "negative": F.lit("It fell (3.2 %)."), "bare": F.concat(F.lit("In 2024, 1,234 units at "), said, cited), "decimal": F.lit("Some 12.50 of 2024"), "partly": F.concat(said, F.lit(",000"), cited),
+    }
+    pairs = F.array(*(F.struct(F.lit(k).alias("name"), v.alias("text")) for k, v in sentences.items()))
+    texts = t.variance.select("ticker", F.inline(pairs))
+    documents = t.read("documents").select(F.concat(F.lit("S"), (F.col("doc_id") % adapter.TICKERS).cast("string")).alias("ticker"), F.col("doc_id").cast("string").alias("name"), "text")
+    return guard.guard(texts.unionByName(documents), rows).select("ticker", "name", "violation")
 
 
 @query
@@ -548,4 +574,6 @@ def event_windows(spark, d):
 
 @query
 def markdown_metrics(spark, d):
-    return sinks.markdown(star.dim_metric(spark), ["line_item"])
+    """Rows of a Markdown table of each quarter's margins."""
+    rows = metrics.margins(Tables(spark, d).financials).select("ticker", "period_end", (F.col("Revenue") / 1e6).alias("revenue_millions"), "gross_margin", "yoy_growth")
+    return sinks.markdown_lines(rows).select("ticker", "period_end", "line")

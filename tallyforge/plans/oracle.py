@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..functions import vocab
+from ..operators import guard
 from ..sources.adapter import FORMS, ITEMS
 
 
@@ -342,7 +343,7 @@ _BODIES = {
     "fact_forecasts_snapped": f"SELECT * REPLACE ({_r('yhat yhat_lower_80 yhat_upper_80 yhat_lower_95 yhat_upper_95', 6)}) FROM snapped",
     "vintage_merge": f"SELECT * REPLACE ({_r('yhat yhat_lower_80 yhat_upper_80 yhat_lower_95 yhat_upper_95', 6)}) FROM (SELECT * FROM forecasts WHERE model != 'lasso' UNION SELECT * FROM forecasts WHERE model != 'arima')",
     "dim_date": "SELECT * FROM ddate",
-    "dim_metric": "SELECT * FROM dmetric",
+    "dim_metric": "SELECT m.*, (SELECT count(*) FROM facts f WHERE f.line_item = m.line_item) AS n_facts FROM dmetric m",
     "dim_filing": "SELECT * FROM dfiling",
     "star_join_tooltip": "SELECT f.ticker, f.line_item, f.period_end, round(f.value, 4) AS value, f.accession_no, m.label, m.category, m.unit, d.calendar_year, d.calendar_quarter, g.filing_url, g.filed_date, g.form_type FROM fin f LEFT JOIN dmetric m ON m.line_item = f.line_item LEFT JOIN ddate d ON d.ticker = f.ticker AND d.period_end = f.period_end LEFT JOIN dfiling g ON g.accession_no = f.accession_no",
     "hist_financials_wide": """SELECT p.*, r.fact_id AS revenue_fact_id, r.accession_no, r.filing_url, CASE WHEN lower(r.concept_used) LIKE '%derived%' THEN 'derived' WHEN r.ticker IS NOT NULL THEN 'reported' END AS revenue_provenance FROM (
@@ -360,7 +361,8 @@ _BODIES = {
   SELECT ticker, slot, kind, u.item AS item, coalesce(u.v, 0)::DOUBLE AS v FROM (
     SELECT ticker, slot::INT AS slot, 'historical' AS kind, AccountsReceivable AS ar, Inventory AS inv, AccountsPayable AS ap FROM hist UNION ALL SELECT ticker, step::INT, 'forecast', ar, inv, ap FROM proj WHERE step > 0 AND scenario = 'Base'),
   unnest([{'item': 'AccountsReceivable', 'v': ar}, {'item': 'Inventory', 'v': inv}, {'item': 'AccountsPayable', 'v': ap}]) t(u)) WINDOW w AS (PARTITION BY ticker, item ORDER BY kind DESC, slot)""",
-    "markdown_metrics": "SELECT '| line_item | label | category | unit |' || chr(10) || '|---|---|---|---|' || chr(10) || string_agg('| ' || line_item || ' | ' || label || ' | ' || category || ' | ' || unit || ' |', chr(10) ORDER BY line_item) AS text FROM dmetric",
+    "markdown_metrics": f"""SELECT ticker, period_end, '| ' || ticker || ' | ' || period_end || ' | ' || coalesce(format('{{:,.2f}}', Revenue / 1e6), '') || ' | ' || coalesce(format('{{:,.2f}}', gm), '') || ' | ' || coalesce(format('{{:,.2f}}', g), '') || ' |' AS line
+  FROM (SELECT ticker, period_end, Revenue, {_div('GrossProfit', 'Revenue')} AS gm, (Revenue - lag(Revenue, 4) OVER w) / nullif(lag(Revenue, 4) OVER w, 0) AS g FROM ({_quarterly('Revenue', 'GrossProfit', 'OperatingIncome', 'NetIncome')}) WINDOW w AS ({_BY}))""",
     "latest_12_quarters": "SELECT ticker, period_end, fiscal_year, fiscal_period, Revenue, (row_number() OVER (PARTITION BY ticker ORDER BY fiscal_year, fiscal_period, period_end))::INT AS slot FROM (SELECT * FROM inc WHERE period_type = 'Q' QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY fiscal_year DESC, fiscal_period DESC, period_end DESC) <= 12)",
     "ttm_kpis": f"SELECT * REPLACE ({_r('Revenue OperatingIncome OperatingCashFlow CapEx ttm_revenue ttm_operating_income ttm_ocf ttm_capex ttm_fcf')}, {_r('ttm_operating_margin ttm_fcf_margin', 6)}) FROM ttm",
     "dso_rolling": f"SELECT ticker, period_end, {_r('Revenue AccountsReceivable dso', 6)}, round(avg(dso) OVER ({_BY} ROWS BETWEEN 7 PRECEDING AND CURRENT ROW), 6) AS dso_rolling FROM (SELECT *, {_div('AccountsReceivable', 'Revenue')} * 91 AS dso FROM ({_quarterly('Revenue', 'AccountsReceivable')}))",
@@ -429,4 +431,74 @@ CTES_MORE = {
 }
 _PREFIX = _PREFIX.rstrip() + ",\n" + ",\n".join(f"{k} AS ({v})" for k, v in CTES_MORE.items()) + "\n"
 
+
+
+def _json(value: str) -> str:
+    return f"coalesce('\"' || {value} || '\"', 'null')"
+
+
+def _money(x: str) -> str:
+    return "(" + _FMT.replace("WHEN x IS", f"WHEN {x} IS").replace("abs(x)", f"abs({x})").replace("WHEN x <", f"WHEN {x} <") + ")"
+
+
+def _percent(x: str) -> str:
+    return f"(printf('%.1f', {x} * 100) || '%')"
+
+
+def _source(column: str) -> str:
+    held = column in ("revenue_actual_fact_id", "gross_profit_fact_id", "op_income_fact_id", "revenue_prior_forecast_model")
+    named = f"CASE WHEN trim({column}) != '' THEN {column} ELSE '<missing>' END" if held else "'<missing>'"
+    return f"'forecast_model=' || {named}" if column == "revenue_prior_forecast_model" else named
+
+
+def _payload() -> str:
+    parts = ["'{\"ticker\":' || " + _json("v.ticker"), "',\"fiscal_year\":' || coalesce(fiscal_year, 0)", "',\"fiscal_period\":' || " + _json("coalesce(fiscal_period, '')"), "',\"latest_period_end\":' || " + _json("left(coalesce(latest_period_end, ''), 10)")]
+    for key, column, form in guard.ENTRIES:
+        said = _json((_money if form is guard.dollars else _percent)(column))
+        more = "".join(f" || coalesce(',\"{k}\":\"' || nullif({c}, '') || '\"', '')" for k, c in (("fact_id", "revenue_actual_fact_id"), ("accession", "revenue_actual_accession"), ("filing_url", "revenue_actual_filing_url"))) if key == "revenue" else ""
+        parts.append(f"',\"{key}\":{{\"value\":' || {said}{more} || '}}'")
+    for key, formula, sources in guard.PROVENANCE:
+        parts.append(f"',\"{key}\":\"derived: {formula}. Sources: ' || " + " || ', ' || ".join(map(_source, sources)) + " || '\"'")
+    parts.append("',\"revenue_prior_forecast_model\":\"' || coalesce(nullif(revenue_prior_forecast_model, ''), 'N/A') || '\"'")
+    parts.append(f"',\"billings_provenance\":\"{guard.BILLINGS}\"'")
+    parts += [f"',\"{c}\":' || coalesce({c}, false)::VARCHAR" for c in ("has_restatement", "has_physical_inventory")]
+    return "SELECT v.ticker, " + " || ".join(parts) + " || '}' AS payload FROM variance v LEFT JOIN (SELECT ticker, has_restatement, has_physical_inventory FROM quality) q ON q.ticker = v.ticker"
+
+
+_SAID = "(CASE WHEN s LIKE '-%' THEN -1.0 ELSE 1.0 END * regexp_extract(s, '[0-9.]+')::DOUBLE * CASE right(s, 1) WHEN 'K' THEN 1e3 WHEN 'M' THEN 1e6 WHEN 'B' THEN 1e9 ELSE 1.0 END)"
+_ALLOWED = (
+    "SELECT ticker, list_sort(list_distinct(list_filter([" + ", ".join((_SAID.replace("s LIKE", f"{_money(c)} LIKE").replace("(s,", f"({_money(c)},") if f is guard.dollars else f"(printf('%.1f', {c} * 100)::DOUBLE / 100)") for _, c, f in guard.ENTRIES)
+    + "], lambda x: x IS NOT NULL))) AS vals, list_filter([revenue_actual_accession], lambda x: x IS NOT NULL) AS accs FROM variance"
+)
+_D, _P = r"-?\$\d+(?:\.\d+)?[KMB]?", r"-?\d+(?:\.\d+)?%"
+_B, _Y = r"\b\d{1,3}(?:,\d{3})+(?:\.\d+)?\b|\b\d+\.\d+\b|\b[1-9]\d{3,}\b", r"\b(?:19|20)\d{2}\b"
+_A = r"\d{10}-\d{2}-\d{6}"
+_SENTENCES = {
+    "cited": "'Revenue was ' || m || c || ' in 2024.'", "twice": "m || ' and ' || m || c", "uncited": "'Revenue was ' || m || '.'", "late": "m || repeat(' ', 45) || c", "unknown": "'Revenue was $98765.4B' || c",
+    "foreign": "'Revenue was ' || m || ' [0000000000-00-000000].'", "share": "'A margin of ' || p || ' in 1999.'", "shares": "'A margin of ' || p || ' after 987.6%.'", "word": "m || c || ', a Billion'",
+    "negative": "'It fell (3.2 %).'", "bare": "'In 2024, 1,234 units at ' || m || c", "decimal": "'Some 12.50 of 2024'", "partly": "m || ',000' || c",
+}
+_NEAR = "len(list_filter(vals, lambda r: abs(x - r) <= greatest(0.01, 0.005 * abs(x), 0.005 * abs(r)))) = 0"
+_TOKENS = " UNION ALL ".join(f"SELECT id, '{k}' AS kind, string_split(regexp_replace(t, '({p})', chr(1) || '\\1' || chr(1), 'g'), chr(1)) AS parts FROM g" for k, p in (("bare", _B), ("dollar", _D), ("percent", _P), ("year", _Y)))
+_BODIES["payloads"] = _payload()
+_BODIES["payload_inputs"] = f"SELECT ticker, array_to_string(list_transform(list_sort(list_distinct(list_append(vals, 7.5e6))), lambda x: format('{{:,.4f}}', x)), ' ') AS amounts, array_to_string(accs, ' ') AS accessions FROM ({_ALLOWED})"
+_BODIES["guarded_texts"] = rf"""SELECT ticker, name, msg AS violation FROM g LEFT JOIN (SELECT id, arg_min(msg, rank * 1000000 + pos) AS msg FROM (
+    {" UNION ALL ".join(f"SELECT id, 1 AS rank, {k} AS pos, 'forbidden word: {w}' AS msg FROM g WHERE contains(lower(t), '{w}')" for k, w in enumerate(guard.FORBIDDEN))}
+    UNION ALL SELECT id, 2, 0, 'negative in parentheses' FROM g WHERE regexp_matches(t, '\$\(\s*\d') OR regexp_matches(t, '\(\s*-?\d+(?:\.\d+)?\s*%\s*\)')
+    UNION ALL SELECT id, 3, k, CASE WHEN {_NEAR} THEN 'unknown amount: ' || s WHEN c = '' THEN 'no citation: ' || s ELSE 'unknown citation: ' || bad END FROM (
+      SELECT *, {_SAID} AS x, list_filter(regexp_extract_all(c, '{_A}'), lambda a: NOT list_contains(accs, a))[1] AS bad FROM (
+      SELECT id, k, s, vals, accs, regexp_extract(left(after, 50), '\[({_A}(?:,\s*{_A})*)\]', 1) AS c FROM (
+      SELECT id, k, vals, accs, parts[k] AS s, array_to_string(parts[k + 1:], '') AS after FROM (SELECT id, vals, accs, string_split(regexp_replace(t, '({_D})', chr(1) || '\1' || chr(1), 'g'), chr(1)) AS parts FROM g), LATERAL (SELECT unnest(range(2, len(parts) + 1, 2)) AS k))))
+      WHERE {_NEAR} OR c = '' OR bad IS NOT NULL
+    UNION ALL SELECT id, 4, k, 'unknown per cent: ' || s FROM (SELECT id, vals, k, parts[k] AS s, rtrim(parts[k], '%')::DOUBLE / 100 AS x FROM (SELECT id, vals, regexp_extract_all(t, '{_P}') AS parts FROM g), LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS k)) WHERE {_NEAR}
+    UNION ALL SELECT b.id, 5, b.start, 'bare number: ' || b.tok FROM tok b WHERE b.kind = 'bare' AND NOT EXISTS (SELECT 1 FROM tok s WHERE s.id = b.id AND s.kind != 'bare' AND s.start <= b.start AND s.stop >= b.stop)
+  ) GROUP BY id) USING (id)"""
+_GUARDED = f"""sv AS (SELECT ticker, {_money('revenue_actual')} AS m, ' [' || revenue_actual_accession || ']' AS c, {_percent('gross_margin_pct_actual')} AS p FROM variance),
+  g AS (SELECT row_number() OVER () AS id, ticker, name, coalesce(text, '') AS t, coalesce(vals, []) AS vals, coalesce(accs, []) AS accs FROM (
+    {" UNION ALL ".join(f"SELECT ticker, '{k}' AS name, {v} AS text FROM sv" for k, v in _SENTENCES.items())}
+    UNION ALL SELECT 'S' || (doc_id % 8), doc_id::VARCHAR, text FROM documents) LEFT JOIN ({_ALLOWED}) USING (ticker)),
+  tok AS (SELECT id, kind, tok, stop - length(tok) AS start, stop FROM (SELECT id, kind, k, parts[k] AS tok, sum(length(parts[k])) OVER (PARTITION BY id, kind ORDER BY k) AS stop FROM ({_TOKENS}), LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS k)) WHERE k % 2 = 0)
+"""
+
 SQL = {name: _PREFIX + body for name, body in _BODIES.items()}
+SQL["guarded_texts"] = _PREFIX.rstrip() + ",\n" + _GUARDED + _BODIES["guarded_texts"]
