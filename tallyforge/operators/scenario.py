@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import clamp
+from ..functions.text import clamp, period_label
 from .statements import latest_quarters
 
 HORIZON = 4
@@ -28,10 +28,10 @@ def history(income: DataFrame, balance: DataFrame, cash: DataFrame, n: int = 12)
     def cut(df: DataFrame, columns: list[str]) -> DataFrame:
         return df.where(F.col("period_type") == "Q").select(*key, *columns)
 
-    rows = cut(income, ["Revenue", "CostOfRevenue", "GrossProfit", "OperatingExpenses", "NetIncome"])
+    rows = cut(income, ["Revenue", "CostOfRevenue", "GrossProfit", "OperatingExpenses", "OperatingIncome", "NetIncome"])
     held = balance.where("TotalAssets IS NOT NULL AND TotalLiabilities IS NOT NULL AND TotalEquity IS NOT NULL")
     rows = rows.join(cut(held, ["Cash", "AccountsReceivable", "Inventory", "AccountsPayable", "DeferredRevenue", "TotalAssets", "TotalLiabilities", "TotalEquity"]), key)
-    rows = rows.join(cut(cash, ["OperatingCashFlow", "Depreciation", "StockBasedCompensation", "TreasuryStockRepurchases", "CapEx"]), key)
+    rows = rows.join(cut(cash, ["OperatingCashFlow", "InvestingCashFlow", "FinancingCashFlow", "Depreciation", "StockBasedCompensation", "TreasuryStockRepurchases", "CapEx"]), key)
     return latest_quarters(rows.withColumn("period_type", F.lit("Q")), n).drop("period_type")
 
 
@@ -131,18 +131,18 @@ OPENING = {
 }
 
 
-def project(rows: DataFrame, horizon: int = HORIZON) -> DataFrame:
-    """One row a ticker, scenario and quarter. Each quarter is a struct computed from the one before,
-    in a chain of projections that code generation keeps inside one stage."""
-    state = rows.withColumn("p", F.struct(*(F.expr(v).cast("double").alias(k) for k, v in OPENING.items())))
-    order = _levels()
-    for k in range(1, horizon + 1):
-        for names in order:
-            state = state.withColumns({f"x{k}_{n}": F.expr(_bound(STEPS[n], k)).cast("double") for n in names})
-        own = F.struct(*(F.col(f"x{k}_{n}").alias(n) for n in STEPS))
-        state = state.withColumns({"p": own, f"f{k}": own})
-    quarters = F.array(*(F.struct(F.lit(k).alias("step"), *(F.col(f"f{k}.{n}").alias(n) for n in STEPS)) for k in range(1, horizon + 1)))
-    return state.select("ticker", "scenario", F.inline(quarters))
+def project(rows: DataFrame, horizon: int | str = HORIZON) -> DataFrame:
+    """One row a ticker, scenario and quarter: a fold over the quarters whose state is the quarter before, so
+    neither the plan nor the code grows with the horizon, which may be a column of rows (0 or null: no quarter).
+
+    Inside a quarter each level of values is bound once by a transform of a one-element array, and
+    the next level reads it from there."""
+    steps = f"sequence(1, {horizon})" if isinstance(horizon, int) else f"if({horizon} >= 1, sequence(1, cast({horizon} as int)), array())"
+    empty = ", ".join(f"'{n}', cast({OPENING.get(n, 'null')} as double)" for n in STEPS)
+    fold = f"""aggregate({steps},
+      named_struct('p', named_struct({empty}), 'made', cast(array() as array<struct<step: int, {", ".join(f"{n}: double" for n in STEPS)}>>)),
+      (s, k) -> {_quarter()}, s -> s.made)"""
+    return rows.select("ticker", "scenario", F.inline(F.expr(fold)))
 
 
 _NAME = re.compile(r"(?<![\w.])([A-Z]\w*)")
@@ -156,9 +156,18 @@ def _levels() -> list[list[str]]:
     return [[n for n, d in depth.items() if d == k] for k in range(max(depth.values()) + 1)]
 
 
-def _bound(expression: str, k: int) -> str:
-    """Names of this quarter's own values, not preceded by `p.`, become its columns."""
-    return _NAME.sub(lambda m: f"x{k}_{m[1]}" if m[1] in STEPS else m[1], expression)
+def _quarter() -> str:
+    """The merge of the fold, SQL of s and k."""
+    known: dict[str, str] = {}
+    opened, closed = "", ""
+    for level, names in enumerate(_levels()):
+        made = {n: f"cast({_NAME.sub(lambda m: known.get(m[1], m[1]), STEPS[n]).replace('p.', 's.p.')} as double)" for n in names}
+        fields = ", ".join(f"'{n}', {v}" for n, v in (known | made).items())
+        opened += f"transform(array(named_struct({fields})), c{level} -> "
+        closed += ")[0]"
+        known = {n: f"c{level}.{n}" for n in known | made}
+    own = ", ".join(f"'{n}', {known[n]}" for n in STEPS)
+    return f"{opened}named_struct('p', named_struct({own}), 'made', concat(s.made, array(named_struct('step', k, {own})))){closed}"
 
 
 def balance_checks(projected: DataFrame, tolerance: float = BALANCE_TOLERANCE) -> DataFrame:
@@ -220,6 +229,40 @@ def statement_matrix(hist: DataFrame, projected: DataFrame, items: tuple[str, ..
     return long(hist, "slot", "historical").unionByName(long(projected.where("scenario = 'Base'"), "step", "forecast"))
 
 
+# Rows of the three statements, in their order.
+STATEMENTS = {
+    "Income_Statement": ("Revenue", "CostOfRevenue", "GrossProfit", "OperatingExpenses", "OperatingIncome", "NetIncome"),
+    "Balance_Sheet": ("Cash", "AccountsReceivable", "Inventory", "TotalAssets", "AccountsPayable", "DeferredRevenue", "TotalLiabilities", "TotalEquity"),
+    "Cash_Flow": ("NetIncome", "Depreciation", "StockBasedCompensation", "OperatingCashFlow", "CapEx", "InvestingCashFlow", "TreasuryStockRepurchases", "FinancingCashFlow"),
+}
+PROJECTED = {"OperatingCashFlow": "OCF", "InvestingCashFlow": "InvestingCF", "FinancingCashFlow": "FinancingCF", "StockBasedCompensation": "SBC", "TreasuryStockRepurchases": "Buybacks"}
+
+
+def statement_tables(hist: DataFrame, projected: DataFrame) -> DataFrame:
+    """The three statement matrices, long: ticker, statement, line (position), item, slot, kind, label, value; history first,
+    then the base projection. Inventory shows for a ticker that has any. Margins, the balance check and
+    free cash flow follow their statements; a missing value stays missing."""
+
+    def long(df: DataFrame, slot: str, kind: str, label: Column, names: dict[str, str]) -> DataFrame:
+        def v(item: str) -> Column:
+            return F.col(names.get(item, item)).cast("double")
+
+        more = {
+            ("Income_Statement", "GrossMarginPct"): v("GrossProfit") / F.when(v("Revenue") > 0, v("Revenue")), ("Balance_Sheet", "BalanceCheck"): v("TotalAssets") - v("TotalLiabilities") - v("TotalEquity"),
+            ("Cash_Flow", "FreeCashFlow"): v("OperatingCashFlow") - v("CapEx"),
+        }
+        cells = [(s, k, i, v(i)) for s, items in STATEMENTS.items() for k, i in enumerate(items, 1)]
+        cells += [(s, len(STATEMENTS[s]) + 1, i, x) for (s, i), x in more.items()]
+        own = F.array(*(F.struct(F.lit(s).alias("statement"), F.lit(k).alias("line"), F.lit(i).alias("item"), x.alias("value")) for s, k, i, x in cells))
+        return df.select("ticker", F.col(slot).cast("int").alias("slot"), F.lit(kind).alias("kind"), label.alias("label"), F.inline(own))
+
+    past = long(hist, "slot", "historical", period_label("fiscal_year", "fiscal_period"), {})
+    ahead = long(projected.where("scenario = 'Base'"), "step", "forecast", F.concat(F.lit("Q"), F.col("step").cast("string"), F.lit("(F)")), PROJECTED)
+    stocked = hist.groupBy("ticker").agg(F.bool_or(F.coalesce("Inventory", F.lit(0.0)) != 0).alias("stocked_"))
+    rows = past.unionByName(ahead).join(stocked, "ticker", "left")
+    return rows.where((F.col("item") != "Inventory") | F.coalesce("stocked_", F.lit(False))).drop("stocked_")
+
+
 def kpis(hist: DataFrame, projected: DataFrame) -> DataFrame:
     """Margins and revenue of history and projection, long."""
     cols = ["ticker", "slot", "kind", "item", "value"]

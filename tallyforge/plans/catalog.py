@@ -338,8 +338,16 @@ def base_assumptions(spark, d):
 
 @query
 def scenario_forecast(spark, d):
-    columns = ["ticker", "scenario", "step", "Revenue", "GrossProfit", "NetIncome", "OCF", "Cash", "TotalAssets", "TotalLiabilities", "TotalEquity", "BalanceCheck"]
-    return rounded(scenario.project(scenario.scenarios(scenario.assumptions(Tables(spark, d).history))).select(*columns), 4)
+    """All outputs of a projected quarter; 0.0 is added so that no zero has a sign."""
+    rows = rounded(scenario.project(scenario.scenarios(scenario.assumptions(Tables(spark, d).history))), 4)
+    return rows.select("ticker", "scenario", "step", *((F.col(n) + F.lit(0.0)).alias(n) for n in scenario.STEPS))
+
+
+@query
+def statement_tables(spark, d):
+    t = Tables(spark, d)
+    projected = scenario.project(scenario.scenarios(scenario.assumptions(t.history)))
+    return rounded(scenario.statement_tables(t.history, projected), 4).withColumn("value", F.col("value") + F.lit(0.0))
 
 
 @query

@@ -186,8 +186,8 @@ FROM snapped s JOIN ({_quarterly("Revenue")}) a ON a.ticker = s.ticker AND a.per
 
 _HIST = """
 SELECT *, (row_number() OVER (PARTITION BY ticker ORDER BY fiscal_year, fiscal_period, period_end))::INT AS slot FROM (
-SELECT i.ticker, i.period_end, i.fiscal_year, i.fiscal_period, i.Revenue, i.CostOfRevenue, i.GrossProfit, i.OperatingExpenses, i.NetIncome, b.Cash, b.AccountsReceivable, b.Inventory, b.AccountsPayable, b.DeferredRevenue, b.TotalAssets, b.TotalLiabilities, b.TotalEquity,
-  c.OperatingCashFlow, c.Depreciation, c.StockBasedCompensation, c.TreasuryStockRepurchases, c.CapEx
+SELECT i.ticker, i.period_end, i.fiscal_year, i.fiscal_period, i.Revenue, i.CostOfRevenue, i.GrossProfit, i.OperatingExpenses, i.OperatingIncome, i.NetIncome, b.Cash, b.AccountsReceivable, b.Inventory, b.AccountsPayable, b.DeferredRevenue, b.TotalAssets, b.TotalLiabilities, b.TotalEquity,
+  c.OperatingCashFlow, c.InvestingCashFlow, c.FinancingCashFlow, c.Depreciation, c.StockBasedCompensation, c.TreasuryStockRepurchases, c.CapEx
 FROM inc i JOIN bs b ON b.ticker = i.ticker AND b.period_end = i.period_end AND b.fiscal_year = i.fiscal_year AND b.fiscal_period = i.fiscal_period AND b.period_type = 'Q'
 JOIN cf c ON c.ticker = i.ticker AND c.period_end = i.period_end AND c.fiscal_year = i.fiscal_year AND c.fiscal_period = i.fiscal_period AND c.period_type = 'Q'
 WHERE i.period_type = 'Q' AND b.TotalAssets IS NOT NULL AND b.TotalLiabilities IS NOT NULL AND b.TotalEquity IS NOT NULL
@@ -312,6 +312,25 @@ _FILLED = ", ".join(
 )
 _FMT = "CASE WHEN x IS NULL THEN NULL ELSE CASE WHEN x < 0 THEN '-' ELSE '' END || '$' || CASE WHEN abs(x) >= 1e9 THEN printf('%.1f', abs(x) / 1e9) || 'B' WHEN abs(x) >= 1e6 THEN printf('%.1f', abs(x) / 1e6) || 'M' WHEN abs(x) >= 1e3 THEN printf('%.0f', abs(x) / 1e3) || 'K' ELSE printf('%.0f', abs(x)) END END"
 
+_OUTPUTS = (
+    "Revenue CostOfRevenue GrossProfit OperatingExpenses OperatingIncome InterestExpense PreTaxIncome Tax NetIncome CapEx SBC Buybacks DebtAmort Depreciation AccountsReceivable Inventory AccountsPayable DeferredRevenue TotalEquity OCF "
+    "InvestingCF FinancingCF NetCashChange BegCash Cash EndCash Debt OtherAssets OtherLiabilities TotalAssets TotalLiabilities BalanceCheck"
+)
+_ALL = """SELECT p.ticker, p.scenario, p.step, rev AS Revenue, rev - gp AS CostOfRevenue, gp AS GrossProfit, opex AS OperatingExpenses, gp - opex AS OperatingIncome, 0.0::DOUBLE AS InterestExpense, gp - opex AS PreTaxIncome,
+  greatest(0, gp - opex) * tax_rate AS Tax, ni AS NetIncome, rev * capex_pct_of_revenue AS CapEx, sbc_qtrly AS SBC, buybacks_qtrly AS Buybacks, 0.0::DOUBLE AS DebtAmort, depreciation AS Depreciation, p.ar AS AccountsReceivable, p.inv AS Inventory,
+  p.ap AS AccountsPayable, deferred AS DeferredRevenue, eq AS TotalEquity, ocf AS OCF, -rev * capex_pct_of_revenue AS InvestingCF, -buybacks_qtrly AS FinancingCF, ocf - rev * capex_pct_of_revenue - buybacks_qtrly AS NetCashChange,
+  lag(p.cash) OVER (PARTITION BY p.ticker, p.scenario ORDER BY p.step) AS BegCash, p.cash AS Cash, p.cash AS EndCash, 0.0::DOUBLE AS Debt, p.oa AS OtherAssets, total_liabilities - s.ap - deferred AS OtherLiabilities, ta AS TotalAssets, tl AS TotalLiabilities, bc AS BalanceCheck
+  FROM proj p JOIN scen s ON s.ticker = p.ticker AND s.scenario = p.scenario"""
+_CELLS = ", ".join(
+    f"{{'s': '{st}', 'l': {k}, 'i': '{i}', 'v': {v}}}"
+    for st, items in (
+        ("Income_Statement", "Revenue CostOfRevenue GrossProfit OperatingExpenses OperatingIncome NetIncome GrossMarginPct"),
+        ("Balance_Sheet", "Cash AccountsReceivable Inventory TotalAssets AccountsPayable DeferredRevenue TotalLiabilities TotalEquity BalanceCheck"),
+        ("Cash_Flow", "NetIncome Depreciation StockBasedCompensation OperatingCashFlow CapEx InvestingCashFlow TreasuryStockRepurchases FinancingCashFlow FreeCashFlow"),
+    )
+    for k, i in enumerate(items.split(), 1)
+    for v in [{"GrossMarginPct": "GrossProfit / CASE WHEN Revenue > 0 THEN Revenue END", "BalanceCheck": "TotalAssets - TotalLiabilities - TotalEquity", "FreeCashFlow": "OperatingCashFlow - CapEx"}.get(i, i)]
+)
 _BODIES = {
     "facts": "SELECT * FROM facts",
     "canonical_facts": "SELECT * FROM canonical",
@@ -372,9 +391,14 @@ _BODIES = {
     "forecast_scorecard": f"SELECT * REPLACE ({_r('Revenue yhat variance')}, round(variance_pct, 6) AS variance_pct) FROM score",
     "forecast_overlay": f"WITH_a AS ({_quarterly('Revenue')})",
     "cv_error_summary": "SELECT model, round(avg(abs(variance)), 4) AS mae, round(avg(abs(variance) / CASE WHEN Revenue > 0 THEN Revenue END), 6) AS mape, count(*) AS n FROM score GROUP BY model",
-    "history_frame": f"SELECT * REPLACE ({_r('Revenue CostOfRevenue GrossProfit OperatingExpenses NetIncome Cash AccountsReceivable Inventory AccountsPayable DeferredRevenue TotalAssets TotalLiabilities TotalEquity OperatingCashFlow Depreciation StockBasedCompensation TreasuryStockRepurchases CapEx')}) FROM hist",
+    "history_frame": f"SELECT * REPLACE ({_r('Revenue CostOfRevenue GrossProfit OperatingExpenses OperatingIncome NetIncome Cash AccountsReceivable Inventory AccountsPayable DeferredRevenue TotalAssets TotalLiabilities TotalEquity OperatingCashFlow InvestingCashFlow FinancingCashFlow Depreciation StockBasedCompensation TreasuryStockRepurchases CapEx')}) FROM hist",
     "base_assumptions": f"SELECT * REPLACE ({_r('revenue_growth_qoq gross_margin_pct opex_growth_qoq capex_pct_of_revenue dso_days dpo_days dio_days tax_rate debt_amortization_qoq sbc_qtrly buybacks_qtrly opex_trailing revenue_last depreciation cash ar inventory ap deferred total_assets total_liabilities equity', 6)}) FROM assume",
-    "scenario_forecast": "SELECT ticker, scenario, step, round(rev, 4) AS Revenue, round(gp, 4) AS GrossProfit, round(ni, 4) AS NetIncome, round(ocf, 4) AS OCF, round(cash, 4) AS Cash, round(ta, 4) AS TotalAssets, round(tl, 4) AS TotalLiabilities, round(eq, 4) AS TotalEquity, round(bc, 4) AS BalanceCheck FROM proj WHERE step > 0",
+    "scenario_forecast": f"SELECT ticker, scenario, step, {_r(_OUTPUTS).replace(', 4)', ', 4) + 0')} FROM ({_ALL}) WHERE step > 0",
+    "statement_tables": f"""SELECT ticker, statement, line, item, slot, kind, label, round(value, 4) + 0 AS value FROM (
+  SELECT ticker, slot, kind, label, u.s AS statement, u.l::INT AS line, u.i AS item, u.v::DOUBLE AS value, ticker IN (SELECT ticker FROM hist WHERE Inventory != 0) AS stocked FROM (
+    SELECT ticker, slot, 'historical' AS kind, fiscal_period || '/FY' || fiscal_year AS label, Revenue, CostOfRevenue, GrossProfit, OperatingExpenses, OperatingIncome, NetIncome, Cash, AccountsReceivable, Inventory, TotalAssets, AccountsPayable, DeferredRevenue, TotalLiabilities, TotalEquity, Depreciation, StockBasedCompensation, OperatingCashFlow, CapEx, InvestingCashFlow, TreasuryStockRepurchases, FinancingCashFlow FROM hist
+    UNION ALL SELECT ticker, step, 'forecast', 'Q' || step || '(F)', Revenue, CostOfRevenue, GrossProfit, OperatingExpenses, OperatingIncome, NetIncome, Cash, AccountsReceivable, Inventory, TotalAssets, AccountsPayable, DeferredRevenue, TotalLiabilities, TotalEquity, Depreciation, SBC, OCF, CapEx, InvestingCF, Buybacks, FinancingCF FROM ({_ALL}) WHERE step > 0 AND scenario = 'Base'),
+  unnest([{_CELLS}]) t(u)) WHERE item != 'Inventory' OR stocked""",
     "balance_check": "SELECT ticker, scenario, round(max(abs(bc)), 4) AS max_abs_check, max(abs(bc)) <= 1e6 AS balanced FROM proj WHERE step > 0 GROUP BY ALL",
     "ocf_residual": """SELECT ticker, round(coalesce(max(gap), 0), 4) AS max_residual, coalesce(max(gap), 0) > 5e6 AS warn FROM (SELECT ticker, slot, max(slot) OVER (PARTITION BY ticker) AS n, CASE WHEN coalesce(OperatingCashFlow, 0) != 0 THEN abs(
   coalesce(NetIncome, 0) + coalesce(Depreciation, 0) + coalesce(StockBasedCompensation, 0) - (coalesce(AccountsReceivable, 0) - lag(coalesce(AccountsReceivable, 0)) OVER w) - (coalesce(Inventory, 0) - lag(coalesce(Inventory, 0)) OVER w)
