@@ -56,8 +56,9 @@ OFTEN, ORDERED = 2, 1 << 18
 FEW = 8
 #: Rounds of pivots; they move work only.
 ROUNDS = 3
-#: Bytes of input for each hash range, up to MANY of them, and beyond; least number of ranges.
-RANGE_BYTES, MANY, FAR_BYTES, RANGES = 8 << 20, 1 << 14, 256 << 20, 64
+#: Bytes of input for each hash range, and least number of ranges. A task sends a range what it has
+#: for it, so there are no more rows than postings however many ranges there are.
+RANGE_BYTES, RANGES = 8 << 20, 64
 HELD, COUNTED, BLOCK, BLOCK_SIZE = 1 << 19, 6 << 20, 128, 1_500_000
 _BYTES, _PLACE = random_table(256, 21), random_table(WORDS, 22) | U64(1)
 _SPACE = np.zeros(256, dtype=bool)
@@ -454,7 +455,7 @@ def linked(docs: DataFrame, words: int, near: int, text: str, key: str) -> DataF
     """One row per document: doc, tid (a hash of the text), n, and `first`, the struct (nameless,
     doc, tid) of its component's document of least key. Reads a table that stays."""
     size = input_bytes(docs, text)
-    ranges = max(RANGES, min(MANY, size // RANGE_BYTES), size // FAR_BYTES)
+    ranges = max(RANGES, size // RANGE_BYTES)
     body = F.coalesce(F.col(text), F.lit(""))
     own = docs.select(F.col(key).alias("doc"), F.xxhash64(body).alias("tid"), body.alias("body"))
     read = cut(own.mapInArrow(freed(read_sets(words)), "doc long, tid long, n long, class long, token long, times long"), "sets")

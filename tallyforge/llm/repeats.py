@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 from array import array
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,8 @@ HOT = 16384
 #: Bytes of input for each hash range and each part of the anchors, least number of them, anchors a
 #: task holds at once, symbols in a batch of suffix arrays.
 RANGE_BYTES, PART_BYTES, RANGES, PARTS, HELD, BATCH = 6 << 20, 3 << 20, 96, 48, 1 << 19, 1 << 19
+#: Ranges that the bits beside a narrowed hash can name; what is more is split by the hash itself.
+NAMED = 1 << 15
 _BYTES = random_table(256, 11)
 LOW48 = U64((1 << 48) - 1)
 
@@ -97,23 +100,29 @@ def text_id(raw: bytes) -> bytes:
     return hashlib.md5(raw, usedforsecurity=False).digest()[:12]
 
 
-def sketches(ranges: int):
-    """Stage 1, map side: (range, text ids, counts, hashes), each packed."""
+def split(home: np.ndarray, low: np.ndarray, parts: int) -> np.ndarray:
+    """The group of a hash: its range, which 16 bits name, in as many parts as the input's size asks for."""
+    return home * parts + (low >> U64(32)).astype(np.int64) * parts // (1 << 16)
+
+
+def sketches(ranges: int, parts: int = 1):
+    """Stage 1, map side: (group, text ids, counts, hashes), each packed. A task sends a group what it has for
+    it, so there are no more rows than hashes however many groups there are."""
 
     def flush(ids: list[bytes], found: list[np.ndarray]) -> pa.RecordBatch:
         h = np.concatenate(found)
         own = np.repeat(np.arange(len(ids), dtype=np.int64), [len(x) for x in found])
         home, low = narrowed(h, ranges)
+        home = split(home, low, parts)
         by = np.argsort(home, kind="stable")
         home, low, own = home[by], low[by], own[by]
-        cuts = np.searchsorted(home, np.arange(ranges + 1))
+        edge = np.flatnonzero(np.append(True, np.diff(home) != 0))
         six = np.ascontiguousarray(low.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
         all_ids = np.frombuffer(b"".join(ids), dtype=np.uint8).reshape(-1, 12)
         rows = []
-        for k in np.flatnonzero(np.diff(cuts)):
-            a, b = cuts[k], cuts[k + 1]
+        for a, b in zip(edge, np.append(edge[1:], len(home)), strict=True):
             head = np.flatnonzero(np.append(True, np.diff(own[a:b]) != 0))
-            rows.append((int(k), all_ids[own[a:b][head]].tobytes(), np.diff(np.append(head, b - a)).astype(np.uint32).tobytes(), six[a:b].tobytes()))
+            rows.append((int(home[a]), all_ids[own[a:b][head]].tobytes(), np.diff(np.append(head, b - a)).astype(np.uint32).tobytes(), six[a:b].tobytes()))
         k, a, b, c = zip(*rows, strict=True)
         return pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(c, pa.binary())], ["range", "ids", "counts", "hashes"])
 
@@ -137,9 +146,9 @@ def sketches(ranges: int):
     return run
 
 
-def shared(part: pa.Table) -> pa.Table:
-    """Stage 1, one range: of each text, its hashes that other texts hold too (up to HOT in all, more)."""
-    home = U64(part.column("range")[0].as_py())
+def shared(part: pa.Table, parts: int = 1) -> pa.Table:
+    """Stage 1, one group: of each text, its hashes that other texts hold too (up to HOT in all, more)."""
+    home = U64(part.column("range")[0].as_py() // parts)
     six = np.frombuffer(b"".join(part.column("hashes").to_pylist()), dtype=np.uint8).reshape(-1, 6)
     h = np.zeros((len(six), 8), dtype=np.uint8)
     h[:, :6] = six
@@ -399,7 +408,20 @@ def spans(size: int, whole: bool, at: np.ndarray, mask: np.ndarray) -> tuple[np.
     return np.flatnonzero(inside == 1), np.flatnonzero(inside == -1)
 
 
-def applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def left_over(raw: bytes, start: list[int], end: list[int], characters: bool) -> bytes:
+    """What is left of a text without its runs; with `characters`, without those of which a run holds a part, too."""
+    out, at = [], 0
+    for a, b in zip(start, end, strict=True):
+        while characters and a and raw[a] & 0xC0 == 0x80:
+            a -= 1
+        while characters and b < len(raw) and raw[b] & 0xC0 == 0x80:
+            b += 1
+        out.append(raw[at : max(a, at)])
+        at = max(at, b)
+    return b"".join([*out, raw[at:]])
+
+
+def applied(batches: Iterator[pa.RecordBatch], characters: bool = False) -> Iterator[pa.RecordBatch]:
     """Stage 4: texts (doc, body, tid, copies, ordinals, found, rest) to their runs and what is left."""
     for batch in batches:
         for a, b in pieces(batch.column(1)):
@@ -408,25 +430,26 @@ def applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for raw, tid, copies, ordinals, found in zip(texts_of(part.column(1)), *(part.column(k).to_pylist() for k in (2, 3, 4)), part.column(5), strict=True):
                 ordinal = next((x["ordinal"] for x in ordinals or () if x["tid"] == tid), 0)
                 start, end = spans(len(raw), tid in (copies or ()), *places(found.values, ordinal))
-                kept = b"".join(raw[x:y] for x, y in zip([0, *end.tolist()], [*start.tolist(), len(raw)], strict=True))
-                rows.append((len(raw), kept, start.tolist(), end.tolist()))
+                rows.append((len(raw), left_over(raw, start.tolist(), end.tolist(), characters), start.tolist(), end.tolist()))
             columns = list(zip(*rows, strict=True)) or [()] * 4
             kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), *part.columns[6:]], ["key", "n_bytes", "kept", "starts", "ends", *(["rest"] if part.num_columns > 6 else [])])
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", rest: bool = False) -> DataFrame:
-    """One row per document: key, n_bytes, kept (the bytes left), starts and ends of removed runs,
-    and, if asked for, `rest`, a struct of its other columns."""
+def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", rest: bool = False, characters: bool = False) -> DataFrame:
+    """One row per document: key, n_bytes, kept (the bytes left; with `characters`, without the rest of
+    characters that are cut), starts and ends of removed runs, and, if asked for, `rest`, a struct of its other columns."""
     spark = docs.sparkSession
     size = input_bytes(docs, text)
-    ranges, homes = min(1 << 15, max(RANGES, size // RANGE_BYTES)), max(PARTS, size // PART_BYTES)
+    groups, homes = max(RANGES, size // RANGE_BYTES), max(PARTS, size // PART_BYTES)
+    parts = -(-groups // NAMED)
+    ranges = -(-groups // parts)
     raw = F.coalesce(F.col(text), F.lit(""))
     others = [F.struct(*(docs[c] for c in docs.columns if c != text)).alias("rest")] if rest else []
     own = docs.select(*others, F.col(key).alias("doc"), raw.alias("body"), F.unhex(F.substring(F.md5(raw), 1, 24)).alias("tid"))
 
-    packed = own.select("body").mapInArrow(freed(sketches(ranges)), "range int, ids binary, counts binary, hashes binary")
-    found = cut(packed.groupBy("range").applyInArrow(freed_group(shared), "tid binary, cold binary, hot binary"), "shared")
+    packed = own.select("body").mapInArrow(freed(sketches(ranges, parts)), "range int, ids binary, counts binary, hashes binary")
+    found = cut(packed.groupBy("range").applyInArrow(freed_group(partial(shared, parts=parts)), "tid binary, cold binary, hot binary"), "shared")
     first = own.groupBy("tid").agg(F.min("doc").alias("first"))
     # texts of a doc_id beyond its first are told apart by an ordinal; as a rule there are none
     several = own.where("doc IS NOT NULL").select("doc", "tid").distinct().withColumn("ordinal", F.row_number().over(Window.partitionBy("doc").orderBy("tid")) - 1)
@@ -450,16 +473,16 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", res
     schema = T.StructType.fromDDL("key long, n_bytes long, kept binary, starts array<long>, ends array<long>")
     for c in also:
         schema = schema.add(out.schema[c])
-    return out.mapInArrow(freed(applied), schema).withColumnRenamed("key", key)
+    return out.mapInArrow(freed(partial(applied, characters=characters)), schema).withColumnRenamed("key", key)
 
 
 def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", chars: str = "n_chars") -> DataFrame:
     """The documents with their texts cut, and their columns as they were but for text and chars
     (the text's length, if there is such a column). Characters of which a part was removed go
-    whole, as do U+FFFD in cut texts; documents that lose their last word go."""
-    found = remove_repeats(docs, text, key, rest=True)
+    whole, and nothing else does; documents that lose their last word go."""
+    found = remove_repeats(docs, text, key, rest=True, characters=True)
     touched = F.size("starts") > 0
-    body = F.when(touched, F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"), F.lit(""))).otherwise(F.col("kept").cast("string"))
+    body = F.col("kept").cast("string")
     rows = found.select("rest", body.alias("body"), touched.alias("touched")).where(~F.col("touched") | F.rlike("body", F.lit(WORD)))
 
     def column(c: str):
