@@ -2,7 +2,13 @@
 
 Quality rules drop documents; of each group of near copies the least doc_id stays; strings of 50
 bytes that an earlier document holds are cut out; sources are mixed to their target weights, with
-repeats; what is left is encoded. An empty table passes through all stages.
+repeats; what is left is encoded.
+
+Null and empty texts fail the quality rules. Rows without a doc_id have no key: no stage merges or
+cuts them as copies of each other, and they are no earlier document than any. Of rows equal in doc_id and text one stays. Very
+long texts pass whole. Other columns, of any name, come through all stages but the last, which adds
+its own. An empty table passes through all stages. Each stage is a table in the shared folder, deleted when the
+next one is written, so a lost executor costs the tasks it ran and not the stages before.
 """
 
 from __future__ import annotations
@@ -10,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.llm import jaccard, mixture, pieces, quality, repeats
-from tallyforge.llm.common import cut, table
+from tallyforge.llm.common import cut, release, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +52,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, former = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
         docs = cut(stage(spark, docs, sf_dir), name)
+        release(*former)
+        former = [docs]
     return docs
