@@ -4,14 +4,16 @@ Ratios are rounded to six digits and sums of money to four, as in the SQL they a
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fiscal, text
 from ..operators import dedupe, guard, metrics, modelling, quality, scenario, star, statements, timeseries, variance
-from ..sources import adapter, companyfacts, sinks
+from ..sources import adapter, companyfacts, readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -585,3 +587,127 @@ def markdown_metrics(spark, d):
     """Rows of a Markdown table of each quarter's margins."""
     rows = metrics.margins(Tables(spark, d).financials).select("ticker", "period_end", (F.col("Revenue") / 1e6).alias("revenue_millions"), "gross_margin", "yoy_growth")
     return sinks.markdown_lines(rows).select("ticker", "period_end", "line")
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{sinks.shared_dir(spark)}/{uuid.uuid4().hex}"
+
+
+@query
+def calendar_shift(spark, d):
+    """Dates a quarter back and two ahead, their calendar quarter, and the quarter starts that follow."""
+    days = star.distinct_values(Tables(spark, d).read("orders").select(F.col("o_orderdate").cast("date").alias("day")), "day")
+    rows = days.withColumns({"before": fiscal.shift_quarters("day", -1), "ahead": fiscal.shift_quarters("day", 2), "quarter": fiscal.calendar_quarter("day")})
+    return timeseries.quarter_starts(rows, "day", horizon=3)
+
+
+@query
+def prompt_bodies(spark, d):
+    """Prompts without their leading comment, and sources with a mark where they are missing."""
+    rows = Tables(spark, d).read("documents")
+    written = F.concat(F.lit("<!-- v1\n"), F.coalesce("lang", F.lit("")), F.lit(" -->\n\n"), F.coalesce("text", F.lit("")))
+    blank = F.when(F.col("doc_id") % 3 == 0, F.lit(" ")).when(F.col("doc_id") % 3 == 1, F.col("source"))
+    return rows.select("doc_id", F.md5(text.without_leading_comment(written)).alias("body_md5"), text.source(blank).alias("source"), text.period_label(F.col("doc_id") % 30 + 2000, F.concat(F.lit("Q"), F.col("doc_id") % 4 + 1)).alias("label"))
+
+
+@query
+def latest_models(spark, d):
+    """The model of each family with the greatest version, versions compared number by number."""
+    ids = Tables(spark, d).read("orders").select(F.concat_ws("-", F.lit("m"), F.col("o_orderkey") % 13, F.lit("x"), F.col("o_custkey") % 120).alias("id"))
+    families = [guard.best_model(ids, f).select(F.lit(f).alias("family"), "id") for f in ("m-1-", "m-12-", "x-7", "m-99-")]
+    return reduce(DataFrame.unionByName, families)
+
+
+@query
+def submission_lookup(spark, d):
+    """The first filing of a form, with and without an item, out of arrays of equal length."""
+    orders = Tables(spark, d).read("orders")
+    own = F.struct("o_orderkey", F.col("o_orderpriority").alias("form"), F.col("o_orderkey").cast("string").alias("no"), F.concat(F.lit("d"), "o_orderkey").alias("document"), F.concat_ws(", ", F.lit("1.01"), F.concat(F.lit("2.0"), (F.col("o_orderkey") % 5).cast("string"))).alias("items"))
+    rows = orders.groupBy("o_custkey").agg(F.array_sort(F.collect_list(own)).alias("o"))
+    rows = rows.select("o_custkey", F.col("o.form").alias("form"), F.col("o.no").alias("accessionNumber"), F.col("o.document").alias("primaryDocument"), F.col("o.items").alias("items"))
+    first = readers.first_submission(rows, "1-URGENT").select("o_custkey", F.col("submission.accessionNumber").alias("first_urgent"))
+    return first.join(readers.first_submission(rows, "1-URGENT", "2.03").select("o_custkey", F.col("submission.primaryDocument").alias("urgent_with_item")), "o_custkey")
+
+
+@query
+def resolved_companies(spark, d):
+    t = Tables(spark, d)
+    wanted = t.read("customer").select("c_custkey", F.concat(F.lit(" s"), (F.col("c_custkey") % 10).cast("string"), F.lit(" ")).alias("asked"))
+    return readers.resolve(t.companies, wanted, "asked").select("c_custkey", "cik", "fy_end_month")
+
+
+@query
+def sniffed_payloads(spark, d):
+    """Payloads as they are, inside a fence, and texts that hold none."""
+    rows = Tables(spark, d).read("events").select("event_id", F.col("props").cast("string").alias("p"))
+    fenced = F.concat(F.lit("Note.\n```json\n"), "p", F.lit("\n```\nEnd."))
+    raw = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("  "), "p")).when(F.col("event_id") % 3 == 1, fenced).otherwise(F.lit("no payload"))
+    return rows.withColumn("raw", raw).select("event_id", readers.payload_json("raw").alias("payload"))
+
+
+@query
+def facts_round_trip(spark, d):
+    """Facts written by ticker and read again, some of them through a registered view."""
+    path = _own_folder(spark)
+    sinks.facts(Tables(spark, d).facts, path)
+    back = spark.read.parquet(path)
+    name = f"facts_{uuid.uuid4().hex}"
+    sinks.views({name: back})
+    return spark.table(name).groupBy("ticker", "line_item").agg(F.count("*").alias("n"), F.round(F.sum(F.col("value").cast("decimal(28,4)")), 2).cast("double").alias("total"))
+
+
+@query
+def forecast_files(spark, d):
+    """Forecast files of two models: one stamped, one with a column more, one file that is not there."""
+    rows, path = Tables(spark, d).forecasts.drop("forecast_run_date"), _own_folder(spark)
+    sinks.forecasts(rows.where("model = 'lasso'"), f"{path}/lasso", "2024-02-01")
+    sinks.forecasts(rows.where("model = 'arima'").withColumn("note", F.col("ticker")), f"{path}/arima", "2024-03-01")
+    return rounded(readers.forecasts(spark, f"{path}/lasso", f"{path}/arima", f"{path}/none").select("ticker", "model", "period_end", "yhat", "note", "forecast_run_date"))
+
+
+@query
+def vintage_log(spark, d):
+    """Three runs appended to a log, the last of which adds nothing, then read by run date."""
+    rows = Tables(spark, d).forecasts
+    log = sinks.VintageLog(spark, _own_folder(spark))
+    added = [log.append(part) for part in (rows.where("model != 'lasso'"), rows.where("model != 'arima'"), rows)]
+    seen = log.read(readers.FORECAST_DDL).groupBy("model", "forecast_run_date").agg(F.count("*").alias("n"), F.sum(F.floor("yhat")).alias("whole_yhat"))
+    return seen.select("*", *(F.lit(n).cast("long").alias(f"added_{k}") for k, n in enumerate(added)))
+
+
+@query
+def persisted_statements(spark, d):
+    """The statements as persisted tables, over facts saved in buckets, with the counts seen while writing."""
+    t, path, own = Tables(spark, d, saved=True), _own_folder(spark), uuid.uuid4().hex
+    counts = sinks.tables({f"{n}_{own}": df for n, df in (("income", t.income), ("balance", t.balance), ("cash", t.cash))}, path)
+    rows = [spark.table(k).groupBy("ticker").agg(F.count("*").alias("n")).select(F.lit(k.partition("_")[0]).alias("name"), "ticker", "n", F.lit(n).cast("long").alias("counted")) for k, n in counts.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def csv_round_trip(spark, d):
+    """Ordered CSV of several files, read again."""
+    path = _own_folder(spark)
+    sinks.csv(Tables(spark, d).forecasts, path, ["forecast_run_date", "model", "ticker", "period_end"], files=4)
+    return rounded(readers.vintages(spark, path))
+
+
+@query
+def extract_columns(spark, d):
+    rows = sinks.extract(Tables(spark, d).financials.withColumn("filing_url", F.when(F.col("fiscal_period") != "Q2", F.col("filing_url"))).withColumn("value", F.when(F.col("fiscal_period") != "Q3", F.col("value"))))
+    return rounded(rows, 4)
+
+
+@query
+def weighted_items(spark, d):
+    """The items of each ticker by the size of what they hold, as coefficients are listed."""
+    rows = Tables(spark, d).canonical.groupBy("ticker", F.col("line_item").alias("feature")).agg(F.sum(F.when(F.col("fiscal_period") == "Q1", F.col("value").cast("decimal(28,4)")).otherwise(0)).cast("double").alias("coefficient"))
+    return rounded(modelling.by_weight(rows), 4)
+
+
+@query
+def cv_summary(spark, d):
+    """Mean and sample deviation of forecast errors by model."""
+    t = Tables(spark, d)
+    rows = metrics.scorecard(t.financials, t.snapped).select("model", F.abs("variance").alias("mae"), F.abs("variance_pct").alias("mape"))
+    return rounded(modelling.cv_summary(rows), 4, mape_mean=6, mape_std=6)

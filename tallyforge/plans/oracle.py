@@ -524,5 +524,22 @@ _GUARDED = f"""sv AS (SELECT ticker, {_money('revenue_actual')} AS m, ' [' || re
   tok AS (SELECT id, kind, tok, stop - length(tok) AS start, stop FROM (SELECT id, kind, k, parts[k] AS tok, sum(length(parts[k])) OVER (PARTITION BY id, kind ORDER BY k) AS stop FROM ({_TOKENS}), LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS k)) WHERE k % 2 = 0)
 """
 
+_BODIES |= {
+    "calendar_shift": """SELECT day, (day - INTERVAL 3 MONTH)::DATE AS before, (day + INTERVAL 6 MONTH)::DATE AS ahead, quarter(day)::INT AS quarter, (s + to_months(3 * k::INT))::DATE AS period_start FROM (
+  SELECT day, CASE WHEN date_trunc('quarter', f) < f THEN date_trunc('quarter', f) + INTERVAL 3 MONTH ELSE date_trunc('quarter', f) END AS s FROM (SELECT DISTINCT o_orderdate::DATE AS day, (o_orderdate::DATE + INTERVAL 3 MONTH) AS f FROM orders WHERE o_orderdate IS NOT NULL)) CROSS JOIN range(3) r(k)""",
+    "prompt_bodies": "SELECT doc_id, md5(ltrim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS body_md5, CASE WHEN doc_id % 3 = 1 AND trim(source) != '' THEN source ELSE '<missing>' END AS source, 'Q' || (doc_id % 4 + 1) || '/FY' || (doc_id % 30 + 2000) AS label FROM documents",
+    "latest_models": """SELECT f AS family, (SELECT arg_max(id, v) FROM (SELECT DISTINCT id, list_transform(regexp_extract_all(id, '\\d+'), lambda x: x::INT) AS v FROM (SELECT concat_ws('-', 'm', o_orderkey % 13, 'x', o_custkey % 120) AS id FROM orders)) WHERE contains(id, f)) AS id FROM (VALUES ('m-1-'), ('m-12-'), ('x-7'), ('m-99-')) t(f)""",
+    "submission_lookup": "SELECT o_custkey, arg_min(o_orderkey::VARCHAR, o_orderkey) FILTER (o_orderpriority = '1-URGENT') AS first_urgent, arg_min('d' || o_orderkey, o_orderkey) FILTER (o_orderpriority = '1-URGENT' AND o_orderkey % 5 = 3) AS urgent_with_item FROM orders GROUP BY o_custkey",
+    "resolved_companies": "SELECT c_custkey, CASE WHEN c_custkey % 10 < 8 THEN lpad((c_custkey % 10 + 1)::VARCHAR, 10, '0') END AS cik, CASE WHEN c_custkey % 10 < 8 THEN ((c_custkey % 10 % 4) * 3 + 3)::INT END AS fy_end_month FROM customer",
+    "sniffed_payloads": "SELECT event_id, CASE WHEN event_id % 3 < 2 THEN props::VARCHAR END AS payload FROM events",
+    "facts_round_trip": "SELECT ticker, line_item, count(*) AS n, round(sum(value::DECIMAL(28, 4)), 2)::DOUBLE AS total FROM facts GROUP BY ALL",
+    "forecast_files": "SELECT ticker, model, period_end, round(yhat, 6) AS yhat, CASE WHEN model = 'arima' THEN ticker END AS note, CASE WHEN model = 'arima' THEN '2024-03-01' ELSE '2024-02-01' END AS forecast_run_date FROM forecasts WHERE model IN ('arima', 'lasso')",
+    "vintage_log": "SELECT model, forecast_run_date, count(*) AS n, sum(floor(yhat)::BIGINT)::BIGINT AS whole_yhat, (SELECT count(*) FROM (SELECT DISTINCT * FROM forecasts WHERE model != 'lasso')) AS added_0, (SELECT count(*) FROM (SELECT DISTINCT * FROM forecasts WHERE model = 'lasso')) AS added_1, 0::BIGINT AS added_2 FROM (SELECT DISTINCT * FROM forecasts) GROUP BY ALL",
+    "persisted_statements": "SELECT *, (sum(n) OVER (PARTITION BY name))::BIGINT AS counted FROM (SELECT name, ticker, count(*) AS n FROM (SELECT 'income' AS name, ticker FROM inc UNION ALL SELECT 'balance', ticker FROM bs UNION ALL SELECT 'cash', ticker FROM cf) GROUP BY ALL)",
+    "csv_round_trip": f"SELECT ticker, model, period_end, {_r('yhat yhat_lower_80 yhat_upper_80 yhat_lower_95 yhat_upper_95', 6)}, forecast_run_date FROM forecasts",
+    "extract_columns": "SELECT ticker, line_item, period_end::DATE AS period_end, fiscal_year, fiscal_period, CASE WHEN fiscal_period != 'Q3' THEN round(coalesce(value, 0), 4) ELSE 0 END AS value, accession_no, CASE WHEN fiscal_period != 'Q2' THEN filing_url ELSE '' END AS filing_url FROM fin",
+    "weighted_items": "SELECT ticker, line_item AS feature, round(sum(CASE WHEN fiscal_period = 'Q1' THEN value::DECIMAL(28, 4) ELSE 0 END)::DOUBLE, 4) AS coefficient FROM canonical GROUP BY ALL HAVING sum(CASE WHEN fiscal_period = 'Q1' THEN value::DECIMAL(28, 4) ELSE 0 END) != 0",
+    "cv_summary": "SELECT model, round(avg(abs(variance)), 4) AS mae_mean, round(stddev_samp(abs(variance)), 4) AS mae_std, round(avg(abs(variance_pct)), 6) AS mape_mean, round(stddev_samp(abs(variance_pct)), 6) AS mape_std FROM score GROUP BY model",
+}
 SQL = {name: _PREFIX + body for name, body in _BODIES.items()}
 SQL["guarded_texts"] = _PREFIX.rstrip() + ",\n" + _GUARDED + _BODIES["guarded_texts"]

@@ -76,7 +76,7 @@ def first_submission(rows: DataFrame, form: str, item: str | None = None) -> Dat
 
     def wanted(x):
         hit = x["form"] == form
-        return hit & F.array_contains(F.transform(F.split(x["items"], ","), F.trim), item) if item else hit
+        return hit & F.array_contains(F.transform(F.split(x["items"], ","), lambda i: F.trim(i)), item) if item else hit
 
     return rows.withColumn("submission", F.try_element_at(F.filter(zipped, wanted), F.lit(1)))
 

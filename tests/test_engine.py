@@ -203,6 +203,7 @@ def test_sinks_and_lookups(spark, make, tmp_path):
     assert {r.ticker: r.cik for r in known} == {" s1 ": "0000000002", "zz": None}
     subs = spark.createDataFrame([(["8-K", "8-K"], ["a", "b"], ["x", "y"], ["1.01", "2.02, 9.01"])], "form array<string>, accessionNumber array<string>, primaryDocument array<string>, items array<string>")
     assert readers.first_submission(subs, "8-K", "2.02").first().submission.accessionNumber == "b"
+    assert readers.first_submission(subs, "8-K", "9.01").first().submission.accessionNumber == "b"
     models = spark.createDataFrame([("m-4-1",), ("m-4-10",), ("n-9",)], "id string")
     assert guard.best_model(models, "m-").first().id == "m-4-10"
 
