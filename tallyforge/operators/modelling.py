@@ -173,22 +173,48 @@ def by_weight(coefficients: DataFrame) -> DataFrame:
     return coefficients.where("coefficient != 0").orderBy("ticker", F.abs("coefficient").desc(), "feature")
 
 
-def recursive_forecast(rows: DataFrame, horizon: int = HORIZON, floor: float = 0.5) -> DataFrame:
-    """Forecasts that feed on their own predictions, from a ridge of y on its lags 1 and 4; no value
-    falls below half of the one before: ticker, step, yhat."""
+def _minor(m: list[list[Column]], i: int, j: int) -> Column:
+    (a, b), (c, d) = ([x for k, x in enumerate(row) if k != j] for n, row in enumerate(m) if n != i)
+    return a * d - b * c
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.sort_values("period_end")["y"].to_numpy(dtype=float)
-        if len(y) < 8:
-            return pd.DataFrame(columns=["ticker", "step", "yhat"])
-        x = np.stack([y[3:-1], y[:-4], np.ones(len(y) - 4)], axis=1)
-        penalty = 1e-6 * np.trace(x.T @ x) / 3 * np.eye(3)
-        b, own = np.linalg.solve(x.T @ x + penalty, x.T @ y[4:]), list(y)
-        for _ in range(horizon):
-            own.append(max(float(np.dot([own[-1], own[-4], 1.0], b)), floor * own[-1]))
-        return pd.DataFrame({"ticker": pdf["ticker"].iloc[0], "step": range(1, horizon + 1), "yhat": own[-horizon:]})
-
-    return rows.where(F.col("y").isNotNull()).groupBy("ticker").applyInPandas(run, "ticker string, step int, yhat double")
+
+def _solved(m: list[list[Column]], t: list[Column]) -> list[Column]:
+    """The solution of a system of three equations, by cofactors."""
+    cofactor = [[_minor(m, i, j) * (-1) ** (i + j) for j in range(3)] for i in range(3)]
+    whole = m[0][0] * cofactor[0][0] + m[0][1] * cofactor[0][1] + m[0][2] * cofactor[0][2]
+    return [(t[0] * cofactor[0][j] + t[1] * cofactor[1][j] + t[2] * cofactor[2][j]) / F.nullif(whole, F.lit(0.0)) for j in range(3)]
+
+
+def recursive_forecast(rows: DataFrame, horizon: int = HORIZON, floor: float = 0.5, least: int = 8) -> DataFrame:
+    """Forecasts that feed on their own predictions, from a ridge of y on its lags 1 and 4; no value
+    falls below half of the one before: ticker, step, yhat. Tickers of under `least` values have none.
+
+    The fit needs sums of products only, which are aggregated a ticker; the forecast is a fold over the steps
+    whose state is the last four values."""
+    by = Window.partitionBy("ticker").orderBy("period_end")
+    own = rows.where(F.col("y").isNotNull()).select("ticker", "period_end", F.col("y").cast("double").alias("y"), F.lag("y", 1).over(by).cast("double").alias("a"), F.lag("y", 4).over(by).cast("double").alias("b"))
+    full = F.col("b").isNotNull()
+
+    def total(x: Column) -> Column:
+        return F.coalesce(F.sum(F.when(full, x)), F.lit(0.0))
+
+    a, b, y, one = F.col("a"), F.col("b"), F.col("y"), F.lit(1.0)
+    x = [a, b, one]
+    sums = {f"m{i}{j}": total(x[i] * x[j]) for i in range(3) for j in range(i, 3)} | {f"t{i}": total(x[i] * y) for i in range(3)}
+    last = F.slice(F.transform(F.array_sort(F.collect_list(F.struct("period_end", "y"))), lambda r: r["y"]), -4, 4)
+    fit = own.groupBy("ticker").agg(F.count("*").alias("n"), last.alias("last"), *(v.alias(k) for k, v in sums.items())).where(F.col("n") >= least)
+    penalty = 1e-6 * (F.col("m00") + F.col("m11") + F.col("m22")) / 3
+    m = [[F.col(f"m{min(i, j)}{max(i, j)}") + (penalty if i == j else 0.0) for j in range(3)] for i in range(3)]
+    beta = _solved(m, [F.col(f"t{i}") for i in range(3)])
+    fit = fit.select("ticker", "last", F.array(*beta).alias("beta"))
+
+    def step(s: Column, _: Column) -> Column:
+        c = F.col("beta")
+        ahead = c[0] * F.element_at(s, -1) + c[1] * F.element_at(s, -4) + c[2]
+        return F.array_append(s, F.greatest(ahead, floor * F.element_at(s, -1)))
+
+    made = F.slice(F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.col("last"), step), 5, horizon)
+    return fit.select("ticker", F.posexplode(made).alias("k", "yhat")).select("ticker", (F.col("k") + 1).alias("step"), "yhat")
 
 
 def percentiles(rows: DataFrame, by: list[str], column: str, at: tuple[float, ...] = (0.025, 0.1, 0.9, 0.975)) -> DataFrame:

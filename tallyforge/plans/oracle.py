@@ -525,6 +525,18 @@ _GUARDED = f"""sv AS (SELECT ticker, {_money('revenue_actual')} AS m, ' [' || re
 """
 
 _BODIES |= {
+    "recursive_forecast": f"""SELECT ticker, s.step::INT AS step, round(s.v, -3) AS yhat FROM (
+  SELECT ticker, unnest([{{'step': 1, 'v': f1}}, {{'step': 2, 'v': f2}}, {{'step': 3, 'v': f3}}, {{'step': 4, 'v': f4}}]) AS s FROM (
+  SELECT *, greatest(c0 * f3 + c1 * y4 + c2, 0.5 * f3) AS f4 FROM (SELECT *, greatest(c0 * f2 + c1 * y3 + c2, 0.5 * f2) AS f3 FROM (
+  SELECT *, greatest(c0 * f1 + c1 * y2 + c2, 0.5 * f1) AS f2 FROM (SELECT *, greatest(c0 * y4 + c1 * y1 + c2, 0.5 * y4) AS f1 FROM (
+  SELECT ticker, l[-4] AS y1, l[-3] AS y2, l[-2] AS y3, l[-1] AS y4,
+    (t0 * (p * q - h * h) - g0 * (t1 * q - h * t2) + g1 * (t1 * h - p * t2)) / det AS c0, (o * (t1 * q - h * t2) - t0 * (g0 * q - h * g1) + g1 * (g0 * t2 - t1 * g1)) / det AS c1,
+    (o * (p * t2 - t1 * h) - g0 * (g0 * t2 - t1 * g1) + t0 * (g0 * h - p * g1)) / det AS c2 FROM (
+  SELECT *, o * (p * q - h * h) - g0 * (g0 * q - h * g1) + g1 * (g0 * h - p * g1) AS det FROM (
+  SELECT ticker, l, aa + e AS o, bb + e AS p, n4 + e AS q, ab AS g0, a1 AS g1, b1 AS h, t0, t1, t2 FROM (SELECT *, 1e-6 * (aa + bb + n4) / 3 AS e FROM (
+  SELECT ticker, count(*) AS n, list(y ORDER BY period_end) AS l, sum(a * a) FILTER (b IS NOT NULL) AS aa, sum(b * b) AS bb, sum(a * b) AS ab, sum(a) FILTER (b IS NOT NULL) AS a1, sum(b) AS b1, count(b)::DOUBLE AS n4,
+    sum(a * y) FILTER (b IS NOT NULL) AS t0, sum(b * y) AS t1, sum(y) FILTER (b IS NOT NULL) AS t2 FROM (
+  SELECT *, lag(y) OVER w AS a, lag(y, 4) OVER w AS b FROM series WHERE y IS NOT NULL WINDOW w AS ({_BY})) GROUP BY ticker) WHERE n >= 8)))))))))""",
     "calendar_shift": """SELECT day, (day - INTERVAL 3 MONTH)::DATE AS before, (day + INTERVAL 6 MONTH)::DATE AS ahead, quarter(day)::INT AS quarter, (s + to_months(3 * k::INT))::DATE AS period_start FROM (
   SELECT day, CASE WHEN date_trunc('quarter', f) < f THEN date_trunc('quarter', f) + INTERVAL 3 MONTH ELSE date_trunc('quarter', f) END AS s FROM (SELECT DISTINCT o_orderdate::DATE AS day, (o_orderdate::DATE + INTERVAL 3 MONTH) AS f FROM orders WHERE o_orderdate IS NOT NULL)) CROSS JOIN range(3) r(k)""",
     "prompt_bodies": "SELECT doc_id, md5(ltrim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS body_md5, CASE WHEN doc_id % 3 = 1 AND trim(source) != '' THEN source ELSE '<missing>' END AS source, 'Q' || (doc_id % 4 + 1) || '/FY' || (doc_id % 30 + 2000) AS label FROM documents",
