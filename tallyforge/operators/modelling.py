@@ -1,7 +1,7 @@
 """Forecasting: folds, features, dependency-free models, regularised regression, bootstrap.
 
 The two model libraries of the original workflow are not installed here; two models with the same
-output columns stand in for them: `seasonal` (last year's quarter times recent yearly growth) and
+output columns, as window expressions, stand in for them: `seasonal` (last year's quarter times recent yearly growth) and
 `trend` (damped linear trend). Any callable from a pandas series to values can be passed instead."""
 
 from __future__ import annotations
@@ -83,10 +83,41 @@ def trend(y: np.ndarray, horizon: int, damping: float = 0.9) -> np.ndarray:
 MODELS: dict[str, Callable[[np.ndarray, int], np.ndarray]] = {"seasonal": seasonal, "trend": trend}
 
 
+def _predictions(series: DataFrame, horizon: int, damping: float = 0.9) -> DataFrame:
+    """What both models predict after each row of a ticker: ticker, model, period_end, k (rows so far), n (rows in
+    all), made (array of the next values) and ahead (what came). Windows carry sums, slope and the last four values."""
+    by = Window.partitionBy("ticker").orderBy("period_end")
+    so_far = by.rowsBetween(Window.unboundedPreceding, 0)
+    own = series.where(F.col("y").isNotNull()).select("ticker", "period_end", F.col("y").cast("double").alias("y")).withColumn("k", F.row_number().over(by))
+    year, before = F.sum("y").over(by.rowsBetween(-3, 0)), F.sum("y").over(by.rowsBetween(-7, -4))
+    own = own.withColumns({
+        "n": F.count("*").over(Window.partitionBy("ticker")), "slope": F.coalesce(F.regr_slope("y", "k").over(so_far), F.lit(0.0)),
+        "rate": F.when((F.col("k") >= 8) & (before > 0), year / F.nullif(before, F.lit(0.0))).otherwise(1.0),
+        "tail": F.array_compact(F.array(*(F.lag("y", i).over(by) for i in (3, 2, 1)), F.col("y"))), "ahead": F.array(*(F.lead("y", i).over(by) for i in range(1, horizon + 1))),
+    })
+    steps = F.sequence(F.lit(1), F.lit(horizon))
+    grown = F.aggregate(steps, F.col("tail"), lambda s, _: F.array_append(s, F.when(F.size(s) >= 4, F.try_element_at(s, F.lit(-4)) * F.col("rate")).otherwise(F.element_at(s, -1))))
+    seasonal_ = F.slice(grown, F.size("tail") + 1, F.lit(horizon))
+    trend_ = F.transform(steps, lambda i: F.col("y") + F.col("slope") * damping * (1 - F.pow(F.lit(damping), i)) / (1 - damping))
+    models = F.array(F.struct(F.lit("seasonal").alias("model"), seasonal_.alias("made")), F.struct(F.lit("trend").alias("model"), trend_.alias("made")))
+    return own.select("ticker", "period_end", "k", "n", "ahead", F.inline(models))
+
+
 def forecast(series: DataFrame, models: dict[str, Callable] | None = None, horizon: int = HORIZON) -> DataFrame:
     """series: ticker, period_end, y. The next fiscal quarter ends of each ticker with 80 and 95 per
-    cent intervals from the spread of one-step errors. A ticker's series is some tens of rows."""
-    models = models or MODELS
+    cent intervals from the spread of the last eight one-step errors. The two models run as expressions; only
+    models that are given run as Python, a ticker at a time."""
+    if models is None:
+        rows = _predictions(series, horizon)
+        error = F.when((F.col("k") >= F.greatest(F.lit(4), F.col("n") - 8)) & (F.col("k") < F.col("n")), F.col("ahead")[0] - F.col("made")[0])
+        at = F.max_by(F.struct("period_end", "made"), "k")
+        rows = rows.groupBy("ticker", "model").agg(F.coalesce(F.stddev_pop(error), F.lit(0.0)).alias("spread"), at.alias("at"))
+        end = F.col("at.period_end").cast("date")
+        first = F.add_months(end, F.when(F.last_day(end) == end, 3).otherwise(2))
+        rows = rows.select("ticker", "model", "spread", first.alias("first"), F.posexplode("at.made").alias("k", "yhat"))
+        wide = F.col("spread") * F.sqrt(F.col("k") + 1.0)
+        bounds = [(F.col("yhat") + sign * z * wide).alias(f"yhat_{side}_{level}") for level, z in ((80, 1.2816), (95, 1.96)) for side, sign in (("lower", -1), ("upper", 1))]
+        return rows.select("ticker", "model", F.last_day(F.add_months("first", F.col("k") * 3)).cast("string").alias("period_end"), "yhat", *bounds)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("period_end")
@@ -104,8 +135,13 @@ def forecast(series: DataFrame, models: dict[str, Callable] | None = None, horiz
 
 
 def cross_validate(series: DataFrame, models: dict[str, Callable] | None = None, horizon: int = HORIZON) -> DataFrame:
-    """ticker, model, cut, mae, mape over expanding windows."""
-    models = models or MODELS
+    """ticker, model, cut, mae, mape over expanding windows; as expressions unless models are given."""
+    if models is None:
+        cuts = folds(series.where(F.col("y").isNotNull()), horizon).select("ticker", F.col("cut").alias("k"))
+        rows = _predictions(series, horizon).join(cuts, ["ticker", "k"])
+        rows = rows.select("ticker", "model", F.col("k").alias("cut"), F.inline(F.arrays_zip("ahead", "made")))
+        gap = F.abs(F.col("ahead") - F.col("made"))
+        return rows.groupBy("ticker", "model", "cut").agg(F.avg(gap).alias("mae"), F.avg(F.when(F.col("ahead") > 0, gap / F.nullif("ahead", F.lit(0.0)))).alias("mape"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         y, n, out = pdf.sort_values("period_end")["y"].to_numpy(dtype=float), len(pdf), []
