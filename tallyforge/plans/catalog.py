@@ -403,12 +403,12 @@ def cv_folds(spark, d):
 
 @query
 def model_forecast(spark, d):
-    return modelling.forecast(Tables(spark, d).series)
+    return rounded(modelling.forecast(Tables(spark, d).series), 0)
 
 
 @query
 def model_cross_validation(spark, d):
-    return modelling.cv_summary(modelling.cross_validate(Tables(spark, d).series))
+    return rounded(modelling.cv_summary(modelling.cross_validate(Tables(spark, d).series)), 0, mape_mean=6, mape_std=6)
 
 
 @query

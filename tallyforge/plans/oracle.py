@@ -450,6 +450,10 @@ UNION ALL SELECT ticker, period_end, model, round(yhat, 4) FROM (SELECT s.*, den
 CTES_MORE = {
     "ord": "SELECT o_custkey AS k, o_orderdate::DATE AS date, o_totalprice AS value FROM orders",
     "fx": "SELECT 'E' || (k % 4) AS symbol, date, max(value) AS v FROM ord GROUP BY ALL",
+    "m1": f"SELECT ticker, period_end, y, row_number() OVER (w) AS k, count(*) OVER (PARTITION BY ticker) AS n FROM series WHERE y IS NOT NULL WINDOW w AS ({_BY})",
+    "m2": f"""SELECT *, coalesce(regr_slope(y, k) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS slope, [lead(y) OVER w, lead(y, 2) OVER w, lead(y, 3) OVER w, lead(y, 4) OVER w] AS ahead, [lag(y, 3) OVER w, lag(y, 2) OVER w, lag(y) OVER w, y] AS tail,
+  CASE WHEN k >= 8 AND sum(y) OVER (w ROWS BETWEEN 7 PRECEDING AND 4 PRECEDING) > 0 THEN sum(y) OVER (w ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) / sum(y) OVER (w ROWS BETWEEN 7 PRECEDING AND 4 PRECEDING) ELSE 1 END AS rate FROM m1 WINDOW w AS ({_BY})""",
+    "m3": "SELECT ticker, period_end, k, n, ahead, u.m AS model, u.p AS made FROM m2, unnest([{'m': 'seasonal', 'p': list_transform(tail, lambda t: t * rate)}, {'m': 'trend', 'p': [y + slope * 0.9, y + slope * 1.71, y + slope * 2.439, y + slope * 3.0951]}]) t(u) WHERE k >= 4",
     "px": "SELECT o_custkey % 5 AS symbol, o_orderdate::DATE AS date, max(o_totalprice) AS v FROM orders GROUP BY ALL",
     "choice": "SELECT *, (row_number() OVER (PARTITION BY ticker, line_item ORDER BY n_facts DESC, synonym_rank))::INT AS choice FROM (SELECT ticker, line_item, concept_used, CASE WHEN concept_used LIKE '%Alt' THEN 1 ELSE 0 END AS synonym_rank, count(*) FILTER (WHERE fiscal_period != 'FY') AS n_facts FROM facts GROUP BY ALL) WHERE n_facts > 0",
 }
@@ -525,6 +529,12 @@ _GUARDED = f"""sv AS (SELECT ticker, {_money('revenue_actual')} AS m, ' [' || re
 """
 
 _BODIES |= {
+    "model_forecast": """SELECT ticker, model, last_day(pe::DATE + to_months(3 * i::INT))::DATE::VARCHAR AS period_end, round(made[i], 0) AS yhat, round(made[i] - 1.2816 * s * sqrt(i), 0) AS yhat_lower_80, round(made[i] + 1.2816 * s * sqrt(i), 0) AS yhat_upper_80,
+  round(made[i] - 1.96 * s * sqrt(i), 0) AS yhat_lower_95, round(made[i] + 1.96 * s * sqrt(i), 0) AS yhat_upper_95 FROM (
+  SELECT ticker, model, arg_max(period_end, k) AS pe, arg_max(made, k) AS made, coalesce(stddev_pop(ahead[1] - made[1]) FILTER (k >= greatest(4, n - 8) AND k < n), 0) AS s FROM m3 GROUP BY ticker, model) CROSS JOIN range(1, 5) r(i)""",
+    "model_cross_validation": """SELECT model, round(avg(mae), 0) AS mae_mean, round(stddev_samp(mae), 0) AS mae_std, round(avg(mape), 6) AS mape_mean, round(stddev_samp(mape), 6) AS mape_std FROM (
+  SELECT model, list_avg(list_transform(range(1, 5), lambda i: abs(ahead[i] - made[i]))) AS mae, list_avg(list_transform(list_filter(range(1, 5), lambda i: ahead[i] > 0), lambda i: abs(ahead[i] - made[i]) / ahead[i])) AS mape
+  FROM m3 JOIN (SELECT DISTINCT ticker, (low + (high - low) * j // 2)::INT AS cut FROM (SELECT ticker, greatest(8, count(*) * 2 // 3) AS low, count(*) - 4 AS high FROM m1 GROUP BY ticker) CROSS JOIN range(3) r(j) WHERE high >= low) c ON c.ticker = m3.ticker AND c.cut = m3.k) GROUP BY model""",
     "recursive_forecast": f"""SELECT ticker, s.step::INT AS step, round(s.v, -3) AS yhat FROM (
   SELECT ticker, unnest([{{'step': 1, 'v': f1}}, {{'step': 2, 'v': f2}}, {{'step': 3, 'v': f3}}, {{'step': 4, 'v': f4}}]) AS s FROM (
   SELECT *, greatest(c0 * f3 + c1 * y4 + c2, 0.5 * f3) AS f4 FROM (SELECT *, greatest(c0 * f2 + c1 * y3 + c2, 0.5 * f2) AS f3 FROM (
