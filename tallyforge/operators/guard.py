@@ -146,14 +146,17 @@ def _first(messages: Column) -> Column:
     return F.get(F.array_compact(messages), F.lit(0))
 
 
-def _rules(text: Column, values: Column, accessions: Column) -> Column:
-    """The first rule that a text breaks, of those that need no positions."""
+def _rules(text: Column, low: Column, values: Column, accessions: Column) -> Column:
+    """The first rule that a text breaks, of those that need no positions; low: the text in lower case.
+    All but the forbidden words need a digit, amounts a dollar and percentages their sign: what a text
+    lacks is found by a plain search before any pattern runs."""
 
     def known(x: Column) -> Column:
         return F.exists(values, lambda v: F.abs(x - v) <= F.greatest(F.lit(ABSOLUTE), RELATIVE * F.abs(x), RELATIVE * F.abs(v)))
 
-    words = _first(F.array(*(F.when(F.lower(text).contains(w), F.lit(f"forbidden word: {w}")) for w in FORBIDDEN)))
-    negative = F.when(text.rlike(PARENS_DOLLAR) | text.rlike(PARENS_PERCENT), F.lit("negative in parentheses"))
+    words = F.coalesce(*(F.when(low.contains(w), F.lit(f"forbidden word: {w}")) for w in FORBIDDEN))
+    some, part = text.contains("$"), text.contains("%")
+    negative = F.when((some & text.rlike(PARENS_DOLLAR)) | (part & text.rlike(PARENS_PERCENT)), F.lit("negative in parentheses"))
     ahead = rf"({DOLLAR})(?=((?s:.{{0,{CITE_WITHIN}}})))"  # the look-ahead takes nothing from the next token
     money = F.arrays_zip(F.regexp_extract_all(text, F.lit(ahead), F.lit(1)).alias("token"), F.regexp_extract_all(text, F.lit(ahead), F.lit(2)).alias("after"))
 
@@ -168,7 +171,11 @@ def _rules(text: Column, values: Column, accessions: Column) -> Column:
 
     shares = F.regexp_extract_all(text, F.lit(PERCENT), F.lit(0))
     share = F.transform(shares, lambda t: F.when(~known(amount(t)), F.concat(F.lit("unknown per cent: "), t)))
-    return F.coalesce(words, negative, _first(F.transform(money, judged)), _first(share))
+    return F.coalesce(words, F.when(_digits(text), F.coalesce(negative, F.when(some, _first(F.transform(money, judged))), F.when(part, _first(share)))))
+
+
+def _digits(text: Column) -> Column:
+    return text.rlike("[0-9]")
 
 
 def guard(texts: DataFrame, allowed: DataFrame) -> DataFrame:
@@ -176,16 +183,19 @@ def guard(texts: DataFrame, allowed: DataFrame) -> DataFrame:
     the text passes: forbidden words, negatives in parentheses, then amounts (unknown, not cited within 50 characters, or
     citing an unknown filing), percentages and bare numbers, each in the order of the text.
 
-    Only texts that pass all other rules and hold something like a bare number are laid out by position,
-    each different text once. Null texts pass; a ticker that is not allowed anything has no known values."""
+    Texts stay where they are read: what a ticker is allowed, a short row, is sent to them, so a ticker with most of
+    the texts is no single task. Only texts that pass all other rules and hold something like a bare number are laid
+    out by position, each different text once; the others are spread over the join by their partition, not gathered
+    under one null. Null texts pass; a ticker that is not allowed anything has no known values."""
     none = F.array()
     own = allowed.select(F.col("ticker").alias("ticker_"), "values", "accessions")
-    rows = texts.join(own, F.col("ticker") == F.col("ticker_"), "left").withColumn("text_", F.coalesce("text", F.lit("")))
-    rows = rows.withColumn("rule_", _rules(F.col("text_"), F.coalesce("values", none.cast("array<double>")), F.coalesce("accessions", none.cast("array<string>"))))
-    rows = rows.withColumn("id_", F.when(F.col("rule_").isNull() & F.col("text_").rlike(BARE), F.sha2("text_", 256)))
+    rows = texts.join(F.broadcast(own), F.col("ticker") == F.col("ticker_"), "left").withColumn("text_", F.coalesce("text", F.lit(""))).withColumn("low_", F.lower("text_"))
+    rows = rows.withColumn("rule_", _rules(F.col("text_"), F.col("low_"), F.coalesce("values", none.cast("array<double>")), F.coalesce("accessions", none.cast("array<string>"))))
+    # digits first: texts without any are asked no more
+    rows = rows.withColumn("id_", F.when(_digits(F.col("text_")) & F.col("rule_").isNull() & F.col("text_").rlike(BARE), F.sha2("text_", 256)))
     asked = rows.where("id_ IS NOT NULL").groupBy(F.col("id_").alias("id")).agg(F.first("text_").alias("text"))
     found = bare_numbers(asked)
-    rows = rows.join(found, F.col("id_") == F.col("id"), "left")
+    rows = rows.withColumn("id_", F.coalesce("id_", F.spark_partition_id().cast("string"))).join(found, F.col("id_") == F.col("id"), "left")
     return rows.select(*texts.columns, F.coalesce("rule_", F.concat(F.lit("bare number: "), "token")).alias("violation"))
 
 

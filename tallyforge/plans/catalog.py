@@ -28,13 +28,22 @@ def rounded(df: DataFrame, digits: int = 6, **other: int) -> DataFrame:
     return df.select(*(F.round(c, other.get(c, digits)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read from there."""
+    spark, path = df.sparkSession, _own_folder(df.sparkSession)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 class Tables:
     """What the queries share; each is a plan, computed when a query asks for it."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, saved: bool = False):
-        """saved: facts are written once as a bucketed table, for queries that read them in several places."""
+    def __init__(self, spark: SparkSession, sf_dir: str, saved: bool = False, once: bool = False):
+        """saved: facts are written once as a bucketed table, for queries that read them in several places.
+        once: facts and the sums they are made of are written once as plain files, for queries whose plans would read
+        the line items again for each statement; facts do not grow with the line items, so few files hold them."""
         self.spark, self.dir = spark, sf_dir
-        self.facts = adapter.facts(spark, sf_dir)
+        self.facts = _kept(adapter.facts(spark, sf_dir, _kept)) if once else adapter.facts(spark, sf_dir)
         if saved:
             self.facts, _ = sinks.fact_table(self.facts)
         self.companies = adapter.companies(spark)
@@ -163,7 +172,7 @@ def data_quality(spark, d):
 
 @query
 def refusal_gate(spark, d):
-    t = Tables(spark, d)
+    t = Tables(spark, d, once=True)
     return quality.refusals(t.quality, t.variance)
 
 
@@ -174,12 +183,12 @@ def duplicate_facts(spark, d):
 
 @query
 def variance_facts(spark, d):
-    return rounded(Tables(spark, d).variance)
+    return rounded(Tables(spark, d, once=True).variance)
 
 
 @query
 def variance_facts_no_forecast(spark, d):
-    t = Tables(spark, d)
+    t = Tables(spark, d, once=True)
     return rounded(variance.variance_facts(t.income, t.balance, t.cash, t.snapped.limit(0)))
 
 
@@ -496,7 +505,7 @@ def fiscal_calendar_map(spark, d):
 
 @query
 def driver_classification(spark, d):
-    t = Tables(spark, d)
+    t = Tables(spark, d, once=True)
     rows = t.variance.select(
         "ticker", F.col("revenue_actual").alias("rev"), F.col("revenue_yoy").alias("rev_prior"), F.col("gross_margin_pct_yoy_delta").alias("margin_delta"),
         F.col("gross_margin_pct_yoy").alias("margin_prior"), F.array(F.struct(F.lit(1e4).alias("amount"), (F.col("ticker") == "S1").alias("one_time"))).alias("one_time_items"),
@@ -518,14 +527,14 @@ def numeric_token_audit(spark, d):
 
 @query
 def payloads(spark, d):
-    t = Tables(spark, d)
+    t = Tables(spark, d, once=True)
     return guard.payloads(t.variance, t.quality)
 
 
 @query
 def payload_inputs(spark, d):
     """What each payload allows a text to say, taken out of it again; nested deeper once more."""
-    t = Tables(spark, d)
+    t = Tables(spark, d, once=True)
     rows = guard.payloads(t.variance, t.quality)
     deeper = rows.select("ticker", F.concat(F.lit('{"batch": [[1, {"inner": '), "payload", F.lit('}], {"value": "$7.5M", "accession": "none"}]}')).alias("payload"))
     said = guard.payload_values(deeper)
@@ -535,7 +544,7 @@ def payload_inputs(spark, d):
 @query
 def guarded_texts(spark, d):
     """Sentences about each ticker, one for each rule, and the texts of all documents."""
-    t = Tables(spark, d)
+    t = Tables(spark, d, once=True)
     rows = guard.payload_values(guard.payloads(t.variance, t.quality))
     said, cited, share = text.dollars("revenue_actual"), F.concat(F.lit(" ["), "revenue_actual_accession", F.lit("]")), text.percent("gross_margin_pct_actual")
     sentences = {

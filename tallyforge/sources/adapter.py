@@ -6,6 +6,8 @@ date, and so make duplicates, amendments and year totals."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +45,8 @@ def filing_url(cik_int, accession) -> F.Column:
     return F.concat(F.lit(URL), cik_int.cast("string"), F.lit("/"), F.replace(accession, F.lit("-"), F.lit("")), F.lit("/"))
 
 
-def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def facts(spark: SparkSession, sf_dir: str, kept: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """kept: what is done to the sums of quarters, from which facts of quarters and of years are both made."""
     item = F.element_at(F.array(*map(F.lit, ITEMS)), (F.col("l_partkey") % len(ITEMS) + 1).cast("int"))
     form = F.element_at(F.array(*map(F.lit, FORMS)), (F.col("l_linenumber") % len(FORMS) + 1).cast("int"))
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
@@ -52,6 +55,7 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.floor(F.col("l_partkey") / len(ITEMS)) % 2 == 0).alias("framed"), F.col("l_extendedprice").cast("decimal(18,2)").alias("v"),
     )
     quarters = lines.groupBy("k", "line_item", "form_type", "ln", "pe", "framed").agg(F.sum("v").alias("v"))
+    quarters = kept(quarters)
     fe = fiscal_year_end(F.col("k"))
     fy, fp = fiscal.fiscal_label("pe", fe)
     quarters = quarters.withColumn("fiscal_year", fy).withColumn("fiscal_period", fp)
