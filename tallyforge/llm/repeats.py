@@ -47,6 +47,8 @@ HOT = 16384
 #: Bytes of input for each hash range and each part of the anchors, least number of them, anchors a
 #: task holds at once, symbols in a batch of suffix arrays.
 RANGE_BYTES, PART_BYTES, RANGES, PARTS, HELD, BATCH = 6 << 20, 3 << 20, 96, 48, 1 << 19, 1 << 19
+#: Bytes of texts that are hashed at once.
+STRETCH = 1 << 15
 #: Ranges that the bits beside a narrowed hash can name; what is more is split by the hash itself.
 NAMED = 1 << 15
 _BYTES = random_table(256, 11)
@@ -80,15 +82,33 @@ def slid(x: np.ndarray, width: int, best) -> np.ndarray:
     return best(x[: -(width - size)], x[width - size :]) if size < width else x
 
 
-def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of a text's anchors, and their hashes."""
-    if len(raw) < WIDTH:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U64)
-    h = string_hashes(np.frombuffer(raw, dtype=np.uint8), SEED)
-    edge = np.zeros(SIDE, dtype=U64)
-    low = np.concatenate([edge, slid(h, SIDE + 1, np.minimum), edge])
-    at = np.flatnonzero(slid(low, SIDE + 1, np.maximum) == h)
-    return at, h[at]
+def anchors(raws: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each text, the positions of its anchors and their hashes. Texts are hashed end to end, some
+    at a time, since most are short; strings of two texts choose nothing."""
+    first, held = 0, 0
+    for i, raw in enumerate(raws):
+        held += len(raw)
+        if held >= STRETCH or i == len(raws) - 1:
+            yield from _anchors(raws[first : i + 1])
+            first, held = i + 1, 0
+
+
+def _anchors(raws: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    x = np.frombuffer(b"".join(raws), dtype=np.uint8)
+    base = np.cumsum([0, *map(len, raws)])
+    if len(x) < WIDTH:
+        at, h = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U64)
+    else:
+        h = string_hashes(x, SEED)
+        low = np.zeros(len(h) + SIDE, dtype=U64)
+        low[SIDE:-SIDE] = slid(h, SIDE + 1, np.minimum)
+        for end in base[1:-1].tolist():
+            low[max(0, end - WIDTH + 1) + SIDE : end + SIDE] = 0
+        at = np.flatnonzero(slid(low, SIDE + 1, np.maximum) == h)
+        h = h[at]
+    edge = np.searchsorted(at, base).tolist()
+    for start, i, j in zip(base.tolist(), edge, edge[1:], strict=False):
+        yield at[i:j] - start, h[i:j]
 
 
 def narrowed(h: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
@@ -130,12 +150,11 @@ def sketches(ranges: int, parts: int = 1):
         ids, found, held = {}, [], 0
         for batch in batches:
             for a, b in pieces(batch.column(0)):
-                for raw in texts_of(batch.column(0).slice(a, b - a)):
-                    own = text_id(raw)
-                    if len(raw) < WIDTH or own in ids:
-                        continue
+                new = {own: raw for raw in texts_of(batch.column(0).slice(a, b - a)) if len(raw) >= WIDTH and (own := text_id(raw)) not in ids}
+                for own, (_, h) in zip(new, anchors(list(new.values())), strict=True):
+                    h = np.sort(h)
                     ids[own] = None
-                    found.append(np.unique(anchors(raw)[1]))
+                    found.append(h[np.append(True, h[1:] != h[:-1])])
                     held += len(found[-1])
                     if held >= HELD:
                         yield flush(list(ids), found)
@@ -182,42 +201,71 @@ def shared(part: pa.Table, parts: int = 1) -> pa.Table:
     return pa.table([pa.array(c, pa.binary()) for c in columns], names=["tid", "cold", "hot"])
 
 
+def among(key: np.ndarray, of: list[bytes]) -> np.ndarray:
+    """Which keys are among those packed in `of`."""
+    known = np.sort(np.frombuffer(b"".join(of), dtype=U64))
+    if not len(known):
+        return np.zeros(len(key), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key
+
+
 def contexts(ranges: int, homes: int):
     """Stage 2, map side: a row for each shared anchor of a text and each of its contexts there, with
-    its places: 32-bit positions, after minus the text's ordinal if that is not 0."""
+    its places: 32-bit positions, after minus the text's ordinal if that is not 0.
+
+    Anchors that a text holds once and that have SIDE bytes on both sides, as most do, become rows as
+    arrays, many texts at once; the others are gathered by context one by one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
-            held = 0
-            for i in range(len(batch)):
-                doc, raw, ordinal = batch.column(0)[i].as_py(), batch.column(1)[i].as_py().encode(), batch.column(4)[i].as_py()
-                at, h = anchors(raw)
-                home, low = narrowed(h, ranges)
-                key = low | home.astype(U64) << U64(48)
-                cold = np.frombuffer(b"".join(batch.column(2)[i].as_py()), dtype=U64)
-                hot = np.frombuffer(b"".join(batch.column(3)[i].as_py()), dtype=U64)
-                is_hot = np.isin(key, hot)
-                found: dict[tuple, array] = {}
-                for k in np.flatnonzero(is_hot | np.isin(key, cold)).tolist():
-                    a = int(at[k])
-                    left, right = raw[max(0, a - SIDE) : a], raw[a + SEED : a + WIDTH]
-                    own = int(h[k])
-                    place = found.setdefault((-1 if is_hot[k] else own % homes, own - (1 << 64) if own >> 63 else own, bytes((len(left), len(right))) + left + right), array("i", [-ordinal] if ordinal else []))
-                    place.append(a)
-                rows += [(home, own, doc, place.tobytes(), context) for (home, own, context), place in found.items()]
-                held += len(raw)
-                if held > 1 << 19:
-                    yield packed(rows)
-                    rows, held = [], 0
-            if rows:
-                yield packed(rows)
-
-    def packed(rows: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*rows, strict=True)) or [()] * 5
+            for a, b in pieces(batch.column(1), 1 << 19):
+                part = batch.slice(a, b - a)
+                yield from laid_out(part.column(0).to_numpy(), texts_of(part.column(1)), *(part.column(c).to_pylist() for c in (2, 3, 4)))
+
+    def laid_out(docs: np.ndarray, raws: list[bytes], cold: list, hot: list, ordinals: list[int]) -> Iterator[pa.RecordBatch]:
+        found = []
+        for i, (at, h) in enumerate(anchors(raws)):
+            home, low = narrowed(h, ranges)
+            key = low | home.astype(U64) << U64(48)
+            is_hot = among(key, hot[i])
+            k = np.flatnonzero(is_hot | among(key, cold[i]))
+            found.append((at[k], h[k], is_hot[k]))
+        at, h, is_hot = (np.concatenate([x[c] for x in found]) for c in range(3))
+        text = np.repeat(np.arange(len(raws)), [len(x[0]) for x in found])
+        size = np.fromiter(map(len, raws), dtype=np.int64, count=len(raws))
+        by = np.lexsort((h, text))
+        same = (h[by[1:]] == h[by[:-1]]) & (text[by[1:]] == text[by[:-1]])
+        one = np.empty(len(h), dtype=bool)
+        one[by] = ~(np.append(False, same) | np.append(same, False))[: len(h)]
+        one &= (at >= SIDE) & (at + WIDTH <= size[text]) & (np.array(ordinals)[text] == 0)
+        rest = np.flatnonzero(~one)
+        if len(rest):
+            yield packed(docs, raws, ordinals, text[rest].tolist(), at[rest].tolist(), h[rest].tolist(), is_hot[rest].tolist())
+        at, h, is_hot, text = at[one], h[one], is_hot[one], text[one]
+        if len(at):
+            where = at + (np.cumsum(size) - size)[text]
+            side = np.lib.stride_tricks.sliding_window_view(np.frombuffer(b"".join(raws), dtype=np.uint8), SIDE)
+            m = np.full((len(at), 2 + 2 * SIDE), SIDE, dtype=np.uint8)
+            m[:, 2 : 2 + SIDE], m[:, 2 + SIDE :] = side[where - SIDE], side[where + SEED]
+            home = np.where(is_hot, -1, (h % U64(homes)).astype(np.int32)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(home), pa.array(h.view(np.int64)), pa.array(docs[text]), even(at.astype("<i4").view(np.uint8).reshape(-1, 4)), even(m)], names)
+
+    def packed(docs, raws, ordinals, text, at, h, is_hot) -> pa.RecordBatch:
+        found: dict[tuple, array] = {}
+        for i, a, own, apart in zip(text, at, h, is_hot, strict=True):
+            raw, ordinal = raws[i], ordinals[i]
+            left, right = raw[max(0, a - SIDE) : a], raw[a + SEED : a + WIDTH]
+            place = found.setdefault((i, apart, own, bytes((len(left), len(right))) + left + right), array("i", [-ordinal] if ordinal else []))
+            place.append(a)
+        rows = [(-1 if apart else own % homes, own - (1 << 64) if own >> 63 else own, int(docs[i]), place.tobytes(), context) for (i, apart, own, context), place in found.items()]
         kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["home", "h", "doc", "at", "context"])
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    def even(m: np.ndarray) -> pa.Array:
+        """Each row of m as a binary value."""
+        return pa.Array.from_buffers(pa.binary(), len(m), [None, pa.py_buffer((np.arange(len(m) + 1) * m.shape[1]).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(m))])
 
+    names = ["home", "h", "doc", "at", "context"]
     return run
 
 
@@ -399,13 +447,13 @@ def spans(size: int, whole: bool, at: np.ndarray, mask: np.ndarray) -> tuple[np.
     """Starts and ends of the removed runs of a text."""
     if whole and size >= WIDTH:
         return np.array([0]), np.array([size])
+    if not len(at):
+        return at, at
     i, back = np.nonzero(mask[:, None] >> np.arange(SIDE + 1) & 1)
     begin = np.unique(at[i].astype(np.int64) - back)
-    edge = np.zeros(size + 2, dtype=np.int32)
-    np.add.at(edge, begin + 1, 1)
-    np.add.at(edge, begin + WIDTH + 1, -1) if len(begin) else None
-    inside = np.diff((np.cumsum(edge) > 0).astype(np.int8))
-    return np.flatnonzero(inside == 1), np.flatnonzero(inside == -1)
+    # a run goes on as long as the next string begins before, or where, the last one ends
+    apart = np.diff(begin) > WIDTH
+    return begin[np.append(True, apart)], begin[np.append(apart, True)] + WIDTH
 
 
 def left_over(raw: bytes, start: list[int], end: list[int], characters: bool) -> bytes:
